@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, secrets, token_counts, warc
+from . import jaccard, linedup, mixing, packing, secrets, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,15 +24,23 @@ def op3_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark, sf_dir):
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_secrets(spark, sf_dir):
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans_base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op7_linedup(spark, sf_dir):
+    return linedup.drop_repeated_lines(_table(spark, sf_dir, "documents"), counts=True).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op10_token_counts(spark, sf_dir):
     return token_counts.context_table(token_counts.length_histogram(_table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op5_secrets, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op4_jaccard, op5_secrets, op7_linedup, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
