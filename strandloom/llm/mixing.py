@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, pin, small
 
-#: Rows that one task of the running sums handles.
-ROWS_PER_BUCKET = 50_000
+#: Rows of one bucket of the running sums at least; from its square on, the square root of all rows, so that buckets and their sums are about as many.
+ROWS_PER_BUCKET = 2_000
 
 
 def shuffle_key(seed: int, id_col: str, text_col: str):
@@ -58,7 +58,7 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, stream).
 
@@ -78,6 +78,8 @@ def mix_sources(
             shuffle_key(seed, id_col, text_col).alias("shuffle"),
         )
     )
+    count = base.count()
+    rows_per_bucket = rows_per_bucket or max(ROWS_PER_BUCKET, math.isqrt(count))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     targets = pin(source_targets(sizes, weights, share, max_repeats))
     near = small(targets)
@@ -96,7 +98,7 @@ def mix_sources(
     timed = served.select("row", "rank", "doc_id", "shuffle", "size", "source_size", "served", "target", "budget", F.explode(epochs).alias("epoch"))
     timed = timed.withColumn("finish", (F.col("epoch") * F.col("source_size") + F.col("served")) / F.col("target"))
     # Tokens are spread evenly over virtual time, so equal spans of it are ranges of about equal size.
-    spans = max(1, math.ceil(max_repeats * base.count() / rows_per_bucket))
+    spans = max(1, math.ceil(max_repeats * count / rows_per_bucket))
     timed = pin(timed.withColumn("span", F.floor(F.col("finish") * spans).cast("long")))
     span_sums = timed.groupBy("span").agg(F.sum("size").alias("tokens"))
     span_before = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
