@@ -1,11 +1,59 @@
-"""The corpus pipeline: stages that each call one training-data operator."""
+"""The corpus pipeline: from raw documents to packed training sequences.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+it as Parquet into the shared checkpoint folder and rereads it for the next
+one. All stages but the last keep the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandloom.llm import jaccard, langid, linedup, mixing, packing
+from strandloom.llm.common import ensure_checkpoint_dir
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; undetermined ones go."""
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    return langid.identified(docs, model)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one go; documents stay."""
+    return linedup.drop_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard.one_of_each_group(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the training sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("language ID", language_id), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates), ("mixing sources", source_mix), ("best-fit packing", packed)]
+
+#: A trained model and an encoder decide what comes out, which SQL cannot express; tests compare with brute force.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, applied to ``documents``."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
     return docs
