@@ -1,8 +1,9 @@
 """N-gram Jaccard join of whole documents by set-relation skipping.
 
 A document's set holds its distinct k-word shingles. Equal sets are one class;
-classes are joined through position-blocked index lists, and a class that is
-similar to an already answered one takes over its answers (setjoin).
+classes that may be similar meet in blocks and are joined through
+position-blocked index lists there, and a class that is similar to an already
+answered one takes over its answers (setjoin).
 """
 
 from __future__ import annotations
@@ -13,71 +14,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pin, small
-from .setjoin import WordHashes, blocked_links, components, list_edges, ordered_sets, prefix_length, shingle_hashes, slices, token_levels, words_of
+from .setjoin import BLOCK, blocked_links, by_bytes, class_sets, components, distinct_sets, document_words, list_edges, shingle_hashes, signature_lists
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def sets_of(k: int):
+    """Texts to (tokens, offsets, classes) of their k-word shingles."""
+    return lambda texts: distinct_sets(*shingle_hashes(*document_words(texts), k))
 
 
-def document_sets(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, class, prefix): class is null for empty sets, prefix only comes with the first of its class in a task."""
+def document_classes(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, class); class is null for empty sets. ``docs`` is (doc_id, text)."""
+    sets = sets_of(k)
 
-    def sets(batches):
-        hashes, seen = WordHashes(), set()
-        for batch in slices(batches):
-            found = shingle_hashes([words_of(x or "") for x in batch.column(1).to_pylist()], k, hashes)
-            tokens, offsets, classes = ordered_sets(*found, levels)
-            signed, n = tokens.view(np.int64), np.diff(offsets)
-            prefixes, names = [], []
-            for cls, start, size in zip(classes.tolist(), offsets[:-1].tolist(), n.tolist(), strict=True):
-                new = size > 0 and cls not in seen
-                seen.add(cls)
-                names.append(cls if size else None)
-                prefixes.append(signed[start : start + prefix_length(size, num, den)] if new else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "class", "prefix"])
+    def run(batches):
+        for batch in by_bytes(batches, 1):
+            _, offsets, classes = sets(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(classes, pa.int64(), mask=classes == 0)], names=["doc_id", "n_shingles", "class"])
 
-    return docs.mapInArrow(sets, "doc_id long, n_shingles long, class long, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long")
 
 
-def similar_documents(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = 512) -> DataFrame:
+def similar_documents(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, class, component_id): documents linked by Jaccard similarity >= num / den, as components.
 
     ``component_id`` is the smallest id that a document reaches by links.
     Null or word-less texts have an empty set and only themselves; fewer than k
     words are one shingle; repeated rows are alike; null ids never name a
     component unless all its ids are null. An empty table gives no rows.
+    Texts are scanned three times and never shuffled.
     """
-    texts = _documents(docs, id_col, text_col)
-    levels = token_levels(texts.select("text"), lambda text: [words_of(text)], k)
-    rows = pin(document_sets(texts, levels, k, num, den))
-    postings = rows.filter("prefix is not null").select(F.explode("prefix").alias("token"), F.col("n_shingles").alias("n"), "class")
-    near = components(list_edges(postings, num, den))
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = pin(document_classes(named, k))
+    near = pin(components(list_edges(signature_lists(named.select("text"), sets_of(k), num, den), num, den)))
     classes = pin(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
-    members = near.join(classes, near["node"] == classes["class"]).select(F.col("component"), "class", F.col("first").alias("rank"))
-
-    def with_sets(tasks: DataFrame) -> DataFrame:
-        wanted = small(tasks)
-        chosen = texts.join(wanted, texts["doc_id"] == wanted["rank"])
-        names = ["component", "task", "class", "rank", "label", "probe"]
-
-        def sets(batches):
-            hashes = WordHashes()
-            for batch in slices(batches):
-                tokens, offsets, found = ordered_sets(*shingle_hashes([words_of(x or "") for x in batch.column(6).to_pylist()], k, hashes), levels)
-                raw, cuts = tokens.tobytes(), (offsets * 8).tolist()
-                values = pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
-                same = pa.array(found == batch.column(2).to_numpy())  # rows that repeat an id with another text drop out
-                yield pa.RecordBatch.from_arrays([*batch.columns[:6], values], names=[*names, "tokens"]).filter(same)
-
-        return chosen.select(*names, "text").mapInArrow(sets, "component long, task long, class long, rank long, label long, probe boolean, tokens binary")
-
-    linked = components(blocked_links(members, with_sets, num, den, earlier=False, block=block))
-    groups = classes.join(linked, classes["class"] == linked["node"], "left").withColumn("_group", F.coalesce("component", "class"))
+    members = near.select("component", F.col("node").alias("class")).withColumn("rank", F.lit(0).cast("long"))
+    sets = class_sets(named.select("text"), sets_of(k), members)
+    linked = components(blocked_links(members, sets, num, den, earlier=False, block=block))
+    groups = classes.join(linked, classes["class"] == linked["node"], "left")
     smallest = groups.filter("component is not null").groupBy("component").agg(F.min("first").alias("_smallest"))
-    named = groups.join(smallest, "component", "left").select("class", F.coalesce("_smallest", "first").alias("_component"), F.col("copies"), F.col("component").isNotNull().alias("_linked"))
-    shared = small(pin(named.filter("copies > 1 or _linked").select("class", "_component")))
-    return rows.select("doc_id", "n_shingles", "class").join(shared, "class", "left").select("doc_id", "n_shingles", "class", F.coalesce("_component", "doc_id").alias("component_id"))
+    shared = groups.filter("copies > 1 or component is not null").join(smallest, "component", "left").select("class", F.coalesce("_smallest", "first").alias("_component"))
+    return rows.join(small(pin(shared)), "class", "left").select("doc_id", "n_shingles", "class", F.coalesce("_component", "doc_id").alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

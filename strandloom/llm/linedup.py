@@ -14,86 +14,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pin, small
-from .setjoin import WordHashes, blocked_links, components, list_edges, ordered_sets, prefix_length, shingle_hashes, slices, token_levels, words_of
+from .setjoin import blocked_links, by_bytes, class_sets, components, distinct_sets, line_words, list_edges, shingle_hashes, signature_lists, slices
 
 #: A removal list is broadcast if it has at most this many lines.
 BROADCAST_LINES = 1_000_000
+#: Lines that one task joins with each other at a time; their sets are small.
+BLOCK = 8_192
 LAST = (1 << 63) - 1
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+def sets_of(k: int):
+    """Texts to (tokens, offsets, classes) of the k-word shingles of their lines of at least k words."""
 
+    def sets(texts):
+        words, counts, _, _ = line_words(texts, k)
+        return distinct_sets(*shingle_hashes(words, counts, k))
 
-def _lines(text: str, k: int) -> list[tuple[int, list[bytes]]]:
-    """(line number, words) of the lines with at least k words."""
-    return [(i, w) for i, w in enumerate(words_of(line) for line in text.split("\n")) if len(w) >= k]
+    return sets
 
 
-def line_sets(docs: DataFrame, levels: np.ndarray, k: int, num: int, den: int) -> DataFrame:
-    """(doc, key, line, n, class, prefix) of every line with k words; prefix only comes with the first of its class in a task."""
+def line_classes(docs: DataFrame, k: int) -> DataFrame:
+    """(doc, key, line, class) of every line with k words; ``docs`` is (doc, key, text)."""
 
-    def sets(batches):
-        hashes, seen = WordHashes(), set()
-        for batch in slices(batches, 256):
-            doc, key, line, words = [], [], [], []
-            for d, h, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for i, w in _lines(text or "", k):
-                    doc.append(d)
-                    key.append(h)
-                    line.append(i)
-                    words.append(w)
-            tokens, offsets, classes = ordered_sets(*shingle_hashes(words, k, hashes), levels)
-            n, signed, prefixes = np.diff(offsets), tokens.view(np.int64), []
-            for cls, start, size in zip(classes.tolist(), offsets[:-1].tolist(), prefix_length(n, num, den).tolist(), strict=True):
-                prefixes.append(None if cls in seen else signed[start : start + size])
-                seen.add(cls)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(line, pa.int32()), pa.array(n, pa.int32()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc", "key", "line", "n", "class", "prefix"],
-            )
-
-    return docs.mapInArrow(sets, "doc long, key long, line int, n int, class long, prefix array<long>")
-
-
-def repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = 512) -> DataFrame:
+    def run(batches):
+        for batch in by_bytes(batches, 2):
+            words, counts, text, line = line_words(batch.column(2).to_pylist(), k)
+            _, _, classes = distinct_sets(*shingle_hashes(words, counts, k))
+            at = pa.array(text, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(classes, pa.int64())], names=["doc", "key", "line", "class"])
+
+    return docs.mapInArrow(run, "doc long, key long, line int, class long")
+
+
+def repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc, key, line) of each line that repeats an earlier one. ``doc`` is the id (null: the largest long), ``key`` the text's hash."""
-    texts = _documents(docs, id_col, text_col)
-    levels = token_levels(texts.select("text"), lambda text: [w for _, w in _lines(text, k)], k)
-    rows = pin(line_sets(texts, levels, k, num, den))
-    postings = rows.filter("prefix is not null").select(F.explode("prefix").alias("token"), "n", "class")
-    near = components(list_edges(postings, num, den))
+    named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    rows = pin(line_classes(named, k))
+    near = pin(components(list_edges(signature_lists(named.select("text"), sets_of(k), num, den), num, den)))
     # Classes are ranked by where they first occur.
     place = F.array("doc", "key", F.col("line").cast("long"))
     classes = pin(rows.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
     members = near.join(classes, near["node"] == classes["class"]).select("component", "class", F.col("first").alias("rank"))
-    names = ["component", "task", "class", "rank", "label", "probe"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.bool_()]
-
-    def with_sets(tasks: DataFrame) -> DataFrame:
-        # The sets are taken anew from the lines that come first in their class.
-        wanted = F.collect_list(F.struct(*names)).alias("wanted")
-        by_doc = small(pin(tasks.groupBy(F.col("rank")[0].alias("doc"), F.col("rank")[1].alias("key")).agg(wanted)))
-        chosen = texts.join(by_doc, ["doc", "key"]).select("text", "wanted")
-
-        def sets(batches):
-            hashes = WordHashes()
-            for batch in slices(batches, 256):
-                ask, words = [], []
-                for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    lines = dict(_lines(text or "", k))
-                    ask += wanted
-                    words += [lines.get(w["rank"][2], []) for w in wanted]
-                tokens, offsets, found = ordered_sets(*shingle_hashes(words, k, hashes), levels)
-                raw, cuts = tokens.tobytes(), (offsets * 8).tolist()
-                columns = [pa.array([w[name] for w in ask], kind) for name, kind in zip(names, types, strict=True)]
-                columns.append(pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()))
-                same = pa.array(found == np.array([w["class"] for w in ask], dtype=np.int64))
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "tokens"]).filter(same)
-
-        return chosen.mapInArrow(sets, "component long, task long, class long, rank array<long>, label long, probe boolean, tokens binary")
-
-    links = blocked_links(members, with_sets, num, den, earlier=True, block=block)
+    members = pin(members)
+    sets = class_sets(named.select("text"), sets_of(k), members)
+    links = blocked_links(members, sets, num, den, earlier=True, block=block)
     later = links.select(F.col("a").alias("class")).distinct().withColumn("_later", F.lit(True))
     decided = classes.join(later, "class", "left").filter("copies > 1 or _later").select("class", "first", F.coalesce("_later", F.lit(False)).alias("_later"))
     decided = small(pin(decided))

@@ -2,18 +2,21 @@
 
 Steps, the same for documents and lines:
 
-1. Count every token of the corpus in a fixed-size sketch; a token's order key
-   is (how far its bucket is above the rest, hash), so rare tokens come first.
-2. Equal sets become one class. Each class puts its prefix, the
-   n - ceil(t * n) + 1 first tokens, into index lists; two sets of similarity t
-   share one of them. A list only ties its members to its first one of a
-   compatible size, so a list of m entries gives m - 1 edges, not m * m.
+1. Equal sets become one class.
+2. Each class puts its signatures (Segments) into lists; two sets of
+   similarity t are in one list at least. A list only ties its members to its
+   first one of a compatible size, so m entries give m - 1 edges, not m * m.
 3. Connected components of these edges hold every possible link. They are cut
-   into blocks of bounded size and joined in the tasks with prefix, length and
-   positional filters and an exact overlap.
+   into blocks of bounded size and joined in the tasks over index lists of
+   tokens in order of rarity, with prefix, length and positional filters and an
+   exact overlap.
 4. A component of several blocks is also compared with one pivot set. Only
    members that this leaves undecided meet the other blocks.
 
+Index lists over the whole corpus would do without step 2, but tokens of a
+passage that many texts share tie all of those together: on the 0.1 GB test
+table half of all documents came into question that way.
+
 A class is named by a 64-bit hash of its sorted tokens: at 10^9 different
 texts the chance that any two share a name is about 3 %.
 """
@@ -21,17 +24,17 @@ texts the chance that any two share a name is about 3 %.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pin, small
 
-SKETCH = 1 << 18
-SKETCH_ROWS = 16
 #: Sets that one task joins with each other at a time.
 BLOCK = 512
 SLICE = 512
@@ -39,14 +42,68 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _TOP = np.uint64(58)
 
 
-class WordHashes(dict):
-    """Word -> 64-bit hash; forgets everything when it gets large."""
+# One odd multiplier's powers and their inverses (modulo 2^64), and a random number per byte; A-Z count as a-z.
+_BASE = 0xC2B2AE3D27D4EB4F
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTES[65:91] = _BYTES[97:123]
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+PIECE = 1 << 20
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, x, dtype=np.uint64))]) for x in (_BASE, _INVERSE))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+
+def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of every word of a text: runs without ASCII white space, A-Z lower-cased, nothing else changed.
+
+    A word's hash is a polynomial of its bytes, taken for all words at once
+    from one running sum. Texts are worked on in pieces that end at white space.
+    """
+    whole = np.frombuffer(data, dtype=np.uint8)
+    hashes, starts, at = [], [], 0
+    while at < len(whole):
+        end = min(at + PIECE, len(whole))
+        while end < len(whole) and not _SPACE[whole[end]]:
+            end += 1
+        part = whole[at:end]
+        power, inverse = _powers(max(PIECE + 4096, 1 << (len(part) - 1).bit_length()))
+        space = np.concatenate([[True], _SPACE[part], [True]])
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        a, b = edge[0::2], edge[1::2]
+        total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[part] * power[: len(part)])])
+        hashes.append(_mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64)))
+        starts.append(a + at)
+        at = end
+    if not hashes:
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def document_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, number of words of each text)."""
+    raw = [(x or "").encode() for x in texts]
+    hashes, starts = hash_words(b"\n".join(raw))
+    ends = np.cumsum([len(x) + 1 for x in raw])
+    return hashes, np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(raw))
+
+
+def line_words(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, words of each line, text of each line, line number) of the lines with at least ``least`` words."""
+    raw = [(x or "").encode() for x in texts]
+    data = b"\n".join(raw)
+    hashes, starts = hash_words(data)
+    breaks = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 10)
+    line = np.searchsorted(breaks, starts)
+    count = np.bincount(line, minlength=len(breaks) + 1)
+    kept = np.flatnonzero(count >= least)
+    begins = np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])[:-1]])
+    first_line = np.searchsorted(breaks, begins)
+    text = np.searchsorted(first_line, kept, side="right") - 1
+    return hashes[(count >= least)[line]], count[kept], text, kept - first_line[text]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -54,11 +111,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_hashes(texts: list[list[bytes]], k: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, offsets): the k-word shingles of each word list, repeats included; fewer than k words are one shingle."""
-    counts = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    total = int(counts.sum())
-    words = np.fromiter((hashes[w] for t in texts for w in t), dtype=np.uint64, count=total)
+def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): the k-word shingles of each of the consecutive runs of words, repeats included; fewer than k words are one shingle."""
+    total = len(words)
     starts = np.concatenate([[0], np.cumsum(counts)])
     n_shingles = np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))
     offsets = np.concatenate([[0], np.cumsum(n_shingles)])
@@ -66,9 +121,9 @@ def shingle_hashes(texts: list[list[bytes]], k: int, hashes: WordHashes) -> tupl
     for i in range(k):
         rolled *= _M1
         rolled += words[i : i + len(rolled)]
+    owner = np.repeat(np.arange(len(counts)), n_shingles)
+    place = starts[owner] + np.arange(int(offsets[-1])) - offsets[owner]
     out = np.empty(int(offsets[-1]), dtype=np.uint64)
-    owner = np.repeat(np.arange(len(texts)), n_shingles)
-    place = starts[owner] + np.arange(len(out)) - offsets[owner]
     full = (counts >= k)[owner]
     out[full] = rolled[place[full]]
     for n in range(1, k):
@@ -80,9 +135,9 @@ def shingle_hashes(texts: list[list[bytes]], k: int, hashes: WordHashes) -> tupl
     return _mix(out), offsets
 
 
-def ordered_sets(hashes: np.ndarray, offsets: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, offsets, classes): each set's distinct tokens in rarity order, and the name of each set (0: empty)."""
-    tokens = (levels[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << _TOP) | (hashes >> np.uint64(6))
+def distinct_sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens, offsets, classes): each set's distinct tokens in order, as 58-bit numbers, and the name of each set (0: empty)."""
+    tokens = hashes >> np.uint64(6)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
         tokens[a:b].sort()
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -95,13 +150,77 @@ def ordered_sets(hashes: np.ndarray, offsets: np.ndarray, levels: np.ndarray) ->
     return tokens, offsets, classes.view(np.int64)
 
 
-def prefix_length(n, num: int, den: int):
-    return n - (num * n + den - 1) // den + 1
+class Segments:
+    """Signatures of which two sets of similarity >= num / den share one.
 
+    Sizes fall into classes whose borders grow by den / num, so a pair lies in
+    one class or in two neighbouring ones. Two such sets differ in at most k
+    tokens. The tokens are dealt by their hash into more than k segments, so at
+    least one segment holds the same tokens in both; its sum is the signature.
+    A signature covers several tokens: sets that merely share a passage have
+    none in common.
 
-def words_of(text: str) -> list[bytes]:
-    """Words without ASCII white space, A-Z lower-cased; nothing else is changed."""
-    return text.encode().lower().split()
+    Segments of few tokens say little. A set leaves out those with the fewest
+    tokens as long as more segments than it leaves out must agree. A segment
+    that agrees has as many tokens on either side, so one that both emit remains.
+    """
+
+    def __init__(self, num: int, den: int):
+        starts, ends, n = [], [], 1
+        while n < 1 << 40:
+            starts.append(n)
+            ends.append(n * den // num)
+            n = ends[-1] + 1
+        self.num, self.den = num, den
+        self.starts, self.ends = np.array(starts), np.array(ends)
+        k = self._differ(self.ends, self.ends * den // num)
+        self.parts = k + 1 + (k >= 10) + (k >= 30)
+
+    def _differ(self, n, m):
+        return (n + m) * (self.den - self.num) // (self.den + self.num)
+
+    def signatures(self, tokens: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(signatures, offsets) of the wanted sets; the others get none."""
+        sizes = np.diff(offsets)
+        own = np.searchsorted(self.starts, sizes, side="right") - 1
+        found, owners = [], []
+        for back in (0, 1):
+            cls = own - back
+            low = np.maximum(cls, 0)
+            partner = self.ends[low] if back else np.minimum(self.ends[low + 1], sizes * self.den // self.num)
+            use = np.flatnonzero(wanted & (sizes > 0) & (cls >= 0) & ((back == 0) | (sizes * self.num <= self.ends[low] * self.den)))
+            if not len(use):
+                continue
+            parts = self.parts[low[use]]
+            first = np.concatenate([[0], np.cumsum(parts)])
+            lengths = sizes[use]
+            at = np.repeat(offsets[:-1][use] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(int(lengths.sum()))
+            mixed = _mix(tokens[at])
+            owner = np.repeat(np.arange(len(use)), lengths)
+            slot = first[owner] + (mixed >> np.uint64(16)).astype(np.int64) % parts[owner]
+            sums = np.zeros(int(first[-1]), dtype=np.uint64)
+            np.add.at(sums, slot, mixed)
+            held = np.bincount(slot, minlength=len(sums))
+            spare = parts - self._differ(lengths, partner[use]) - 1
+            least = np.zeros(len(use), dtype=np.int64)
+            for c in range(1, 5):
+                few = np.add.reduceat((held < c).astype(np.int64), first[:-1])
+                least[few <= spare] = c
+            set_of = np.repeat(np.arange(len(use)), parts)
+            keep = held >= least[set_of]
+            segment = np.arange(len(sums)) - first[set_of]
+            tag = _mix((low[use][set_of] * 1_000_003 + segment).astype(np.uint64) + np.uint64(1))
+            found.append(_mix(sums[keep] + tag[keep]))
+            owners.append(use[set_of[keep]])
+        if not found:
+            return np.empty(0, dtype=np.int64), np.zeros(len(offsets), dtype=np.int64)
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return np.concatenate(found)[order].view(np.int64), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
+
+
+def prefix_length(n, num: int, den: int):
+    return n - (num * n + den - 1) // den + 1
 
 
 def slices(batches, size: int = SLICE):
@@ -110,42 +229,84 @@ def slices(batches, size: int = SLICE):
             yield batch.slice(start, size)
 
 
-def token_levels(texts: DataFrame, split: Callable[[str], list[list[bytes]]], k: int) -> np.ndarray:
-    """How common each bucket of the token sketch is, in powers of two above the usual; 0 for nearly all.
+def by_bytes(batches, column: int, limit: int = PIECE):
+    """Slices of about ``limit`` bytes of text, one row at least."""
+    for batch in batches:
+        lengths = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype("f8"))
+        ends = np.cumsum(lengths)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
-    ``texts`` has one text column; all of it is counted. Tasks send fixed-size
-    counters, and the table that comes back has SKETCH bytes at any corpus size.
-    """
-    step = SKETCH // SKETCH_ROWS
-
-    def count(batches):
-        total, hashes = np.zeros(SKETCH, dtype=np.int64), WordHashes()
-        for batch in slices(batches):
-            units = [u for x in batch.column(0).to_pylist() if x for u in split(x)]
-            found, _ = shingle_hashes(units, k, hashes)
-            total += np.bincount((found & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        parts = [total[i * step : (i + 1) * step].astype("<i8").tobytes() for i in range(SKETCH_ROWS)]
-        yield pa.RecordBatch.from_pydict({"part": pa.array(range(SKETCH_ROWS), pa.int32()), "counts": pa.array(parts, pa.binary())})
-
-    def add(batches):
-        total = {}
-        for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, dtype="<i8")
-        yield pa.RecordBatch.from_pydict({"part": pa.array(list(total), pa.int32()), "counts": pa.array([v.tobytes() for v in total.values()], pa.binary())})
-
-    schema = "part int, counts binary"
-    rows = texts.mapInArrow(count, schema).repartition(SKETCH_ROWS, "part").mapInArrow(add, schema).collect()
-    counts = np.zeros(SKETCH, dtype=np.int64)
-    for row in rows:
-        counts[row.part * step : (row.part + 1) * step] += np.frombuffer(row.counts, dtype="<i8")
-    mean = counts.mean()
-    above = np.maximum((counts - mean - 4 * np.sqrt(mean)) / 32, 1)
-    return np.ceil(np.log2(above)).astype(np.uint8)
+
+#: Words of 64 bits that the filter of classes has; its size does not depend on the corpus.
+FILTER = 1 << 20
+
+
+def class_filter(classes: DataFrame) -> np.ndarray:
+    """A Bloom filter of the column ``class``, put together by the executors; at most FILTER words come to the driver."""
+    word = lambda shift: F.shiftrightunsigned("class", shift).bitwiseAND(FILTER - 1)
+    bit = lambda shift: F.expr(f"shiftleft(1L, cast(shiftrightunsigned(class, {shift}) & 63 as int))")
+    marks = classes.select(F.explode(F.array(F.struct(word(6).alias("w"), bit(0).alias("b")), F.struct(word(34).alias("w"), bit(28).alias("b")))).alias("m"))
+    found = marks.groupBy("m.w").agg(F.bit_or("m.b").alias("b")).toPandas()
+    out = np.zeros(FILTER, dtype=np.int64)
+    out[found["w"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def passes(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    c = classes.view(np.uint64)
+    hit = lambda a, b: (bits[((c >> np.uint64(a)) & np.uint64(FILTER - 1)).astype(np.int64)] >> ((c >> np.uint64(b)) & np.uint64(63))) & np.uint64(1)
+    return (hit(6, 0) & hit(34, 28)).astype(bool)
+
+
+def first_seen(classes: np.ndarray, seen: set) -> np.ndarray:
+    """Which classes a task has not met before; 0, the empty set, counts as met."""
+    new = np.zeros(len(classes), dtype=bool)
+    for i, cls in enumerate(classes.tolist()):
+        if cls and cls not in seen:
+            seen.add(cls)
+            new[i] = True
+    return new
+
+
+def signature_lists(texts: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
+    """(token, n, class) for each signature of each class; ``sets_of`` turns texts into (tokens, offsets, classes)."""
+    segments = Segments(num, den)
+
+    def run(batches):
+        seen: set = set()
+        for batch in by_bytes(batches, 0):
+            tokens, offsets, classes = sets_of(batch.column(0).to_pylist())
+            found, cuts = segments.signatures(tokens, offsets, first_seen(classes, seen))
+            owner = np.repeat(np.arange(len(classes)), np.diff(cuts))
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.diff(offsets)[owner], pa.int32()), pa.array(classes[owner])], names=["token", "n", "class"])
+
+    return texts.mapInArrow(run, "token long, n int, class long")
+
+
+def class_sets(texts: DataFrame, sets_of: Callable, classes: DataFrame) -> DataFrame:
+    """(class, tokens) of the wanted classes: the texts are scanned once more, and a filter of fixed size keeps nearly all others back."""
+    bits = texts.sparkSession.sparkContext.broadcast(class_filter(classes))
+
+    def run(batches):
+        seen: set = set()
+        for batch in by_bytes(batches, 0):
+            tokens, offsets, found = sets_of(batch.column(0).to_pylist())
+            at = np.flatnonzero(passes(bits.value, found))
+            at = at[first_seen(found[at], seen)]
+            rows = [tokens[offsets[i] : offsets[i + 1]].tobytes() for i in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found[at]), pa.array(rows, pa.binary())], names=["class", "tokens"])
+
+    found = texts.mapInArrow(run, "class long, tokens binary").join(classes.select("class"), "class", "left_semi")
+    return pin(found.groupBy("class").agg(F.first("tokens").alias("tokens")))
 
 
 def list_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that tie the entries of each index list together: postings are (token, n, class).
+    """Edges (a, b) that tie the entries of each index list together: postings are (token, n, class), a token being a signature.
 
     Entries are scanned by size; a gap wider than the length filter allows
     starts a new run, and each entry is tied to the first of its run.
@@ -182,6 +343,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select("b", "b").distinct())
 
 
+def by_rarity(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets with their tokens in one order, those of the fewest sets first; how many sets a token is in goes into its top bits."""
+    _, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = np.minimum(counts, 63).astype(np.uint64)[inverse]
+    cuts = np.cumsum([len(x) for x in sets])[:-1]
+    return [np.sort(x | (c << _TOP)) for x, c in zip(sets, np.split(often, cuts), strict=True)]
+
+
 def prefix_join(sets: list[np.ndarray], num: int, den: int, probe: list[bool], skip: Callable[[int, int], bool], match: Callable[[int, int, int], None]) -> None:
     """Calls match(i, j, overlap) for pairs of sets with Jaccard >= num / den of which one is in ``probe``.
 
@@ -253,8 +422,8 @@ def grouped(batches, keys: int):
         yield rows
 
 
-def blocked_links(members: DataFrame, with_sets: Callable[[DataFrame], DataFrame], num: int, den: int, earlier: bool, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between classes; ``members`` is (component, class, rank), ``with_sets`` adds a ``tokens`` binary column.
+def blocked_links(members: DataFrame, sets: DataFrame, num: int, den: int, earlier: bool, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between classes; ``members`` is (component, class, rank), ``sets`` (class, tokens).
 
     With ``earlier`` it finds for each class one class of smaller rank that it
     is similar to, if there is any: (a: the class, b: the earlier one). Without,
@@ -267,7 +436,7 @@ def blocked_links(members: DataFrame, with_sets: Callable[[DataFrame], DataFrame
     own = F.array(F.pmod(F.xxhash64("class"), F.col("_blocks")))
     tasks = F.when(F.col("class") == F.col("_pivot"), F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).otherwise(own)
     first = dealt.select("component", F.explode(tasks).alias("task"), "class", "rank", F.col("class").alias("label"), F.lit(True).alias("probe"))
-    links = pin(_joined(with_sets(first), num, den, earlier))
+    links = pin(_joined(first.join(sets, "class"), num, den, earlier))
     if large.limit(1).count() == 0:
         return links
 
@@ -293,7 +462,7 @@ def blocked_links(members: DataFrame, with_sets: Callable[[DataFrame], DataFrame
     along = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1), lambda c: F.struct(number(side, c).alias("task"), F.lit(True).alias("probe")))
     spread = F.when(F.col("_open"), F.concat(across, along)).otherwise(across)
     second = state.select("component", "class", "rank", "label", F.explode(spread).alias("t")).select("component", "t.task", "class", "rank", "label", "t.probe")
-    return links.union(_joined(with_sets(second), num, den, earlier)).distinct()
+    return links.union(_joined(second.join(sets, "class"), num, den, earlier)).distinct()
 
 
 def _joined(members: DataFrame, num: int, den: int, earlier: bool) -> DataFrame:
@@ -308,7 +477,7 @@ def _joined(members: DataFrame, num: int, den: int, earlier: bool) -> DataFrame:
             names, info = list(by_class), list(by_class.values())
             if len(names) < 2:
                 continue
-            sets = [np.frombuffer(x[3], dtype="<u8") for x in info]
+            sets = by_rarity([np.frombuffer(x[3], dtype="<u8") for x in info])
             out: list[tuple[int, int]] = []
             if earlier:
                 done = [False] * len(names)
