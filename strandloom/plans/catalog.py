@@ -71,12 +71,12 @@ def complete_profile(spark, sf_dir):
     return tidy(views.complete_profile(star(spark, sf_dir)))
 
 
-@on_star(PER_PHAGE + """SELECT f.Phage_ID, f.Source_DB, f.Length, f.GC_content, f.Host, f.Lifestyle, COALESCE(p.n, 0) AS protein_count, ROUND(p.mw, 4) AS avg_protein_mw, COALESCE(t.n, 0) AS terminator_types,
+@on_star(PER_PHAGE + """SELECT f.Phage_ID, f.Source_DB, f.Length, f.GC_content, f.Host, f.Lifestyle, COALESCE(p.n, 0) AS protein_count, ROUND(p.mw, 8) AS avg_protein_mw, COALESCE(t.n, 0) AS terminator_types,
 COALESCE(a.n, 0) AS anti_crispr_count, COALESCE(v.n, 0) AS virulent_factor_count, COALESCE(tm.n, 0) AS transmembrane_count, COALESCE(tr.n, 0) AS trna_count
 FROM (SELECT DISTINCT Phage_ID, Source_DB, Length, GC_content, Host, Lifestyle FROM fact_phages WHERE Length > 50000 ORDER BY Length DESC, Phage_ID, Source_DB, GC_content LIMIT 100) f
 LEFT JOIN p USING (Phage_ID) LEFT JOIN t USING (Phage_ID) LEFT JOIN a USING (Phage_ID) LEFT JOIN v USING (Phage_ID) LEFT JOIN tm USING (Phage_ID) LEFT JOIN tr USING (Phage_ID)""")
 def large_phage_profile(spark, sf_dir):
-    return tidy(views.large_phage_profile(star(spark, sf_dir)))
+    return tidy(views.large_phage_profile(star(spark, sf_dir)), 8)
 
 
 @on_star("SELECT Source_DB, COUNT(DISTINCT Phage_ID) AS phages_with_amr, COUNT(DISTINCT Protein_ID) AS total_amr_proteins, COUNT(DISTINCT aligned_protein_card) AS unique_card_matches, ROUND(COUNT(DISTINCT Phage_ID) * 100.0 / ANY_VALUE(total), 2) AS percentage_phages_with_amr FROM (SELECT p.Source_DB, a.Phage_ID, a.Protein_ID, a.aligned_protein_card FROM dim_antimicrobial_resistance_genes a JOIN fact_phages p ON p.Phage_ID = a.Phage_ID) LEFT JOIN (SELECT Source_DB, COUNT(DISTINCT Phage_ID) AS total FROM fact_phages GROUP BY 1) USING (Source_DB) GROUP BY Source_DB")
@@ -242,7 +242,7 @@ def entity_counts(spark, sf_dir):
     return quality.entity_counts({t: table(spark, sf_dir, t) for t in ENTITIES})
 
 
-@on_star("SELECT f.Phage_ID, COUNT(DISTINCT p.Protein_ID) AS n_proteins, ROUND(AVG(p.Molecular_weight), 4) AS avg_weight, ROUND(AVG(p.Aromaticity), 4) AS avg_aromaticity, ROUND(AVG(p.Instability_index), 4) AS avg_instability, CAST(SUM(CASE WHEN p.Protein_classification LIKE '%R' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned FROM fact_phages f LEFT JOIN dim_proteins p USING (Phage_ID) GROUP BY 1")
+@on_star("SELECT f.Phage_ID, COUNT(DISTINCT p.Protein_ID) AS n_proteins, ROUND(AVG(p.Molecular_weight), 8) AS avg_weight, ROUND(AVG(p.Aromaticity), 8) AS avg_aromaticity, ROUND(AVG(p.Instability_index), 8) AS avg_instability, CAST(SUM(CASE WHEN p.Protein_classification LIKE '%R' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned FROM fact_phages f LEFT JOIN dim_proteins p USING (Phage_ID) GROUP BY 1")
 def protein_features(spark, sf_dir):
     tables = star(spark, sf_dir)
     one = views.per_phage(
@@ -253,7 +253,7 @@ def protein_features(spark, sf_dir):
         avg_instability=F.avg("Instability_index"),
         n_returned=F.sum(F.col("Protein_classification").endswith("R").cast("long")),
     )
-    return tidy(views.profile(tables["fact_phages"], [], [one], ["n_proteins", "n_returned"]))
+    return tidy(views.profile(tables["fact_phages"], [], [one], ["n_proteins", "n_returned"]), 8)
 
 
 @query("SELECT n_hosts, COUNT(*) AS n_phages, ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS pct, n_hosts > 1 AS broad FROM (SELECT l_partkey, COUNT(DISTINCT l_suppkey) AS n_hosts FROM lineitem GROUP BY 1) GROUP BY n_hosts")
@@ -356,10 +356,10 @@ def kmer_cosine(spark, sf_dir):
     return tidy(features.kmer_cosine(features.kmer_counts(turns, 3, "id", "text"), follow, "id"), 6)
 
 
-@query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON md5(d.text) = md5(b.text)")
+@query("SELECT d.doc_id, f.first_id FROM documents d JOIN (SELECT md5(text) AS h, MIN(doc_id) AS first_id FROM documents GROUP BY 1) f ON md5(d.text) = f.h")
 def by_digest(spark, sf_dir):
-    digest = F.md5(F.col("text").cast("binary"))
-    return table(spark, sf_dir, "documents").select("doc_id", digest.alias("h")).join(table(spark, sf_dir, "benchmark").select("item_id", digest.alias("h")), "h").drop("h")
+    digested = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
+    return digested.join(digested.groupBy("h").agg(F.min("doc_id").alias("first_id")), "h").drop("h")
 
 
 @query("SELECT source AS source_db, COUNT(*) AS n_records FROM documents GROUP BY 1")
@@ -471,7 +471,7 @@ def melt_attributes(spark, sf_dir):
 
 @query("SELECT o_orderpriority, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS F, COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS O, COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS P FROM orders GROUP BY 1")
 def pivot_attributes(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count("*")).na.fill(0)
+    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 @query("SELECT user_id, event_id, ts, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
