@@ -52,3 +52,8 @@ def running_totals(df: DataFrame, keys: list[str], order: str, values: dict[str,
     for k, v in values.items():
         joined = joined.withColumn(k, F.col(f"_o_{k}") + F.sum(v).over(within))
     return joined.drop("_bin", *[f"_o_{k}" for k in values])
+
+
+def aside(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named ``_0``, ``_1``, ..., so that none clashes with a helper column; ``toDF`` names them back."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, small
+from .common import aside, pin, small
 from .setjoin import BLOCK, blocked_links, by_bytes, class_sets, components, distinct_sets, document_words, list_edges, shingle_hashes, signature_lists
 
 
@@ -63,5 +63,6 @@ def one_of_each_group(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, i
     component stay too, for they are the same document.
     """
     found = similar_documents(docs, k, num, den, id_col, text_col)
-    gone = small(pin(found.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = small(pin(found.filter("component_id < doc_id").select(F.col("doc_id").alias("gone")).distinct()))
+    kept = aside(docs)
+    return kept.join(gone, F.col(f"_{docs.columns.index(id_col)}") == F.col("gone"), "left_anti").toDF(*docs.columns)

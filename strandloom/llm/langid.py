@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import aside
 from .setjoin import slices
 
 #: The bounded sample: documents of each language, and characters of each of them.
@@ -252,6 +253,5 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
 def identified(docs: DataFrame, model: Model | None, least: float = 0.4, text_col: str = "text") -> DataFrame:
     """The documents whose language is recognised with a score of at least ``least``; columns as they were."""
     names = docs.columns
-    aside = docs.toDF(*[f"_{i}" for i in range(len(names))])  # so that no column of docs is mistaken for a result
-    found = predict(aside, model, f"_{names.index(text_col)}")
+    found = predict(aside(docs), model, f"_{names.index(text_col)}")
     return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).drop("lang_pred", "score").toDF(*names)

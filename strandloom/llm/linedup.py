@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, small
+from .common import aside, pin, small
 from .setjoin import blocked_links, by_bytes, class_sets, components, distinct_sets, line_words, list_edges, shingle_hashes, signature_lists, slices
 
 #: A removal list is broadcast if it has at most this many lines.
@@ -69,17 +69,17 @@ def drop_repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
 
     A column ``n_chars`` follows the new text. Null texts stay null; rows that
     repeat both id and text are one document and keep the same lines; all other
-    columns are unchanged, and an empty table stays empty. A document whose
-    lines all go stays as an empty text.
+    columns are unchanged, whatever their names, and an empty table stays empty.
+    A document whose lines all go stays as an empty text.
     """
     gone = pin(repeated_lines(docs, k, num, den, id_col, text_col).distinct())
     by_doc = gone.groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_list("line").alias("_gone"))
     if gone.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES:
         by_doc = F.broadcast(by_doc)
-    names = docs.columns
-    keyed = docs.withColumns({"_d": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), "_k": F.xxhash64(text_col)})
-    joined = keyed.join(by_doc, (F.col("_d") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select(*names, "_gone")
+    names, own = docs.columns, aside(docs)
     at = names.index(text_col)
+    keyed = own.withColumns({"_d": F.coalesce(F.col(f"_{names.index(id_col)}").cast("long"), F.lit(LAST)), "_k": F.xxhash64(f"_{at}")})
+    joined = keyed.join(by_doc, (F.col("_d") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select(*own.columns, "_gone")
 
     def cut(batches):
         for batch in slices(batches, 256):
@@ -98,7 +98,8 @@ def drop_repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
                 old = columns[i].to_pylist()
                 columns[i] = pa.array([len(t) if r else o for t, r, o in zip(texts, removed, old, strict=True)], batch.schema.field(i).type)
             more = [pa.array(total, pa.int32()), pa.array(removed, pa.int32())] if counts else []
-            yield pa.RecordBatch.from_arrays([*columns, *more], names=[*names, *["n_lines", "n_removed"][: len(more)]])
+            yield pa.RecordBatch.from_arrays([*columns, *more], names=[*batch.schema.names[: len(names)], *["lines", "removed"][: len(more)]])
 
-    schema = docs.select(*names, *[F.lit(0).alias(x) for x in ("n_lines", "n_removed") if counts]).schema
-    return joined.mapInArrow(cut, schema)
+    added = ["n_lines", "n_removed"] if counts else []
+    schema = own.select("*", *[F.lit(0).alias(x) for x in ("lines", "removed")[: len(added)]]).schema
+    return joined.mapInArrow(cut, schema).toDF(*names, *added)

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pin, small
+from .common import WORD, aside, pin, small
 
 #: Rows of one bucket of the running sums at least; from its square on, the square root of all rows, so that buckets and their sums are about as many.
 ROWS_PER_BUCKET = 2_000
@@ -130,6 +130,7 @@ def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", tex
         taken["doc_id"].alias("_id"), taken["shuffle"].alias("_shuffle"), F.ceil(taken["taken"] / copies["rows"]).cast("int").alias("_times")
     )
     times = small(pin(times))
-    keyed = docs.withColumn("_key", shuffle_key(seed, id_col, text_col))
-    joined = keyed.join(times, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_shuffle")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    own = aside(docs)
+    ids, texts = (f"_{docs.columns.index(c)}" for c in (id_col, text_col))
+    joined = own.withColumn("_key", shuffle_key(seed, ids, texts)).join(times, F.col(ids).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_shuffle")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*own.columns).toDF(*docs.columns)

@@ -89,7 +89,8 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Write one record per page; null html is an empty payload, null urls become ``urn:page:<id>``."""
-    marked = mark_revisits(pages, min_bytes, id_col, html_col)
+    pages = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    marked = mark_revisits(pages, min_bytes, "page", "html")
 
     def build(batches):
         for batch in batches:
@@ -97,10 +98,9 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
             members = (gzip_member(build_record(page, url, (html or "").encode(), first, revisit)) for page, url, html, first, revisit in rows)
             yield pa.RecordBatch.from_arrays([pa.array([m if m[-1] else m[:-1] for m in members], pa.binary())], names=["member"])
 
-    mean = pages.agg(F.avg(F.length(payload_bytes(F.col(html_col))))).first()[0] or 0
+    mean = pages.agg(F.avg(F.length(payload_bytes(F.col("html"))))).first()[0] or 0
     per_file = max(1, int(ARCHIVE_BYTES / (mean + 700)))
-    columns = [F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.col("_first").cast("long").alias("first"), F.col("_revisit").alias("revisit")]
-    rows = marked.select(*columns).mapInArrow(build, "member binary").select(F.col("member").cast("string").alias("value"))
+    rows = marked.select("page", "url", "html", "_first", "_revisit").mapInArrow(build, "member binary").select(F.col("member").cast("string").alias("value"))
     rows.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", per_file).text(path)
 
 
