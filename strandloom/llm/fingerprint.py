@@ -115,7 +115,7 @@ def by_ranges(docs: DataFrame, id_col: str, text_col: str, ranges: int | None =
         ranges = min(MAX_RANGES, max(2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     cuts = sorted(set(keyed.approxQuantile("_order", [i / ranges for i in range(1, ranges)], 0.5 / ranges))) if ranges > 1 else []
     split = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_order", outputCol="_range")
-    dealt = split.transform(keyed).withColumn("range", F.col("_range").cast("long"))
+    dealt = (split.transform(keyed) if cuts else keyed.withColumn("_range", F.lit(0))).withColumn("range", F.col("_range").cast("long"))
     firsts = sorted((r["range"], r["first"]) for r in dealt.groupBy("range").agg(F.min("_id").alias("first")).collect())
     # A first document is also the end of the range before; the very first one ends the last range.
     before = spark.createDataFrame([(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)], "_first long, _before long")
