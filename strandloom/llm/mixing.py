@@ -64,7 +64,7 @@ def mix_sources(
 
     ``rows``: one per document with ``row``, doc_id, ``shuffle``, size (words;
     null text: 0), source_size and target. ``stream``: the mix in order of
-    ``position`` (tokens up to and including a row), with ``row``, ``epoch``
+    ``position`` (tokens up to and including a row), with ``row``, ``source``, ``epoch``
     (0 to max_repeats - 1) and ``finish``. Null ids are ordinary; documents
     without words are never taken; repeated rows are separate documents; an
     empty table gives empty results. Only ids, sources and numbers are shuffled.
@@ -95,7 +95,7 @@ def mix_sources(
 
     # A row starts where the one before it finished; those that start past time 1 come after the budget is spent.
     epochs = F.filter(F.sequence(F.lit(0), F.lit(max_repeats - 1)), lambda e: e * F.col("source_size") + F.col("served") - F.col("size") < F.col("target"))
-    timed = served.select("row", "rank", "doc_id", "shuffle", "size", "source_size", "served", "target", "budget", F.explode(epochs).alias("epoch"))
+    timed = served.select("row", "source", "rank", "doc_id", "shuffle", "size", "source_size", "served", "target", "budget", F.explode(epochs).alias("epoch"))
     timed = timed.withColumn("finish", (F.col("epoch") * F.col("source_size") + F.col("served")) / F.col("target"))
     # Tokens are spread evenly over virtual time, so equal spans of it are ranges of about equal size.
     spans = max(1, math.ceil(max_repeats * count / rows_per_bucket))
@@ -106,7 +106,7 @@ def mix_sources(
     order = Window.partitionBy("span").orderBy("finish", "rank", "epoch", "shuffle", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0)
     ranged = timed.join(small(span_ahead), "span").repartitionByRange("span")
     stream = ranged.withColumn("position", F.col("span_ahead") + F.sum("size").over(order)).filter(F.col("position") <= F.col("budget"))
-    return rows, stream.select("row", "doc_id", "shuffle", "epoch", "size", "finish", "position")
+    return rows, stream.select("row", "source", "doc_id", "shuffle", "epoch", "size", "finish", "position")
 
 
 def mixture_by_document(docs: DataFrame, **options) -> DataFrame:
@@ -116,21 +116,20 @@ def mixture_by_document(docs: DataFrame, **options) -> DataFrame:
     return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, max_repeats: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``.
 
-    Rows that repeat both id and text share one fate: each is returned the
-    (rounded up) mean number of times. Joins on the id and the shuffle key, so
-    texts are not carried through the sorts.
+    The mix takes a prefix of every source's own order, so the last place that
+    it takes of each source tells for every document how often it is taken.
+    Only this table of a row per source is joined; texts are not shuffled. Rows
+    that repeat both id and text share one fate, that of the most taken one.
     """
-    rows, stream = mix_sources(docs, seed=seed, id_col=id_col, text_col=text_col, **options)
-    copies = rows.groupBy("doc_id", "shuffle").agg(F.count("*").alias("rows"))
-    taken = stream.groupBy("doc_id", "shuffle").agg(F.count("*").alias("taken"))
-    times = taken.join(copies, taken["doc_id"].eqNullSafe(copies["doc_id"]) & (taken["shuffle"] == copies["shuffle"])).select(
-        taken["doc_id"].alias("_id"), taken["shuffle"].alias("_shuffle"), F.ceil(taken["taken"] / copies["rows"]).cast("int").alias("_times")
-    )
-    times = small(pin(times))
+    _, stream = mix_sources(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, max_repeats=max_repeats, **options)
+    last = small(pin(stream.groupBy(F.col("source").alias("_source")).agg(F.max(F.struct("epoch", "shuffle", "doc_id")).alias("_last"))))
     own = aside(docs)
-    ids, texts = (f"_{docs.columns.index(c)}" for c in (id_col, text_col))
-    joined = own.withColumn("_key", shuffle_key(seed, ids, texts)).join(times, F.col(ids).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_shuffle")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*own.columns).toDF(*docs.columns)
+    ids, texts, sources = (f"_{docs.columns.index(c)}" for c in (id_col, text_col, source_col))
+    keyed = own.filter(F.col(texts).rlike(WORD)).withColumn("_key", shuffle_key(seed, ids, texts))
+    joined = keyed.join(last, F.col(sources).eqNullSafe(F.col("_source")))
+    place = lambda e: F.struct(e.alias("epoch"), F.col("_key").alias("shuffle"), F.col(ids).alias("doc_id"))
+    epochs = F.filter(F.sequence(F.lit(0), F.lit(max_repeats - 1)), lambda e: place(e) <= F.col("_last"))
+    return joined.withColumn("_copy", F.explode(epochs)).select(*own.columns).toDF(*docs.columns)
