@@ -6,12 +6,13 @@ Steps, the same for documents and lines:
 2. Each class puts its signatures (Segments) into lists; two sets of
    similarity t are in one list at least. A list only ties its members to its
    first one of a compatible size, so m entries give m - 1 edges, not m * m.
-3. Connected components of these edges hold every possible link. They are cut
+3. Connected components of these edges hold every possible link. They are put
    into blocks of bounded size and joined in the tasks over index lists of
    tokens in order of rarity, with prefix, length and positional filters and an
    exact overlap.
-4. A component of several blocks is also compared with one pivot set. Only
-   members that this leaves undecided meet the other blocks.
+4. A component that is too large for one block is first cut along the tokens
+   that few of its sets hold. If it still has several blocks, it is compared
+   with one pivot set; only members left undecided meet the other blocks.
 
 Index lists over the whole corpus would do without step 2, but tokens of a
 passage that many texts share tie all of those together: on the 0.1 GB test
@@ -422,6 +423,37 @@ def grouped(batches, keys: int):
         yield rows
 
 
+def refined(members: DataFrame, sets: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """``members`` (component, class, rank) with components of more than ``block`` classes cut along rare tokens.
+
+    Two similar sets share one of their first tokens in any common order, here
+    by how many sets of the component hold a token. Passages that many sets
+    hold come last in it, so sets that share no more than such passages part.
+    Tokens that only one set holds take their places without being sent.
+    """
+    members = pin(members)
+    large = pin(members.groupBy("component").agg(F.count("*").alias("_n")).filter(F.col("_n") > block))
+    if large.limit(1).count() == 0:
+        return members
+    many = members.join(small(large), "component").drop("_n")
+
+    def spread(batches):
+        for batch in slices(batches):
+            for component, cls, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(tokens, dtype="<u8")
+                salted = _mix(own + _mix(np.full(1, component & ((1 << 64) - 1), dtype=np.uint64)))
+                yield pa.RecordBatch.from_arrays([pa.array(salted.view(np.int64)), pa.array(np.full(len(own), cls)), pa.array(np.full(len(own), len(own), dtype=np.int32))], names=["token", "class", "n"])
+
+    tokens = many.join(sets, "class").select("component", "class", "tokens").mapInArrow(spread, "token long, class long, n int")
+    often = tokens.groupBy("token").agg(F.count("*").alias("_often")).filter("_often > 1")
+    listed = tokens.join(often, "token").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("_often", "token"))).alias("_t"))
+    places = F.expr(f"n - cast(ceil({num} * n / {den}) as int) + 1 - (n - size(_t))")
+    first = listed.select("class", "n", F.explode(F.slice("_t", F.lit(1), F.greatest(places, F.lit(0)))).alias("t")).select("t.token", "n", "class")
+    found = components(list_edges(first, num, den))
+    cut = many.join(found.select(F.col("node").alias("class"), F.col("component").alias("_part")), "class").select(F.col("_part").alias("component"), "class", "rank")
+    return members.join(small(large), "component", "left_anti").select("component", "class", "rank").unionAll(cut)
+
+
 def blocked_links(members: DataFrame, sets: DataFrame, num: int, den: int, earlier: bool, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between classes; ``members`` is (component, class, rank), ``sets`` (class, tokens).
 
@@ -429,7 +461,7 @@ def blocked_links(members: DataFrame, sets: DataFrame, num: int, den: int, earli
     is similar to, if there is any: (a: the class, b: the earlier one). Without,
     links that connect exactly the classes that all links connect.
     """
-    members = pin(members)
+    members = pin(refined(members, sets, num, den, block))
     sizes = members.groupBy("component").agg(F.count("*").alias("_n"), F.min(F.struct("rank", "class"))["class"].alias("_pivot"))
     large = small(pin(sizes.filter(F.col("_n") > block)))
     dealt = members.join(large, "component", "left").withColumn("_blocks", F.coalesce(F.ceil(F.col("_n") / block), F.lit(1)))
