@@ -320,21 +320,29 @@ def list_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
     return runs.withColumn("b", first).filter(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct()
 
 
+#: Edges that one task of a round of ``components`` holds.
+EDGES_PER_TASK = 50_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each node of the edges (a, b) reaches.
 
     Alternates the large-star and the small-star step until nothing changes;
-    the number of rounds grows with the logarithm of the longest path.
+    the number of rounds grows with the logarithm of the longest path. Edges are
+    held in as many partitions as they need, for every round writes a few
+    shuffle files for each.
     """
     e = pin(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
-    before = None
+    before = (e.count(), None)
     for _ in range(rounds):
+        tasks = before[0] // EDGES_PER_TASK + 1
+        e = e.coalesce(tasks)
         both = e.union(e.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        e = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = e.groupBy("a").agg(F.min("b").alias("m"))
-        moved = e.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-        e = pin(moved.union(least.select("a", F.col("m").alias("b"))).distinct())
+        e = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks).distinct().coalesce(tasks)
+        least = e.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
+        moved = e.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").coalesce(tasks)
+        e = pin(moved.union(least.select("a", F.col("m").alias("b"))).distinct().coalesce(tasks))
         now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             break
