@@ -202,14 +202,21 @@ def label_text(model: Model, text: str) -> list[str]:
     return [model.langs[k] for labels in label_bytes(model, pieces, every_label=True)[1] for k in labels]
 
 
+#: Parts that a language's rows are dealt into while the sample is drawn.
+PARTS = 16
+
+
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, characters: int) -> DataFrame:
     """Up to ``documents`` of each language, by a hash of the id, and of each a span of ``characters`` from a hashed place."""
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     h = F.xxhash64(id_col, F.lit(11))
     span = F.expr(f"substr(`{text_col}`, cast(1 + pmod(xxhash64(`{id_col}`, 5), greatest(length(`{text_col}`) - {characters}, 1)) as int), {characters})")
     small = usable.select(F.col(lang_col).alias("lang"), span.alias("text"), h.alias("_h"))
-    order = Window.partitionBy("lang").orderBy("_h", "text")
-    return small.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= documents).select("lang", "text")
+    # First of each language's parts, then of the language: the last task of a language reads PARTS * documents rows at most, however large the corpus.
+    order = Window.orderBy("_h", "text")
+    parts = small.withColumn("_part", F.pmod("_h", F.lit(PARTS)))
+    few = parts.withColumn("_r", F.row_number().over(order.partitionBy("lang", "_part"))).filter(F.col("_r") <= documents).drop("_r")
+    return few.withColumn("_r", F.row_number().over(order.partitionBy("lang"))).filter(F.col("_r") <= documents).select("lang", "text")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS, **options) -> Model | None:
