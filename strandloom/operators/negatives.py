@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .pairs import dense_index
+
 
 def hash_number(*parts: Column) -> Column:
     """32 bits of an MD5 of the parts, the same on every engine."""
@@ -82,3 +84,11 @@ def stratified_split(rows: DataFrame, label: str, keys: list[str], test_share: f
     starts = sizes.withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_t", F.sum("_n").over(Window.partitionBy(label))).drop("_n")
     ranked = hashed.join(starts, [label, "_b"]).withColumn("_r", F.col("_s") + F.row_number().over(Window.partitionBy(label, "_b").orderBy("_o", *keys)))
     return ranked.withColumn("split", F.when(F.col("_r") <= F.floor(F.col("_t") * F.lit(test_share)), "test").otherwise("train")).drop("_o", "_b", "_s", "_t", "_r")
+
+
+def sequential_split(rows: DataFrame, order: list[str], test: float = 0.2) -> DataFrame:
+    """``rows`` with ``split``: the first in a total order are ``train``, the last floor(n * test) are ``test``."""
+    placed = dense_index(rows, order, "_place")
+    n = rows.count()
+    first = n - int(n * test)
+    return placed.withColumn("split", F.when(F.col("_place") < first, "train").otherwise("test")).drop("_place")

@@ -197,6 +197,18 @@ def share_of_total(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).withColumn("pct", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 2))
 
 
+def dimension_stats(dims: dict[str, DataFrame]) -> DataFrame:
+    """(dimension, n_rows, n_phages, rows_per_phage) of each dimension."""
+    parts = [d.agg(F.count("*").alias("n_rows"), F.countDistinct("Phage_ID").alias("n_phages")).select(F.lit(name).alias("dimension"), "*") for name, d in dims.items()]
+    return reduce(DataFrame.unionAll, parts).withColumn("rows_per_phage", F.round(F.try_divide("n_rows", "n_phages"), 4))
+
+
+def top_by_phages(rows: DataFrame, column: str, top: int = 20) -> DataFrame:
+    """The values of ``column`` with the most rows, and their distinct phages; ties by value."""
+    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"), F.countDistinct("Phage_ID").alias("n_phages"))
+    return counted.orderBy(F.desc("n"), F.asc_nulls_last("value")).limit(top)
+
+
 ALL = {
     f.__name__: f
     for f in (phage_summary, size_distribution, complete_profile, amr_summary, crispr_summary, evidence_distribution, defense_profile, host_amr_profile, host_crispr_profile, phage_host_genomes, host_genome_summary, phage_host_associations)

@@ -563,6 +563,43 @@ def stratified_split(spark, sf_dir):
     return negatives.stratified_split(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "toxic", ["doc_id"])
 
 
+@on_star("SELECT dimension, COUNT(*) AS n_rows, COUNT(DISTINCT Phage_ID) AS n_phages, ROUND(COUNT(*) / COUNT(DISTINCT Phage_ID), 4) AS rows_per_phage FROM (SELECT 'dim_anti_crispr' AS dimension, Phage_ID FROM dim_anti_crispr UNION ALL SELECT 'dim_trna_tmrna', Phage_ID FROM dim_trna_tmrna UNION ALL SELECT 'dim_transmembrane_proteins', Phage_ID FROM dim_transmembrane_proteins UNION ALL SELECT 'dim_virulent_factors', Phage_ID FROM dim_virulent_factors) GROUP BY dimension")
+def dimension_stats(spark, sf_dir):
+    tables = star(spark, sf_dir)
+    return views.dimension_stats({t: tables[t] for t in ("dim_anti_crispr", "dim_trna_tmrna", "dim_transmembrane_proteins", "dim_virulent_factors")})
+
+
+@on_star("SELECT Protein_classification AS value, COUNT(*) AS n, COUNT(DISTINCT Phage_ID) AS n_phages FROM dim_proteins GROUP BY 1 ORDER BY n DESC, value LIMIT 20")
+def protein_class_top(spark, sf_dir):
+    return views.top_by_phages(star(spark, sf_dir)["dim_proteins"], "Protein_classification")
+
+
+@on_star("SELECT aligned_protein_card AS value, COUNT(*) AS n, COUNT(DISTINCT Phage_ID) AS n_phages FROM dim_antimicrobial_resistance_genes JOIN (SELECT DISTINCT Phage_ID FROM fact_phages) USING (Phage_ID) GROUP BY 1 ORDER BY n DESC, value LIMIT 15")
+def amr_top(spark, sf_dir):
+    tables = star(spark, sf_dir)
+    return views.top_by_phages(tables["dim_antimicrobial_resistance_genes"].join(tables["fact_phages"], "Phage_ID", "left_semi"), "aligned_protein_card", 15)
+
+
+@on_star("SELECT f.Host AS value, COUNT(*) AS n, COUNT(DISTINCT Phage_ID) AS n_phages FROM fact_phages f GROUP BY 1 ORDER BY n DESC, value LIMIT 20")
+def top_hosts(spark, sf_dir):
+    return views.top_by_phages(star(spark, sf_dir)["fact_phages"], "Host")
+
+
+@on_star("SELECT Lifestyle, COUNT(*) AS n, ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS pct FROM fact_phages WHERE Lifestyle IN ('F', 'O') GROUP BY 1")
+def lifestyle_share(spark, sf_dir):
+    return views.share_of_total(star(spark, sf_dir)["fact_phages"].filter(F.col("Lifestyle").isin("F", "O")), "Lifestyle")
+
+
+@on_star("SELECT COUNT(*) AS n_rows, COUNT(Length) AS n_known, MIN(Length) AS min_value, MAX(Length) AS max_value, ROUND(AVG(Length), 4) AS avg_value, ROUND(MEDIAN(Length), 4) AS median_value FROM fact_phages")
+def length_stats(spark, sf_dir):
+    return tidy(quality.number_stats(star(spark, sf_dir)["fact_phages"], "Length"))
+
+
+@on_star("SELECT Phage_ID, Host_ID, CASE WHEN row_number() OVER (ORDER BY Phage_ID, Host_ID) <= COUNT(*) OVER () - CAST(floor(COUNT(*) OVER () * 0.2::DOUBLE) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM edges")
+def sequential_split(spark, sf_dir):
+    return negatives.sequential_split(edges(spark, sf_dir), ["Phage_ID", "Host_ID"])
+
+
 # Streaming extension: the same windows that run on a stream, over the table.
 
 
@@ -574,3 +611,8 @@ def event_windows(spark, sf_dir):
 @query("SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS last_event, COUNT(*) AS n FROM (SELECT user_id, ts, SUM(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS brk FROM events)) GROUP BY user_id, s")
 def event_sessions(spark, sf_dir):
     return windows.sessions(table(spark, sf_dir, "events"), "30 minutes")
+
+
+@query("SELECT w AS window_start, w + INTERVAL '1 hour' AS window_end, event_type, COUNT(*) AS n, ROUND(SUM(value), 4) AS total FROM (SELECT event_type, value, unnest([time_bucket(INTERVAL '30 minutes', ts), time_bucket(INTERVAL '30 minutes', ts) - INTERVAL '30 minutes']) AS w FROM events) GROUP BY 1, 2, 3")
+def event_sliding(spark, sf_dir):
+    return tidy(windows.sliding(table(spark, sf_dir, "events"), "1 hour", "30 minutes"))
