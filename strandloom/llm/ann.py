@@ -27,6 +27,10 @@ PROBES = 16
 PART = 4_096
 #: With more vectors a second, smaller polytope splits every cell.
 ONE_POLYTOPE = 1 << 17
+#: The probes grow with this power of the split: with 0.5, recall fell to 0.69 at 64; with 0.75 it stays above 0.9 (see the README).
+PROBE_GROWTH = 0.75
+#: Scores that one slice of rows may have at a time.
+SCORES = 1 << 22
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -108,7 +112,7 @@ def nearest_neighbours(
     width = 1 << max(1, (size + lift - 1).bit_length())
     doublings = max(0, math.floor(math.log2(facts["n"] / one_polytope))) if facts["n"] > one_polytope else 0
     split = min(1 << doublings, 2 * width)
-    probes = min(round(probes * math.sqrt(split)), 2 * width * split)
+    probes = min(round(probes * split**PROBE_GROWTH), 2 * width * split)
 
     by_vector = Window.partitionBy("embedding").orderBy("vec_id")
     candidates = valid.withColumn("_r", F.row_number().over(by_vector)).filter(F.col("_r") <= top + 1).drop("_r")
@@ -117,7 +121,7 @@ def nearest_neighbours(
 
     def cells(is_query: bool):
         def run(batches):
-            for batch in slices(batches, 2_048):
+            for batch in slices(batches, max(1, min(2_048, SCORES // (2 * width * split)))):
                 exact = _matrix(batch.column(1), size)
                 x = np.zeros((len(exact), width))
                 x[:, :size] = exact

@@ -382,6 +382,26 @@ def test_recall(spark):
     assert np.mean([len(found[q] & {i for i, _ in rows}) / len(rows) for q, rows in exact.items()]) >= 0.9
 
 
+def recall(spark, vectors, **options):
+    """Share of the true neighbours found, and the answers by query."""
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors], "vec_id long, embedding array<double>").repartition(4)
+    exact = brute_nearest(vectors, 20, 20)
+    found = defaultdict(set)
+    for r in ann.nearest_neighbours(df, **options).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    return np.mean([len(found[q] & {i for i, _ in rows}) / len(rows) for q, rows in exact.items()]), found
+
+
+def embeddings(spark):
+    return [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+
+
+@pytest.mark.parametrize("split", [2, 8, 64])
+def test_recall_with_a_second_polytope(spark, split):
+    vectors = embeddings(spark)
+    assert recall(spark, vectors, one_polytope=len(vectors) // split)[0] >= 0.9
+
+
 def test_hadamard():
     x = np.eye(8)
     assert np.allclose(ann.hadamard(ann.hadamard(x)), x) and json.dumps(np.unique(np.abs(ann.hadamard(x)) ** 2).round(9).tolist()) == "[0.125]"
