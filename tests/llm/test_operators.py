@@ -402,6 +402,15 @@ def test_recall_with_a_second_polytope(spark, split):
     assert recall(spark, vectors, one_polytope=len(vectors) // split)[0] >= 0.9
 
 
+@pytest.mark.parametrize("case", ["outlier", "spread"])
+@pytest.mark.parametrize("options", [{}, {"whole": 0}])
+def test_recall_with_unequal_lengths(spark, case, options):
+    rng = np.random.default_rng(4)
+    vectors = [(i, [x * f for x in v]) for (i, v), f in zip(embeddings(spark), 2 ** rng.uniform(-1, 1, 2_000) if case == "spread" else [10.0] + [1.0] * 1_999, strict=True)]
+    share, found = recall(spark, vectors, **options)
+    assert share >= 0.9 and set(found) == {i for i, _ in vectors if i % 20 == 0}
+
+
 def test_hadamard():
     x = np.eye(8)
     assert np.allclose(ann.hadamard(ann.hadamard(x)), x) and json.dumps(np.unique(np.abs(ann.hadamard(x)) ** 2).round(9).tolist()) == "[0.125]"
