@@ -114,13 +114,14 @@ def nearest_neighbours(
     one_polytope: int = ONE_POLYTOPE,
     whole: int = WHOLE,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each id divisible by ``every`` its ``top`` nearest found.
+    """(query_id, rank, vec_id, score): for each id divisible by ``every`` its ``top`` nearest found; all others if there are fewer.
 
     Score is the inner product in double precision; ties go to the smaller id.
     Every usable vector is indexed. Of vectors that are equal in all components
     only the top + 1 smallest ids can be among anybody's nearest, so only those
     enter the cells; equal queries are answered once. Vectors of unequal length
-    are filled up with zeros. An empty table gives no rows.
+    are filled up with zeros. A query whose cells hold too few is scored against
+    all vectors. An empty table gives no rows.
     """
     valid = pin(usable(vectors, id_col, vector_col))
     norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
@@ -232,9 +233,12 @@ def nearest_neighbours(
                     held_vectors.append(vector)
         yield answers()
 
-    met = held.union(sent).repartition("cell", "part", "block").sortWithinPartitions("cell", "part", "block", "asks").mapInArrow(score, "query long, ids array<long>, scores array<double>")
+    def met(held, sent):
+        return held.union(sent).repartition("cell", "part", "block").sortWithinPartitions("cell", "part", "block", "asks").mapInArrow(score, "query long, ids array<long>, scores array<double>")
 
     def merge(batches):
+        """Rows come by query."""
+
         def best(query, found):
             order = sorted(found.items(), key=lambda x: (-x[1], x[0]))[: top + 1]
             return query, [i for i, _ in order], [s for _, s in order]
@@ -253,7 +257,31 @@ def nearest_neighbours(
             yield _merged(out)
         yield _merged([best(last, found)] if last is not None else [])
 
-    answered = met.repartition("query").sortWithinPartitions("query").mapInArrow(merge, "query long, ids array<long>, scores array<double>")
+    def merged(rows):
+        return rows.repartition("query").sortWithinPartitions("query").mapInArrow(merge, "query long, ids array<long>, scores array<double>")
+
+    def encoded(batches):
+        for batch in slices(batches, 2_048):
+            yield pa.RecordBatch.from_pydict({"vec_id": batch.column(0), "vector": pa.array([r.tobytes() for r in _matrix(batch.column(1), size)], pa.binary())})
+
+    answered = pin(merged(met(held, sent)))
+    total = sum(n for _, _, n in ranges)
+    full = answered.filter(F.size("ids") >= min(top + 1, total))  # with their own id, which is dropped below
+    short = pin(queries.join(full.select("query"), F.col("vec_id") == F.col("query"), "left_anti").select("vec_id", "embedding").mapInArrow(encoded, "vec_id long, vector binary"))
+    if unanswered := short.count():
+        # Queries that found too few are scored against every candidate; a candidate's row of its first table stands for it.
+        parts, blocks = math.ceil(total / part), math.ceil(unanswered / ASKING)
+        once = F.col("cell") == 0
+        for _, split, _, first in plans:
+            once = once | F.col("cell").between(first, first + 2 * width * split - 1)
+
+        def dealt(number, copies, to, along):
+            return {to: F.pmod(F.xxhash64("vec_id"), F.lit(number)).cast("long"), along: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long")))}
+
+        columns = ["cell", "part", "block", "asks", "vec_id", "vector"]
+        held = placed.filter(once).withColumns({"cell": F.lit(0).cast("long"), "asks": F.lit(0), **dealt(parts, blocks, "part", "block")}).select(columns)
+        sent = short.withColumns({"cell": F.lit(0).cast("long"), "asks": F.lit(1), **dealt(blocks, parts, "block", "part")}).select(columns)
+        answered = full.union(merged(met(held, sent)))
     named = asking.join(queries.select(F.col("vec_id").alias("query"), F.col("embedding").alias("_e")), asking["embedding"].eqNullSafe(F.col("_e"))).select(F.col("vec_id").alias("query_id"), "query")
     listed = named.join(answered, "query").select("query_id", F.filter(F.arrays_zip("ids", "scores"), lambda x: x["ids"] != F.col("query_id")).alias("found"))
     return listed.select("query_id", F.posexplode(F.slice("found", 1, top)).alias("rank", "x")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))

@@ -411,6 +411,13 @@ def test_recall_with_unequal_lengths(spark, case, options):
     assert share >= 0.9 and set(found) == {i for i, _ in vectors if i % 20 == 0}
 
 
+@pytest.mark.parametrize(("n", "options"), [(15, {}), (15, {"whole": 0}), (80, {"whole": 0, "probes": 1, "tables": 1, "part": 7})])
+def test_no_query_stays_short(spark, n, options):
+    vectors = [(i * 10, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(5).normal(size=(n, 16)))]
+    found = recall(spark, vectors, **options)[1]
+    assert {q: len(x) for q, x in found.items()} == {i: min(20, n - 1) for i, _ in vectors if i % 20 == 0}
+
+
 def test_hadamard():
     x = np.eye(8)
     assert np.allclose(ann.hadamard(ann.hadamard(x)), x) and json.dumps(np.unique(np.abs(ann.hadamard(x)) ** 2).round(9).tolist()) == "[0.125]"
