@@ -3,7 +3,8 @@
 Each layer of a text is scanned by the same patterns. A layer is unwrapped in
 every way that applies (URL escapes, Unicode escapes, base64 runs, compressed
 bytes inside base64); what comes out is a new layer unless the document has
-already had it, so the worklist ends even for texts that decode to themselves.
+already had its text from the same place, or it was unwrapped from a layer of
+the same text, so the worklist ends even for texts that decode to themselves.
 Every layer carries, for each of its characters, the span of the original text
 it came from.
 """
@@ -16,6 +17,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,10 +52,18 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 class Layer:
     """A text and where in the original each of its characters begins and ends."""
 
-    __slots__ = ("ends", "starts", "text")
+    __slots__ = ("above", "ends", "key", "starts", "text")
 
     def __init__(self, text: str, starts, ends):
         self.text, self.starts, self.ends = text, starts, ends
+        self.key, self.above = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), frozenset()
+
+    def place(self) -> bytes:
+        """The text and the origin of each of its characters."""
+        spans = np.array([self.starts, self.ends], dtype="i8")
+        if len(self.text) and (spans == spans[:, :1]).all():
+            spans = spans[:, :1]
+        return hashlib.blake2b(self.key + spans.tobytes(), digest_size=16).digest()
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         return self.starts[start], self.ends[end - 1]
@@ -141,19 +151,25 @@ _URL_SAFE = str.maketrans("-_", "+/")
 def find_secrets(text: str) -> tuple[list, list, int, int]:
     """(base findings, all findings, layers, oversize layers); spans are code points of ``text``, end exclusive."""
     base = scan(text)
-    spans, seen, oversize = set(base), {hashlib.blake2b(text.encode(), digest_size=16).digest()}, 0
+    spans, seen, texts, oversize = set(base), set(), 1, 0
     # Most texts have nothing to unwrap; only the others pay for the per-character origins.
     if "%" in text or "\\" in text or "&#" in text or BASE64_RUN.search(text):
-        work = [Layer(text, range(len(text)), range(1, len(text) + 1))]
+        whole = Layer(text, range(len(text)), range(1, len(text) + 1))
+        work, distinct = [whole], {whole.key}
         while work:
-            for layer in unwrap(work.pop()):
+            upper = work.pop()
+            chain = upper.above | {upper.key}
+            for layer in unwrap(upper):
                 if layer is None:
                     oversize += 1
-                elif (key := hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()) not in seen:
-                    seen.add(key)
+                elif layer.key not in chain and (place := layer.place()) not in seen:
+                    seen.add(place)
+                    distinct.add(layer.key)
+                    layer.above = chain
                     spans.update((kind, *layer.origin(a, b)) for kind, a, b in scan(layer.text))
                     work.append(layer)
-    return base, sorted(spans, key=_order), len(seen), oversize
+        texts = len(distinct)
+    return base, sorted(spans, key=_order), texts, oversize
 
 
 def _order(span):
