@@ -12,7 +12,6 @@ it came from.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -32,6 +31,15 @@ LEAST_VALUE = 8
 URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}+(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+KEPT = re.compile(r"[A-Za-z0-9+/_-]")
+SEPARATOR = re.compile(r"[+/_-]+")
+COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: Bytes; no shorter text holds a finding, or anything that decodes to one.
+LEAST_TEXT = 12
+UTF8_RUN = re.compile(rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){3,}+")
+#: Separators of a run after which it is tried as a whole; beyond them, and always besides, all four alignments are.
+STARTS = 64
 #: A compressed layer that inflates beyond this is not unpacked further; ``oversize_layers`` counts such layers.
 MAX_INFLATED = 64 << 20
 
@@ -102,7 +110,7 @@ def _url(m: re.Match):
 
 def _utf8(raw: bytes) -> str | None:
     try:
-        return raw.decode()
+        return str(raw, "utf-8")
     except UnicodeDecodeError:
         return None
 
@@ -115,15 +123,60 @@ def _unicode(m: re.Match):
 
 
 def _inflate(raw: bytes) -> bytes | None:
-    """Compressed bytes unpacked, the bytes themselves if they are not compressed, None beyond MAX_INFLATED."""
-    if raw[:2] != b"\x1f\x8b" and not (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0):
-        return raw
-    unpack = zlib.decompressobj(47)
-    try:
-        out = unpack.decompress(raw, MAX_INFLATED)
-    except zlib.error:
+    """All compressed members that ``raw`` begins with, unpacked, and what follows them if it is text; ``raw`` itself if it begins with none; None beyond MAX_INFLATED."""
+    out, rest = [], raw
+    while rest[:2] == b"\x1f\x8b" or (rest[:1] == b"\x78" and len(rest) > 2 and int.from_bytes(rest[:2], "big") % 31 == 0):
+        unpack = zlib.decompressobj(47)
+        try:
+            out.append(unpack.decompress(rest, max(1, MAX_INFLATED - sum(map(len, out)))))
+        except zlib.error:
+            break
+        if unpack.unconsumed_tail:
+            return None
+        rest = unpack.unused_data
+    if not out:
         return raw
-    return None if unpack.unconsumed_tail else out
+    return b"".join([*out, rest if _utf8(rest) is not None else b""])
+
+
+def _texts(raw: bytes):
+    """(text, first byte, last byte + 1) of every stretch of UTF-8 that may hold a finding."""
+    for m in UTF8_RUN.finditer(raw):
+        if m.end() - m.start() >= LEAST_TEXT:
+            yield m[0].decode(), m.start(), m.end()
+
+
+def _decoded(run: str) -> bytes:
+    return base64.b64decode(run[: len(run) - (len(run) % 4 == 1)] + "=" * (-len(run) % 4 % 3))
+
+
+def _base64(run: str, breaks: list[int]):
+    """(text or None, start, end in ``run``) of what a run without padding holds; ``breaks`` are the places where its lines begin."""
+    run = run.translate(_URL_SAFE)
+    starts = [0, *dict.fromkeys([*breaks[:STARTS], *(m.end() for _, m in zip(range(STARTS), SEPARATOR.finditer(run), strict=False))])]
+    whole = {}
+    for start in starts:
+        if start % 4 in whole or len(run) - start < 16:
+            continue
+        raw = _inflate(packed := _decoded(run[start:])) if (len(run) - start) % 4 != 1 else b""
+        if raw is None or (raw and (start == 0 or raw is not packed or len(raw) >= LEAST_TEXT) and _utf8(raw) is not None):
+            whole[start % 4] = start
+            yield raw if raw is None else _utf8(raw), start, len(run)
+    for shift in range(4):  # text or compressed bytes between other characters: all of them are decoded with it
+        part = run[shift : whole.get(shift, len(run))]
+        if len(part) < 16:
+            continue
+        raw = _decoded(part)
+        for text, a, b in _texts(raw):
+            yield text, shift + a // 3 * 4, min(shift + -(-b // 3) * 4, shift + len(part))
+        for m in COMPRESSED.finditer(raw):
+            packed = memoryview(raw)[m.start() :]
+            out = _inflate(packed)
+            if out is None:
+                yield None, 0, len(run)
+            elif out is not packed:
+                for text, _, _ in _texts(out):
+                    yield text, shift + m.start() // 3 * 4, shift + len(part)
 
 
 def unwrap(layer: Layer):
@@ -132,17 +185,19 @@ def unwrap(layer: Layer):
         yield out
     if ("\\" in layer.text or "&#" in layer.text) and (out := _replaced(layer, UNICODE_ESCAPE, _unicode)):
         yield out
-    for m in BASE64_RUN.finditer(layer.text):
-        run = m[0].rstrip("=").translate(_URL_SAFE)
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        if (raw := _inflate(raw)) is None:
-            yield None
-        elif raw and (text := _utf8(raw)) is not None:
-            start, end = layer.origin(m.start(), m.end())
-            yield Layer(text, [start] * len(text), [end] * len(text))
+    for pattern in (BASE64_RUN, WRAPPED_RUN):
+        for m in pattern.finditer(layer.text):
+            lines = "\n" in m[0]
+            if pattern is WRAPPED_RUN and not lines:
+                continue
+            at = [x.start() for x in KEPT.finditer(m[0])] if lines else range(len(m[0].rstrip("=")))
+            breaks = [i for i in range(1, len(at)) if at[i] > at[i - 1] + 1] if lines else []
+            for text, a, b in _base64("".join(m[0][i] for i in at) if lines else m[0].rstrip("="), breaks):
+                if text is None:
+                    yield None
+                    continue
+                start, end = layer.origin(m.start() + at[a], m.end() if b == len(at) else m.start() + at[b - 1] + 1)
+                yield Layer(text, [start] * len(text), [end] * len(text))
 
 
 _URL_SAFE = str.maketrans("-_", "+/")
