@@ -17,7 +17,7 @@ from strandloom.llm.common import ensure_checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; undetermined ones go."""
+    """Documents in a learned language stay; undetermined ones and those with a pooled score below 0.4 go."""
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
     return langid.identified(docs, model)
 
@@ -44,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language ID", language_id), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates), ("mixing sources", source_mix), ("best-fit packing", packed)]
 
-#: A trained model and an encoder decide what comes out, which SQL cannot express; tests compare with brute force.
+#: A trained model and an encoder decide what comes out, which SQL cannot express; tests compare single operators with brute force, not the whole.
 ORACLE_SQL = None
 
 
