@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import aside, pin, small
-from .setjoin import BLOCK, blocked_links, by_bytes, class_sets, components, distinct_sets, document_words, list_edges, shingle_hashes, signature_lists
+from .setjoin import BLOCK, blocked_links, by_bytes, class_sets, components, distinct_sets, document_words, list_edges, prefix_lists, sampled_tokens, shingle_hashes
 
 
 def sets_of(k: int):
@@ -23,15 +23,16 @@ def sets_of(k: int):
 
 
 def document_classes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, class); class is null for empty sets. ``docs`` is (doc_id, text)."""
+    """(doc_id, n_shingles, class, sample); class is null for empty sets. ``docs`` is (doc_id, text)."""
     sets = sets_of(k)
 
     def run(batches):
         for batch in by_bytes(batches, 1):
-            _, offsets, classes = sets(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(classes, pa.int64(), mask=classes == 0)], names=["doc_id", "n_shingles", "class"])
+            tokens, offsets, classes = sets(batch.column(1).to_pylist())
+            columns = [batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(classes, pa.int64(), mask=classes == 0), sampled_tokens(tokens, offsets, classes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "class", "sample"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long, sample array<long>")
 
 
 def similar_documents(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -45,7 +46,8 @@ def similar_documents(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10,
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = pin(document_classes(named, k))
-    near = pin(components(list_edges(signature_lists(named.select("text"), sets_of(k), num, den), num, den)))
+    counted = rows.filter("class is not null").select("class", F.col("n_shingles").alias("n"), "sample")
+    near = pin(components(list_edges(pin(prefix_lists(counted, named.select("text"), sets_of(k), num, den)), num, den)))
     classes = pin(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     members = near.select("component", F.col("node").alias("class")).withColumn("rank", F.lit(0).cast("long"))
     sets = class_sets(named.select("text"), sets_of(k), members)

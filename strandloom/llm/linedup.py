@@ -1,56 +1,59 @@
 """Line dedup: an exact set-similarity join of all lines of a corpus; later matches are removed.
 
-A line's set holds its distinct five-word shingles, in order of rarity.
-Lines of fewer words are left alone. A line goes if an earlier line, by (doc_id, line number), has a set of
-similarity >= 0.8, removed or not, so the result does not depend on the order
-of execution.
+A line's set holds its distinct five-word shingles, in order of their rarity in
+the corpus; a line of fewer words is one shingle, so it only matches equal ones.
+Candidates are lines that share a token of their prefixes and pass the length
+and positional filters; their overlap is then counted (setjoin). A line goes if
+an earlier line, by (doc_id, line number), has a set of similarity >= 0.8,
+removed or not, so the result does not depend on the order of execution. Lines
+without words stay.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import aside, pin, small
-from .setjoin import blocked_links, by_bytes, class_sets, components, distinct_sets, line_words, list_edges, shingle_hashes, signature_lists, slices
+from .setjoin import blocked_links, by_bytes, class_filter, class_sets, components, distinct_sets, line_words, list_edges, passes, prefix_lists, sampled_tokens, shingle_hashes, slices
 
-#: A removal list is broadcast if it has at most this many lines.
-BROADCAST_LINES = 1_000_000
 #: Lines that one task joins with each other at a time; their sets are small.
 BLOCK = 8_192
 LAST = (1 << 63) - 1
 
 
 def sets_of(k: int):
-    """Texts to (tokens, offsets, classes) of the k-word shingles of their lines of at least k words."""
+    """Texts to (tokens, offsets, classes) of the k-word shingles of their lines with words."""
 
     def sets(texts):
-        words, counts, _, _ = line_words(texts, k)
+        words, counts, _, _ = line_words(texts, 1)
         return distinct_sets(*shingle_hashes(words, counts, k))
 
     return sets
 
 
 def line_classes(docs: DataFrame, k: int) -> DataFrame:
-    """(doc, key, line, class) of every line with k words; ``docs`` is (doc, key, text)."""
+    """(doc, key, line, class, n, sample) of every line with words; ``docs`` is (doc, key, text)."""
 
     def run(batches):
         for batch in by_bytes(batches, 2):
-            words, counts, text, line = line_words(batch.column(2).to_pylist(), k)
-            _, _, classes = distinct_sets(*shingle_hashes(words, counts, k))
+            words, counts, text, line = line_words(batch.column(2).to_pylist(), 1)
+            tokens, offsets, classes = distinct_sets(*shingle_hashes(words, counts, k))
             at = pa.array(text, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(classes, pa.int64())], names=["doc", "key", "line", "class"])
+            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(classes, pa.int64()), pa.array(np.diff(offsets), pa.int32()), sampled_tokens(tokens, offsets, classes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "key", "line", "class", "n", "sample"])
 
-    return docs.mapInArrow(run, "doc long, key long, line int, class long")
+    return docs.mapInArrow(run, "doc long, key long, line int, class long, n int, sample array<long>")
 
 
 def repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc, key, line) of each line that repeats an earlier one. ``doc`` is the id (null: the largest long), ``key`` the text's hash."""
     named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     rows = pin(line_classes(named, k))
-    near = pin(components(list_edges(signature_lists(named.select("text"), sets_of(k), num, den), num, den)))
+    near = pin(components(list_edges(pin(prefix_lists(rows, named.select("text"), sets_of(k), num, den)), num, den)))
     # Classes are ranked by where they first occur.
     place = F.array("doc", "key", F.col("line").cast("long"))
     classes = pin(rows.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
@@ -72,14 +75,20 @@ def drop_repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     columns are unchanged, whatever their names, and an empty table stays empty.
     A document whose lines all go stays as an empty text.
     """
-    gone = pin(repeated_lines(docs, k, num, den, id_col, text_col).distinct())
-    by_doc = gone.groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_list("line").alias("_gone"))
-    if gone.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES:
-        by_doc = F.broadcast(by_doc)
+    gone = repeated_lines(docs, k, num, den, id_col, text_col).distinct()
+    by_doc = pin(gone.groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key")).agg(F.collect_list("line").alias("_gone")))
     names, own = docs.columns, aside(docs)
     at = names.index(text_col)
     keyed = own.withColumns({"_d": F.coalesce(F.col(f"_{names.index(id_col)}").cast("long"), F.lit(LAST)), "_k": F.xxhash64(f"_{at}")})
-    joined = keyed.join(by_doc, (F.col("_d") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select(*own.columns, "_gone")
+    # Only texts that may lose lines go through the join and the tasks that cut; a filter of bounded size lets all others by.
+    name = F.xxhash64("_d", "_k")
+    bits = docs.sparkSession.sparkContext.broadcast(class_filter(by_doc.select(F.xxhash64("_doc", "_key").alias("class"))))
+
+    @F.pandas_udf("boolean")
+    def touched(x: pd.Series) -> pd.Series:
+        return pd.Series(passes(bits.value, x.to_numpy(dtype=np.int64)))
+
+    joined = keyed.filter(touched(name)).join(by_doc, (F.col("_d") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select(*own.columns, "_gone")
 
     def cut(batches):
         for batch in slices(batches, 256):
@@ -101,5 +110,7 @@ def drop_repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
             yield pa.RecordBatch.from_arrays([*columns, *more], names=[*batch.schema.names[: len(names)], *["lines", "removed"][: len(more)]])
 
     added = ["n_lines", "n_removed"] if counts else []
-    schema = own.select("*", *[F.lit(0).alias(x) for x in ("lines", "removed")[: len(added)]]).schema
-    return joined.mapInArrow(cut, schema).toDF(*names, *added)
+    text = F.col(f"_{at}")
+    unchanged = [F.regexp_count(text, F.lit("\n")).cast("int") + 1, F.lit(0)]
+    whole = keyed.filter(~touched(name)).select(*own.columns, *[c.alias(x) for c, x in zip(unchanged, ("lines", "removed")[: len(added)], strict=False)])
+    return whole.unionAll(joined.mapInArrow(cut, whole.schema)).toDF(*names, *added)

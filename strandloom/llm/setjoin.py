@@ -3,20 +3,24 @@
 Steps, the same for documents and lines:
 
 1. Equal sets become one class.
-2. Each class puts its signatures (Segments) into lists; two sets of
-   similarity t are in one list at least. A list only ties its members to its
-   first one of a compatible size, so m entries give m - 1 edges, not m * m.
-3. Connected components of these edges hold every possible link. They are put
-   into blocks of bounded size and joined in the tasks over index lists of
-   tokens in order of rarity, with prefix, length and positional filters and an
-   exact overlap.
-4. A component that is too large for one block is first cut along the tokens
-   that few of its sets hold. If it still has several blocks, it is compared
-   with one pivot set; only members left undecided meet the other blocks.
-
-Index lists over the whole corpus would do without step 2, but tokens of a
-passage that many texts share tie all of those together: on the 0.1 GB test
-table half of all documents came into question that way.
+2. Every token is counted over all classes of the corpus, and the tokens of a
+   set stand in order of rarity. Two sets of similarity t share one of the
+   first n - ceil(t n) + 1 of them. Tokens that only one class holds take their
+   places at the front, but stand in no list.
+3. A list of a token holds the sets with it in their prefix. Length and
+   positional filter cut the list into runs; a run only ties its members to its
+   first one, so m entries give m - 1 edges, not m * m.
+4. Connected components of these edges hold every possible link. They are put
+   into blocks of bounded size and joined in the tasks over index lists, with
+   prefix, length and positional filters and an exact overlap. A component of
+   several blocks is compared with one pivot set first; only members left
+   undecided meet the other blocks.
+
+The tokens of step 2 are shuffled as packed arrays, for a row per token would
+be two and a half times the input. Their parts grow in number with the corpus;
+tokens of very many sets (see heavy_tokens) are not sent there, so no part does
+in size. Any order that all sets share keeps the prefixes exact, so
+neither sampled counts of these nor tokens that share a hash lose a link.
 
 A class is named by a 64-bit hash of its sorted tokens: at 10^9 different
 texts the chance that any two share a name is about 3 %.
@@ -50,7 +54,8 @@ _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BYTES[65:91] = _BYTES[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-PIECE = 1 << 20
+#: Bytes hashed at a time, so that the arrays stay in the processor's cache; bytes of text in a batch.
+PIECE, BATCH_BYTES = 1 << 16, 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -71,7 +76,7 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         while end < len(whole) and not _SPACE[whole[end]]:
             end += 1
         part = whole[at:end]
-        power, inverse = _powers(max(PIECE + 4096, 1 << (len(part) - 1).bit_length()))
+        power, inverse = _powers(max(2 * PIECE, 1 << (len(part) - 1).bit_length()))
         space = np.concatenate([[True], _SPACE[part], [True]])
         edge = np.flatnonzero(space[1:] != space[:-1])
         a, b = edge[0::2], edge[1::2]
@@ -151,75 +156,6 @@ def distinct_sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return tokens, offsets, classes.view(np.int64)
 
 
-class Segments:
-    """Signatures of which two sets of similarity >= num / den share one.
-
-    Sizes fall into classes whose borders grow by den / num, so a pair lies in
-    one class or in two neighbouring ones. Two such sets differ in at most k
-    tokens. The tokens are dealt by their hash into more than k segments, so at
-    least one segment holds the same tokens in both; its sum is the signature.
-    A signature covers several tokens: sets that merely share a passage have
-    none in common.
-
-    Segments of few tokens say little. A set leaves out those with the fewest
-    tokens as long as more segments than it leaves out must agree. A segment
-    that agrees has as many tokens on either side, so one that both emit remains.
-    """
-
-    def __init__(self, num: int, den: int):
-        starts, ends, n = [], [], 1
-        while n < 1 << 40:
-            starts.append(n)
-            ends.append(n * den // num)
-            n = ends[-1] + 1
-        self.num, self.den = num, den
-        self.starts, self.ends = np.array(starts), np.array(ends)
-        k = self._differ(self.ends, self.ends * den // num)
-        self.parts = k + 1 + (k >= 10) + (k >= 30)
-
-    def _differ(self, n, m):
-        return (n + m) * (self.den - self.num) // (self.den + self.num)
-
-    def signatures(self, tokens: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(signatures, offsets) of the wanted sets; the others get none."""
-        sizes = np.diff(offsets)
-        own = np.searchsorted(self.starts, sizes, side="right") - 1
-        found, owners = [], []
-        for back in (0, 1):
-            cls = own - back
-            low = np.maximum(cls, 0)
-            partner = self.ends[low] if back else np.minimum(self.ends[low + 1], sizes * self.den // self.num)
-            use = np.flatnonzero(wanted & (sizes > 0) & (cls >= 0) & ((back == 0) | (sizes * self.num <= self.ends[low] * self.den)))
-            if not len(use):
-                continue
-            parts = self.parts[low[use]]
-            first = np.concatenate([[0], np.cumsum(parts)])
-            lengths = sizes[use]
-            at = np.repeat(offsets[:-1][use] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(int(lengths.sum()))
-            mixed = _mix(tokens[at])
-            owner = np.repeat(np.arange(len(use)), lengths)
-            slot = first[owner] + (mixed >> np.uint64(16)).astype(np.int64) % parts[owner]
-            sums = np.zeros(int(first[-1]), dtype=np.uint64)
-            np.add.at(sums, slot, mixed)
-            held = np.bincount(slot, minlength=len(sums))
-            spare = parts - self._differ(lengths, partner[use]) - 1
-            least = np.zeros(len(use), dtype=np.int64)
-            for c in range(1, 5):
-                few = np.add.reduceat((held < c).astype(np.int64), first[:-1])
-                least[few <= spare] = c
-            set_of = np.repeat(np.arange(len(use)), parts)
-            keep = held >= least[set_of]
-            segment = np.arange(len(sums)) - first[set_of]
-            tag = _mix((low[use][set_of] * 1_000_003 + segment).astype(np.uint64) + np.uint64(1))
-            found.append(_mix(sums[keep] + tag[keep]))
-            owners.append(use[set_of[keep]])
-        if not found:
-            return np.empty(0, dtype=np.int64), np.zeros(len(offsets), dtype=np.int64)
-        owner = np.concatenate(owners)
-        order = np.argsort(owner, kind="stable")
-        return np.concatenate(found)[order].view(np.int64), np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
-
-
 def prefix_length(n, num: int, den: int):
     return n - (num * n + den - 1) // den + 1
 
@@ -230,7 +166,7 @@ def slices(batches, size: int = SLICE):
             yield batch.slice(start, size)
 
 
-def by_bytes(batches, column: int, limit: int = PIECE):
+def by_bytes(batches, column: int, limit: int = BATCH_BYTES):
     """Slices of about ``limit`` bytes of text, one row at least."""
     for batch in batches:
         lengths = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype("f8"))
@@ -243,24 +179,25 @@ def by_bytes(batches, column: int, limit: int = PIECE):
             start = stop
 
 
-#: Words of 64 bits that the filter of classes has; its size does not depend on the corpus.
-FILTER = 1 << 20
+#: Words of 64 bits that the filter of classes has at least and at most. It has 16 bits a class up to 2^24 classes; then more and more others pass, which costs time but no result.
+FILTER = 1 << 14, 1 << 22
 
 
 def class_filter(classes: DataFrame) -> np.ndarray:
-    """A Bloom filter of the column ``class``, put together by the executors; at most FILTER words come to the driver."""
-    word = lambda shift: F.shiftrightunsigned("class", shift).bitwiseAND(FILTER - 1)
+    """A Bloom filter of the column ``class``, put together by the executors; at most FILTER[1] words come to the driver."""
+    size = min(max(FILTER[0], 1 << (classes.count() // 4).bit_length()), FILTER[1])
+    word = lambda shift: F.shiftrightunsigned("class", shift).bitwiseAND(size - 1)
     bit = lambda shift: F.expr(f"shiftleft(1L, cast(shiftrightunsigned(class, {shift}) & 63 as int))")
     marks = classes.select(F.explode(F.array(F.struct(word(6).alias("w"), bit(0).alias("b")), F.struct(word(34).alias("w"), bit(28).alias("b")))).alias("m"))
     found = marks.groupBy("m.w").agg(F.bit_or("m.b").alias("b")).toPandas()
-    out = np.zeros(FILTER, dtype=np.int64)
+    out = np.zeros(size, dtype=np.int64)
     out[found["w"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64)
     return out.view(np.uint64)
 
 
 def passes(bits: np.ndarray, classes: np.ndarray) -> np.ndarray:
     c = classes.view(np.uint64)
-    hit = lambda a, b: (bits[((c >> np.uint64(a)) & np.uint64(FILTER - 1)).astype(np.int64)] >> ((c >> np.uint64(b)) & np.uint64(63))) & np.uint64(1)
+    hit = lambda a, b: (bits[((c >> np.uint64(a)) & np.uint64(len(bits) - 1)).astype(np.int64)] >> ((c >> np.uint64(b)) & np.uint64(63))) & np.uint64(1)
     return (hit(6, 0) & hit(34, 28)).astype(bool)
 
 
@@ -274,19 +211,198 @@ def first_seen(classes: np.ndarray, seen: set) -> np.ndarray:
     return new
 
 
-def signature_lists(texts: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
-    """(token, n, class) for each signature of each class; ``sets_of`` turns texts into (tokens, offsets, classes)."""
-    segments = Segments(num, den)
+#: One in so many (token, class) pairs is counted to find the heavy tokens; a token is one from so many such pairs on, or from this share of them.
+SAMPLED, LEAST_SAMPLED, HEAVIEST = 64, 32, 1 << 18
+#: Tokens that one part of the counting holds about, and that a task gathers before it sends them.
+PART_TOKENS, CHUNK_TOKENS = 1 << 23, 1 << 21
+
+
+def sampled_tokens(tokens: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> pa.Array:
+    """Of each set the tokens that count towards heavy_tokens; equal sets give equal ones."""
+    owner = np.repeat(np.arange(len(classes)), np.diff(offsets))
+    at = np.flatnonzero(_mix(tokens + _mix(classes.view(np.uint64))[owner]) % np.uint64(SAMPLED) == 0)
+    cuts = np.searchsorted(owner[at], np.arange(len(classes) + 1))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens[at].view(np.int64)))
+
+
+def heavy_tokens(rows: DataFrame, pairs: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, levels), by token, of those that a large share of all classes holds: HEAVIEST at most, however large the corpus.
+
+    ``rows`` is (class, sample), ``pairs`` the number of tokens of all sets.
+    """
+    least = max(LEAST_SAMPLED, -(-pairs // (SAMPLED * HEAVIEST)))
+    counted = rows.select("class", F.explode("sample").alias("token")).distinct().groupBy("token").count().filter(F.col("count") >= least)
+    found = counted.orderBy(F.desc("count")).limit(HEAVIEST).toPandas()
+    order = np.argsort(found["token"].to_numpy(dtype=np.int64))
+    often = found["count"].to_numpy(dtype=np.int64)[order]
+    return found["token"].to_numpy(dtype=np.int64)[order].view(np.uint64), (128 + np.log2(np.maximum(often, 1))).astype(np.uint8)
+
+
+def level_of(counts: np.ndarray) -> np.ndarray:
+    """The rank of a count: itself, then its logarithm."""
+    return np.where(counts <= 64, counts, 58 + np.log2(np.maximum(counts, 1))).astype(np.uint8)
+
+
+#: Columns of a packed row: sets (class, tokens in all, heavy ones of them, tokens held in this row) and their tokens in the same order.
+_ARRAYS = ("class", "n", "heavy", "held", "token", "level")
+_PACKED = "part int, of int, " + ", ".join(f"{k} binary" for k in _ARRAYS)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """An array in as few bytes an item as its largest needs; the first byte is that number."""
+    if x.dtype != np.int64:
+        most = int(x.max(initial=0))
+        x = x.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4")
+    return bytes([x.itemsize]) + x.tobytes()
+
+
+def _unpacked(table: pa.Table) -> dict:
+    kinds = {1: "u1", 2: "<u2", 4: "<u4", 8: "<i8"}
+    return {k: np.concatenate([np.frombuffer(b, dtype=kinds[b[0]], offset=1) for b in table[k].to_pylist()]) for k in _ARRAYS}
+
+
+def _by_part(parts: np.ndarray, owner: np.ndarray, of, refs: dict, token: np.ndarray, level: np.ndarray):
+    """A packed row for each part: its tokens, and the sets that hold them. ``refs`` has class, n and heavy by owner; owners ascend."""
+    order = np.argsort(parts, kind="stable")
+    parts, owner, token, level = parts[order], owner[order], token[order], level[order]
+    cuts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1], [True]])) if len(parts) else []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        begins = np.flatnonzero(np.concatenate([[True], owner[a + 1 : b] != owner[a : b - 1]]))
+        sets = owner[a:b][begins]
+        row = {k: v[sets] for k, v in refs.items()} | {"held": np.diff(np.append(begins, b - a)).astype(np.uint32), "token": token[a:b], "level": level[a:b]}
+        yield {"part": int(parts[a]), "of": of} | {k: _packed(row[k]) for k in _ARRAYS}
+
+
+def tokens_by_part(texts: DataFrame, sets_of: Callable, parts: int, heavy: tuple[np.ndarray, np.ndarray], num: int, den: int) -> DataFrame:
+    """The tokens of all classes, packed by part of the token's hash. Heavy ones only come along, in parts below 0, for sets whose prefix may reach them."""
+    shared = texts.sparkSession.sparkContext.broadcast(heavy)
+    fields = pa.schema([("part", pa.int32()), ("of", pa.int32()), *((k, pa.binary()) for k in _ARRAYS)])
+    chunk = min(max(CHUNK_TOKENS, 64 * parts), 1 << 24)
+
+    def sent(held):
+        tokens, sizes, classes = (np.concatenate(x) for x in zip(*held, strict=True))
+        known, levels = shared.value
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.searchsorted(known, tokens)
+        is_heavy = (known[np.minimum(place, len(known) - 1)] == tokens) if len(known) else np.zeros(len(tokens), dtype=bool)
+        heavies = np.bincount(owner[is_heavy], minlength=len(sizes))
+        refs = {"class": classes, "n": sizes.astype(np.uint32), "heavy": heavies.astype(np.uint32)}
+        rest = tokens[~is_heavy]
+        low = ((rest // np.uint64(parts)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        rows = [row | {"level": b"\1"} for row in _by_part((rest % np.uint64(parts)).astype(np.int32), owner[~is_heavy], 0, refs, low, np.zeros(len(rest), dtype=np.uint8))]
+        reached = is_heavy & (sizes - heavies < prefix_length(sizes, num, den))[owner]
+        if reached.any():
+            rows += _by_part(-1 - (classes.view(np.uint64)[owner[reached]] % np.uint64(parts)).astype(np.int32), owner[reached], 0, refs, place[reached].astype(np.uint32), levels[place[reached]])
+        for start in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_pylist(rows[start : start + 64], schema=fields)
 
     def run(batches):
         seen: set = set()
+        held, size = [], 0
         for batch in by_bytes(batches, 0):
             tokens, offsets, classes = sets_of(batch.column(0).to_pylist())
-            found, cuts = segments.signatures(tokens, offsets, first_seen(classes, seen))
-            owner = np.repeat(np.arange(len(classes)), np.diff(cuts))
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.diff(offsets)[owner], pa.int32()), pa.array(classes[owner])], names=["token", "n", "class"])
+            new = first_seen(classes, seen)
+            sizes = np.diff(offsets)
+            held.append((tokens[np.repeat(new, sizes)], sizes[new], classes[new]))
+            size += len(held[-1][0])
+            if size >= chunk:
+                yield from sent(held)
+                held, size = [], 0
+        if held:
+            yield from sent(held)
+
+    return texts.mapInArrow(run, _PACKED)
+
+
+def _common(parts: int):
+    """Counts the tokens of a part and keeps those of several classes, packed by class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part, x = table["part"][0].as_py(), _unpacked(table)
+        if len(x["class"]):
+            # A class that several tasks have met counts once.
+            first = np.zeros(len(x["class"]), dtype=bool)
+            first[np.unique(x["class"], return_index=True)[1]] = True
+            own = np.repeat(first, x["held"])
+            token, level = x["token"][own], x["level"][own] if part < 0 else None
+            refs = {k: x[k][first] for k in ("class", "n", "heavy")}
+            owner = np.repeat(np.arange(len(refs["class"])), x["held"][first])
+            if part >= 0:
+                together = np.sort(token.astype(np.uint64) << np.uint64(32) | np.arange(len(token), dtype=np.uint64))
+                begins = np.flatnonzero(np.concatenate([[True], together[1:] >> np.uint64(32) != together[:-1] >> np.uint64(32)]))
+                counts = np.diff(np.append(begins, len(token)))
+                often = np.empty(len(token), dtype=np.uint32)
+                often[together & np.uint64(0xFFFFFFFF)] = np.repeat(counts, counts)
+                keep = often > 1
+                owner, token, level = owner[keep], token[keep], level_of(often[keep])
+            to = (refs["class"].view(np.uint64)[owner] // np.uint64(1 << 20) % np.uint64(parts)).astype(np.int32)
+            rows = list(_by_part(to, owner, part, refs, token, level))
+        else:
+            rows = []
+        return pa.Table.from_pylist(rows, schema=table.schema)
+
+    return run
+
+
+def _prefixes(parts: int, num: int, den: int):
+    """Puts the common tokens of each class in order of rarity and keeps those in its prefix that a list may need."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x = _unpacked(table)
+        rows = [len(b) // b[0] for b in table["token"].to_pylist()]
+        of = np.repeat(np.array(table["of"].to_pylist(), dtype=np.int64), rows)
+        token = np.where(of < 0, -1 - x["token"].astype(np.int64), x["token"].astype(np.int64) * parts + of)
+        classes, at, index = np.unique(x["class"], return_index=True, return_inverse=True)
+        owner = np.repeat(index, x["held"])
+        order = np.lexsort((token, x["level"], owner))
+        owner, token, of = owner[order], token[order], of[order]
+        n = x["n"][at].astype(np.int64)
+        alone = n - x["heavy"][at] - np.bincount(owner[of >= 0], minlength=len(classes))
+        starts = np.searchsorted(owner, np.arange(len(classes)))
+        pos = alone[owner] + np.arange(len(owner)) - starts[owner]
+        keep = pos < prefix_length(n, num, den)[owner]
+        owner, pos = owner[keep], pos[keep]
+        return pa.table({"token": pa.array(token[keep]), "n": pa.array(n[owner], pa.int32()), "pos": pa.array(pos, pa.int32()), "class": pa.array(classes[owner])})
+
+    return run
+
+
+def prefix_lists(rows: DataFrame, texts: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
+    """(token, n, pos, class) for each class and each token of its prefix that other classes hold as well.
+
+    ``rows`` is (class, n, sample), a row per set; ``sets_of`` turns texts into
+    (tokens, offsets, classes). A token's name is unique in the corpus but for
+    hash collisions of log2(parts) + 32 bits, which only add candidates.
+    """
+    pairs = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(4, min(1 << 24, pairs // PART_TOKENS))
+    heavy = heavy_tokens(rows, pairs)
+    common = tokens_by_part(texts, sets_of, parts, heavy, num, den).groupBy("part").applyInArrow(_common(parts), _PACKED)
+    return common.groupBy("part").applyInArrow(_prefixes(parts, num, den), "token long, n int, pos int, class long")
 
-    return texts.mapInArrow(run, "token long, n int, class long")
+
+def list_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) that tie the entries of each list together so that every similar pair in it is connected.
+
+    A set of n tokens with the list's token at position p can share n - p of
+    them at most, so it is similar to none of more than reach = (n - p) (1 + t) / t - n
+    tokens: its length filter and its positional filter in one. Entries are
+    scanned by size; where a size is beyond the reach of all before it, a new run
+    starts. Entries of one size are summed up first (and so map-side), the
+    scan is over distinct sizes: a token that a third of all sets hold is no
+    task of its own.
+    """
+    reach = F.expr(f"((n - pos) * {num + den}L) div {num} - n")
+    entries = postings.withColumn("reach", reach)
+    sizes = entries.groupBy("token", "n").agg(F.min("class").alias("head"), F.max("reach").alias("reach"), F.count("*").alias("count"))
+    along = Window.partitionBy("token").orderBy("n")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.when(F.coalesce(F.max("reach").over(before), F.lit(-1)) < F.col("n"), F.col("head"))
+    runs = pin(sizes.withColumn("_start", starts).withColumn("run", F.last("_start", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))).select("token", "n", "head", "run", "count"))
+    heads = runs.filter("head != run").select(F.col("head").alias("a"), F.col("run").alias("b"))
+    several = runs.filter("count > 1").select("token", "n", "head")
+    members = entries.join(several, ["token", "n"]).filter(F.col("class") != F.col("head")).select(F.col("class").alias("a"), F.col("head").alias("b"))
+    return heads.union(members).distinct()
 
 
 def class_sets(texts: DataFrame, sets_of: Callable, classes: DataFrame) -> DataFrame:
@@ -306,20 +422,6 @@ def class_sets(texts: DataFrame, sets_of: Callable, classes: DataFrame) -> DataF
     return pin(found.groupBy("class").agg(F.first("tokens").alias("tokens")))
 
 
-def list_edges(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that tie the entries of each index list together: postings are (token, n, class), a token being a signature.
-
-    Entries are scanned by size; a gap wider than the length filter allows
-    starts a new run, and each entry is tied to the first of its run.
-    """
-    along = Window.partitionBy("token").orderBy("n", "class")
-    before = F.lag("n").over(along)
-    starts = F.when(before.isNull() | (before * den < F.col("n") * num), F.col("class"))
-    runs = postings.withColumn("_start", starts)
-    first = F.last("_start", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
-    return runs.withColumn("b", first).filter(F.col("class") != F.col("b")).select(F.col("class").alias("a"), "b").distinct()
-
-
 #: Edges that one task of a round of ``components`` holds.
 EDGES_PER_TASK = 50_000
 
@@ -431,37 +533,6 @@ def grouped(batches, keys: int):
         yield rows
 
 
-def refined(members: DataFrame, sets: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
-    """``members`` (component, class, rank) with components of more than ``block`` classes cut along rare tokens.
-
-    Two similar sets share one of their first tokens in any common order, here
-    by how many sets of the component hold a token. Passages that many sets
-    hold come last in it, so sets that share no more than such passages part.
-    Tokens that only one set holds take their places without being sent.
-    """
-    members = pin(members)
-    large = pin(members.groupBy("component").agg(F.count("*").alias("_n")).filter(F.col("_n") > block))
-    if large.limit(1).count() == 0:
-        return members
-    many = members.join(small(large), "component").drop("_n")
-
-    def spread(batches):
-        for batch in slices(batches):
-            for component, cls, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(tokens, dtype="<u8")
-                salted = _mix(own + _mix(np.full(1, component & ((1 << 64) - 1), dtype=np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(salted.view(np.int64)), pa.array(np.full(len(own), cls)), pa.array(np.full(len(own), len(own), dtype=np.int32))], names=["token", "class", "n"])
-
-    tokens = many.join(sets, "class").select("component", "class", "tokens").mapInArrow(spread, "token long, class long, n int")
-    often = tokens.groupBy("token").agg(F.count("*").alias("_often")).filter("_often > 1")
-    listed = tokens.join(often, "token").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("_often", "token"))).alias("_t"))
-    places = F.expr(f"n - cast(ceil({num} * n / {den}) as int) + 1 - (n - size(_t))")
-    first = listed.select("class", "n", F.explode(F.slice("_t", F.lit(1), F.greatest(places, F.lit(0)))).alias("t")).select("t.token", "n", "class")
-    found = components(list_edges(first, num, den))
-    cut = many.join(found.select(F.col("node").alias("class"), F.col("component").alias("_part")), "class").select(F.col("_part").alias("component"), "class", "rank")
-    return members.join(small(large), "component", "left_anti").select("component", "class", "rank").unionAll(cut)
-
-
 def blocked_links(members: DataFrame, sets: DataFrame, num: int, den: int, earlier: bool, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between classes; ``members`` is (component, class, rank), ``sets`` (class, tokens).
 
@@ -469,7 +540,7 @@ def blocked_links(members: DataFrame, sets: DataFrame, num: int, den: int, earli
     is similar to, if there is any: (a: the class, b: the earlier one). Without,
     links that connect exactly the classes that all links connect.
     """
-    members = pin(refined(members, sets, num, den, block))
+    members = pin(members)
     sizes = members.groupBy("component").agg(F.count("*").alias("_n"), F.min(F.struct("rank", "class"))["class"].alias("_pivot"))
     large = small(pin(sizes.filter(F.col("_n") > block)))
     dealt = members.join(large, "component", "left").withColumn("_blocks", F.coalesce(F.ceil(F.col("_n") / block), F.lit(1)))
@@ -539,10 +610,11 @@ def _joined(members: DataFrame, num: int, den: int, earlier: bool) -> DataFrame:
 
                 def match(x, y, _overlap):
                     a, b = find(info[x][1]), find(info[y][1])
-                    root[max(a, b)] = min(a, b)
-                    out.append((names[x], names[y]))
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        out.append((names[x], names[y]))
 
-                prefix_join(sets, num, den, [x[2] for x in info], lambda x, y: find(info[x][1]) == find(info[y][1]), match)
+                prefix_join(sets, num, den, [x[2] for x in info], lambda x, y: False, match)
             if out:
                 a, b = zip(*out, strict=True)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})

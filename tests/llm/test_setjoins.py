@@ -80,7 +80,7 @@ def test_one_of_each_group_keeps_columns(spark):
 
 def brute_lines(rows, k=5, num=4, den=5):
     lines = sorted((i, n, line) for i, t in rows for n, line in enumerate((t or "").split("\n")))
-    sets = [shingles(line, k) if len(WORDS.findall(line)) >= k else set() for _, _, line in lines]
+    sets = [shingles(line, k) for _, _, line in lines]
     return {(lines[x][0], lines[x][1]) for x in range(len(lines)) if any(similar(sets[x], sets[y], num, den) for y in range(x))}
 
 
