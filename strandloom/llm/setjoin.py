@@ -214,7 +214,7 @@ def first_seen(classes: np.ndarray, seen: set) -> np.ndarray:
 #: One in so many (token, class) pairs is counted to find the heavy tokens; a token is one from so many such pairs on, or from this share of them.
 SAMPLED, LEAST_SAMPLED, HEAVIEST = 64, 32, 1 << 18
 #: Tokens that one part of the counting holds about, and that a task gathers before it sends them.
-PART_TOKENS, CHUNK_TOKENS = 1 << 23, 1 << 21
+PART_TOKENS, CHUNK_TOKENS = 1 << 22, 1 << 21
 
 
 def sampled_tokens(tokens: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> pa.Array:
@@ -318,28 +318,36 @@ def _common(parts: int):
     """Counts the tokens of a part and keeps those of several classes, packed by class."""
 
     def run(table: pa.Table) -> pa.Table:
-        part, x = table["part"][0].as_py(), _unpacked(table)
+        part, x, schema = table["part"][0].as_py(), _unpacked(table), table.schema
+        del table
         if len(x["class"]):
             # A class that several tasks have met counts once.
             first = np.zeros(len(x["class"]), dtype=bool)
             first[np.unique(x["class"], return_index=True)[1]] = True
-            own = np.repeat(first, x["held"])
+            own = slice(None) if first.all() else np.repeat(first, x["held"])
             token, level = x["token"][own], x["level"][own] if part < 0 else None
-            refs = {k: x[k][first] for k in ("class", "n", "heavy")}
-            owner = np.repeat(np.arange(len(refs["class"])), x["held"][first])
+            refs, held = {k: x[k][first] for k in ("class", "n", "heavy")}, x["held"][first]
+            del x, own
+            owner = np.repeat(np.arange(len(held), dtype=np.int32), held)
             if part >= 0:
-                together = np.sort(token.astype(np.uint64) << np.uint64(32) | np.arange(len(token), dtype=np.uint64))
-                begins = np.flatnonzero(np.concatenate([[True], together[1:] >> np.uint64(32) != together[:-1] >> np.uint64(32)]))
-                counts = np.diff(np.append(begins, len(token)))
-                often = np.empty(len(token), dtype=np.uint32)
-                often[together & np.uint64(0xFFFFFFFF)] = np.repeat(counts, counts)
-                keep = often > 1
-                owner, token, level = owner[keep], token[keep], level_of(often[keep])
+                # Token and place in one number: sorted, equal tokens are neighbours.
+                together = token.astype(np.uint64) << np.uint64(32)
+                together |= np.arange(len(token), dtype=np.uint64)
+                together.sort()
+                same = (together >> np.uint64(32)).astype(np.uint32)
+                begins = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+                counts = np.diff(np.append(begins, len(token))).astype(np.uint32)
+                several = np.repeat(counts > 1, counts)
+                at, often = (together[several] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.repeat(counts, np.where(counts > 1, counts, 0))
+                del together, same, several
+                order = np.argsort(at)
+                at, often = at[order], often[order]
+                owner, token, level = owner[at], token[at], level_of(often)
             to = (refs["class"].view(np.uint64)[owner] // np.uint64(1 << 20) % np.uint64(parts)).astype(np.int32)
             rows = list(_by_part(to, owner, part, refs, token, level))
         else:
             rows = []
-        return pa.Table.from_pylist(rows, schema=table.schema)
+        return pa.Table.from_pylist(rows, schema=schema)
 
     return run
 
