@@ -13,24 +13,45 @@ def hash_number(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("long")
 
 
-def numbered(table: DataFrame, key: str) -> DataFrame:
-    """``table`` with a dense 0-based ``_no`` by key. For dimension tables: hosts are thousands, not billions."""
-    return table.withColumn("_no", (F.row_number().over(Window.orderBy(key)) - 1).cast("long"))
-
-
 def random_negatives(phages: DataFrame, hosts: DataFrame, positives: DataFrame, per_phage: int = 1, seed: int = 42) -> DataFrame:
     """(Phage_ID, Host_ID): for each phage the hosts that hashes of its id pick, less the positives.
 
     Each attempt picks one host by number, so this is an equi-join on the
     number; a phage related to most hosts may get fewer than asked for.
     """
-    table = numbered(hosts.select("Host_ID").distinct(), "Host_ID")
+    table = dense_index(hosts.select("Host_ID").distinct(), ["Host_ID"], "_no")
     total = table.agg(F.count("*").alias("_hosts"))
     attempts = phages.select("Phage_ID").distinct().join(F.broadcast(total)).withColumn("_try", F.explode(F.sequence(F.lit(1), F.lit(per_phage))))
     picked = attempts.withColumn("_no", hash_number(F.col("Phage_ID"), F.col("_try"), F.lit(seed)) % F.col("_hosts"))
     return picked.join(table, "_no").select("Phage_ID", "Host_ID").distinct().join(positives, ["Phage_ID", "Host_ID"], "left_anti")
 
 
+def negatives_for(phages: DataFrame, hosts: DataFrame, positives: DataFrame, ratio: float = 1.0, attempts: int = 10, seed: int = 42) -> DataFrame:
+    """(Phage_ID, Host_ID): int(number of positives * ratio) negatives, fewer if ``attempts`` draws each do not find as many.
+
+    Draw number i picks a phage and a host by hashes of i, so draws are spread
+    over tasks and two equi-joins name them; the first draws that are no
+    positive and no repeat are kept, in the order of their numbers.
+    """
+    wanted = int(positives.count() * ratio)
+    spark = positives.sparkSession
+    p, h = dense_index(phages.select("Phage_ID").distinct(), ["Phage_ID"], "_p"), dense_index(hosts.select("Host_ID").distinct(), ["Host_ID"], "_h")
+    n_phages, n_hosts = p.count(), h.count()
+    if not wanted or not n_phages or not n_hosts:
+        return p.select("Phage_ID").join(h.select("Host_ID"), F.lit(False))
+    draws = spark.range(wanted * attempts).select(F.col("id").alias("_i"), (hash_number(F.col("id"), F.lit("p"), F.lit(seed)) % n_phages).alias("_p"), (hash_number(F.col("id"), F.lit("h"), F.lit(seed)) % n_hosts).alias("_h"))
+    named = draws.join(p, "_p").join(h, "_h").groupBy("Phage_ID", "Host_ID").agg(F.min("_i").alias("_i"))
+    good = named.join(positives.select("Phage_ID", "Host_ID").distinct(), ["Phage_ID", "Host_ID"], "left_anti")
+    return dense_index(good, ["_i"], "_at").filter(F.col("_at") < wanted).select("Phage_ID", "Host_ID")
+
+
+def candidate_caches(star: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Distinct phages and hosts with a known GC share and length, from which negatives are drawn."""
+    p = star["fact_phages"].filter("GC_content IS NOT NULL AND Length IS NOT NULL").select("Phage_ID", "GC_content", "Length", "Taxonomy").distinct()
+    h = star["dim_hosts"].filter("GC_Content IS NOT NULL AND Genome_Length IS NOT NULL").select("Host_ID", "Species_Name", "GC_Content", "Genome_Length").distinct()
+    return p, h
+
+
 def gc_negatives(negatives: DataFrame, phages: DataFrame, hosts: DataFrame, least: float = 20.0) -> DataFrame:
     """Negatives whose GC shares differ by at least ``least`` points, with the difference."""
     p = phages.select("Phage_ID", F.col("GC_content").alias("_p")).dropDuplicates(["Phage_ID"])
@@ -50,13 +71,34 @@ def taxonomy_negatives(negatives: DataFrame, hosts: DataFrame, positives: DataFr
 
 
 def sample_by_hash(rows: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows in the order of a seeded MD5: a uniform sample that reruns repeat."""
+    """``n`` rows in the order of a seeded MD5: a uniform sample that reruns repeat.
+
+    Rows are counted in 65,536 ranges of the digest; only the range that the
+    border falls into is ranked.
+    """
     order = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
-    return rows.withColumn("_o", order).orderBy("_o", *keys).limit(n).drop("_o")
+    hashed = rows.withColumn("_o", order).withColumn("_b", F.conv(F.substring("_o", 1, 4), 16, 10).cast("int"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = hashed.groupBy("_b").agg(F.count("*").alias("_n")).withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    placed = hashed.join(F.broadcast(starts.filter(F.col("_s") < n)), "_b")
+    whole = placed.filter(F.col("_s") + F.col("_n") <= n)
+    border = placed.filter(F.col("_s") + F.col("_n") > n)
+    ranked = border.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_o", *keys))).filter(F.col("_s") + F.col("_r") <= n)
+    return whole.select(*rows.columns).unionAll(ranked.select(*rows.columns))
+
+
+def percent_sample(rows: DataFrame, keys: list[str], percent: float, seed: int = 42) -> DataFrame:
+    """The rows whose seeded hash falls below ``percent`` of its range: a pure filter that reruns repeat; rows with equal keys share a fate."""
+    return rows.filter(hash_number(*[F.col(k) for k in keys], F.lit(seed)) < int(percent / 100 * (1 << 32)))
+
+
+def shuffled(rows: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
+    """``rows`` in the order of a seeded MD5, by a range sort; reruns agree."""
+    return rows.orderBy(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))), *keys)
 
 
 def balanced_dataset(positives: DataFrame, negatives: list[DataFrame], ratio: float = 1.0, seed: int = 42) -> DataFrame:
-    """(Phage_ID, Host_ID, label): positives and int(n * ratio) negatives, shared evenly among the kinds, the rest to the last."""
+    """(Phage_ID, Host_ID, label): positives and int(n * ratio) negatives, shared evenly among the kinds, the rest to the last; ``shuffled`` puts them in random order."""
     keys = ["Phage_ID", "Host_ID"]
     good = positives.select(*keys).distinct()
     wanted = int(good.count() * ratio)

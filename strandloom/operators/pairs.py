@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.guards import check_fragment, split_fragment
 from ..functions.scalars import source_type
+from ..session import pin
 
 Star = dict[str, DataFrame]
 # The columns that structured filters may name.
@@ -112,6 +113,14 @@ def table_metadata(table: DataFrame, columns: list[str], fragment: str | None =
     return apply_fragment(table, fragment, limit, order).select(*columns)
 
 
+def missing_host_pairs(pairs: DataFrame, host_sequences: DataFrame) -> DataFrame:
+    """The pairs, as ``pair_metadata`` gives them, whose host has no sequence or an empty one, with the reason."""
+    have = host_sequences.select(F.col("id").alias("Host_ID"), (F.length("sequence") > 0).alias("_filled")).groupBy("Host_ID").agg(F.max("_filled").alias("_filled"))
+    rows = pairs.join(have, "Host_ID", "left").filter(~F.coalesce("_filled", F.lit(False)))
+    reason = F.when(F.col("_filled").isNull(), "no sequence").otherwise("empty sequence").alias("Failure_Reason")
+    return rows.select("Phage_ID", "Host_ID", "Species_Name", "Phage_Source", "Phage_Length", "Phage_Taxonomy", "Host_Assembly_Level", reason)
+
+
 def missing_hosts(edges: DataFrame, host_sequences: DataFrame) -> DataFrame:
     """Hosts without a sequence and how many pairs that costs."""
     return edges.join(host_sequences.select(F.col("id").alias("Host_ID")), "Host_ID", "left_anti").groupBy("Host_ID").agg(F.count("*").alias("n_pairs"), F.lit("no sequence").alias("Failure_Reason"))
@@ -153,10 +162,39 @@ def transformed(rows: DataFrame, transform: Callable[[dict], dict], schema: str)
     return rows.mapInPandas(run, schema)
 
 
+def streamed(pairs: DataFrame, phage_contigs: DataFrame, host_contigs: DataFrame) -> DataFrame:
+    """Pairs with the first contig of each side in file order; pairs of which either is absent or empty are skipped.
+
+    Contig tables are (genome_id, file_pos, contig_id, sequence).
+    """
+    first = lambda t: t.groupBy("genome_id").agg(F.min_by("sequence", F.struct("file_pos", "contig_id")).alias("sequence")).filter("sequence != ''").withColumnRenamed("genome_id", "id")
+    return pairs_with_sequences(pairs, first(phage_contigs), first(host_contigs))
+
+
+def indexed(pairs: DataFrame, phage_sequences: DataFrame, host_sequences: DataFrame, order: tuple[str, ...] = ("Phage_ID", "Host_ID")) -> DataFrame:
+    """Pairs with ``idx`` and both sequences, empty ones and nulls included, for random access by ``idx``."""
+    placed = dense_index(pairs, list(order))
+    p = phage_sequences.select(F.col("id").alias("Phage_ID"), F.col("sequence").alias("Phage_Sequence"))
+    h = host_sequences.select(F.col("id").alias("Host_ID"), F.col("sequence").alias("Host_Sequence"))
+    return placed.join(p, "Phage_ID", "left").join(h, "Host_ID", "left")
+
+
+def at_indexes(rows: DataFrame, wanted: list[int]) -> list[dict]:
+    """The samples at some positions of ``indexed``, in the order asked for; a position beyond the end is an error."""
+    found = {r["idx"]: r.asDict() for r in rows.filter(F.col("idx").isin(wanted)).collect()}
+    if absent := [i for i in wanted if i not in found]:
+        raise IndexError(f"no sample at {absent}")
+    return [found[i] for i in wanted]
+
+
 def dense_index(rows: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
-    """0-based positions in a total order, without one task seeing all rows: positions inside each range of the sort plus the sizes of the ranges before it."""
+    """0-based positions in a total order, without one task seeing all rows: positions inside each range of the sort plus the sizes of the ranges before it.
+
+    The sorted rows are pinned, so that sizes and positions are of one deal of the ranges even if executors are lost.
+    """
     placed = rows.orderBy(*[F.asc_nulls_last(c) for c in order]).withColumn("_id", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id").persist()
+    placed = placed.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id")
+    placed = pin(placed)
     sizes = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}
     starts, total = [], 0
     for part in sorted(sizes):

@@ -1,19 +1,24 @@
-"""Private sources: validation, and the ingest that makes the star agree with the sources there are."""
+"""Private sources: discovery, validation, manifest, and the ingest that makes the star agree with the sources there are."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import files, readers
 from .reshape import entity_attributes
 
-# What a private metadata file must have.
+# What a private source must have.
 MANDATORY = ("Phage_ID", "Host_ID", "Host_name", "Source_DB", "interaction")
 KINDS = ("temperate", "virulent")
 UNKNOWN_HOST = "unknown"
+METADATA, SEQUENCES, HOSTS = "metadata.csv", "phage.fasta", "hosts"
+HOST_SUFFIXES = (".fna", ".fasta", ".fa")
 EXAMPLES = 20
+#: Column that numbers the rows of a metadata file from 0; ``read_source`` adds it.
+ROW = "_row"
 
 
 @dataclass
@@ -34,66 +39,170 @@ def _examples(rows: DataFrame, column: str) -> tuple[int, str]:
     return ids.count(), ", ".join(str(r[0]) for r in ids.orderBy(column).limit(EXAMPLES).collect())
 
 
-def validate(name: str, metadata: DataFrame, phage_ids: DataFrame, host_ids: DataFrame) -> Validation:
-    """Checks of one source: ``metadata`` as text, and the ids of its FASTA records (id) and host files (Host_ID).
+def _at(rows: DataFrame) -> str:
+    """Line numbers of the first few rows, the header being line 1."""
+    if ROW not in rows.columns:
+        return ""
+    return f" in lines {', '.join(str(r[0] + 2) for r in rows.select(ROW).orderBy(ROW).limit(EXAMPLES).collect())}"
 
-    Only missing columns stop it; every other finding is reported with examples.
+
+def validate(name: str, metadata: DataFrame, phage_ids: DataFrame, host_records: DataFrame, has_hosts: bool = True) -> Validation:
+    """Checks of one source: ``metadata`` as text, its FASTA records (id) and those of its host files (Host_ID, id).
+
+    Missing columns and an empty table stop it; every other finding is reported
+    with examples, and with lines if ``metadata`` numbers its rows.
     """
     out = Validation(name)
     missing = [c for c in MANDATORY if c not in metadata.columns]
     if missing:
         out.errors.append(f"missing columns: {', '.join(missing)}")
         return out
-    rows = metadata.select(*[F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in MANDATORY])
-    facts = rows.agg(F.count("*").alias("rows"), F.countDistinct("Phage_ID").alias("phages"), F.countDistinct("Host_ID").alias("hosts"), *[F.sum((F.col(c) == "").cast("long")).alias(f"_{c}") for c in MANDATORY]).first()
-    out.stats = {"rows": facts["rows"], "phages": facts["phages"], "hosts": facts["hosts"]}
+    extras = [c for c in metadata.columns if c not in (*MANDATORY, ROW)]
+    text = lambda c: F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c)
+    rows = metadata.select(*[text(c) for c in (*MANDATORY, *extras)], *[ROW] * (ROW in metadata.columns))
+    filled = sum((F.coalesce(F.sum((F.col(f"`{c}`") != "").cast("long")), F.lit(0)) for c in extras), F.lit(0))
+    facts = rows.agg(F.count("*").alias("rows"), F.countDistinct("Phage_ID").alias("phages"), F.countDistinct("Host_ID").alias("hosts"), filled.alias("extras"), *[F.sum((F.col(c) == "").cast("long")).alias(f"_{c}") for c in MANDATORY]).first()
+    out.stats = {"rows": facts["rows"], "phages": facts["phages"], "hosts": facts["hosts"], "extra_attributes": facts["extras"]}
     if not facts["rows"]:
         out.errors.append("no rows")
         return out
-    out.errors += [f"{facts[f'_{c}']} empty values in {c}" for c in MANDATORY if facts[f"_{c}"]]
+    out.errors += [f"{facts[f'_{c}']} empty values in {c}{_at(rows.filter(F.col(c) == ''))}" for c in MANDATORY if facts[f"_{c}"]]
     is_unknown = F.lower("Host_ID") == UNKNOWN_HOST
+    ids = host_records.select("Host_ID").distinct()
     checks = [
         ("unknown kinds of interaction", rows.filter(~F.lower("interaction").isin(*KINDS) & (F.col("interaction") != "")), "interaction"),
-        ("rows of another source", rows.filter(F.col("Source_DB") != name), "Source_DB"),
+        ("rows of another source", rows.filter((F.col("Source_DB") != name) & (F.col("Source_DB") != "")), "Source_DB"),
         ("phages without a sequence", rows.join(phage_ids.select(F.col("id").alias("Phage_ID")), "Phage_ID", "left_anti"), "Phage_ID"),
         ("repeated sequence ids", phage_ids.groupBy("id").count().filter("count > 1"), "id"),
-        ("hosts without a file", rows.filter(~is_unknown).join(host_ids, "Host_ID", "left_anti"), "Host_ID"),
     ]
+    if has_hosts:
+        checks += [
+            ("hosts without a file", rows.filter(~is_unknown & (F.col("Host_ID") != "")).join(ids, "Host_ID", "left_anti"), "Host_ID"),
+            ("host files with repeated sequence ids", host_records.groupBy("Host_ID", "id").count().filter("count > 1"), "Host_ID"),
+            ("host files without a record of their host", ids.join(host_records.filter("id = Host_ID"), "Host_ID", "left_anti").join(rows.select("Host_ID"), "Host_ID", "left_semi"), "Host_ID"),
+        ]
     for what, bad, column in checks:
         n, some = _examples(bad, column)
         if n:
-            out.errors.append(f"{n} {what}: {some}")
+            out.errors.append(f"{n} {what}: {some}{_at(bad)}")
     unknown = rows.filter(is_unknown).count()
     if 0 < unknown < facts["rows"]:
         out.errors.append("known and unknown hosts are mixed")
+    elif not has_hosts and unknown == 0:
+        out.errors.append("no folder of host sequences")
+    elif not has_hosts:
+        out.warnings.append("no folder of host sequences; all hosts are unknown")
     spare, some = _examples(phage_ids.join(rows.select(F.col("Phage_ID").alias("id")), "id", "left_anti"), "id")
     if spare:
         out.warnings.append(f"{spare} sequences without metadata: {some}")
-    repeats = facts["rows"] - rows.select("Phage_ID", "Host_ID").distinct().count()
+    repeats = facts["rows"] - rows.select("Phage_ID", "Host_ID", "Source_DB").distinct().count()
     if repeats:
         out.warnings.append(f"{repeats} repeated interactions")
     out.stats["sequences"] = phage_ids.count()
     return out
 
 
+def discover_sources(spark: SparkSession, roots: list[str], excluded: list[str] = ()) -> list[str]:
+    """Folders right below the roots, sorted within each root; each place once, roots that are absent skipped."""
+    out: dict[str, None] = {}
+    away = {files.qualified(spark, p) for p in excluded}
+    for root in roots:
+        for x in files.listed(spark, root):
+            if x.is_folder and x.path not in away:
+                out.setdefault(x.path)
+    return list(out)
+
+
+def read_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """(metadata with numbered rows, sequence ids, host records (Host_ID, id), whether there is a folder of hosts).
+
+    The metadata file is read in one piece, for its fields may hold line
+    breaks; so its rows come in order. Of several files of a host the first
+    suffix counts.
+    """
+    metadata = readers.delimited(spark, f"{folder}/{METADATA}", keep_empty=True).withColumn(ROW, F.monotonically_increasing_id())
+    ids = readers.fasta(spark, f"{folder}/{SEQUENCES}").select("id")
+    found = files.listed(spark, f"{folder}/{HOSTS}")
+    chosen: dict[str, str] = {}
+    for suffix in HOST_SUFFIXES:
+        for x in found:
+            if x.name.endswith(suffix):
+                chosen.setdefault(x.name.removesuffix(suffix), x.path)
+    if chosen:
+        stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.(fna|fasta|fa)$", "")
+        hosts = readers.fasta(spark, list(chosen.values())).select(F.url_decode(stem).alias("Host_ID"), "id")
+    else:
+        hosts = spark.createDataFrame([], "Host_ID string, id string")
+    return metadata, ids, hosts, any(x.name == HOSTS and x.is_folder for x in files.listed(spark, folder))
+
+
+def validate_source(spark: SparkSession, folder: str) -> Validation:
+    """``validate`` of a folder; missing files and a metadata file without a header stop it."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+    have = {x.name for x in files.listed(spark, folder)}
+    missing = [f for f in (METADATA, SEQUENCES) if f not in have]
+    if missing:
+        return Validation(name, [f"missing files: {', '.join(missing)}"])
+    if not readers.header(spark, f"{folder}/{METADATA}"):
+        return Validation(name, [f"{METADATA} has no header"])
+    return validate(name, *read_source(spark, folder))
+
+
+def validate_roots(spark: SparkSession, roots: list[str], excluded: list[str] = ()) -> dict[str, Validation]:
+    """Folder -> validation of every source below the roots; a name that several folders have is an error of each."""
+    out = {folder: validate_source(spark, folder) for folder in discover_sources(spark, roots, excluded)}
+    names = [v.source for v in out.values()]
+    for v in out.values():
+        if names.count(v.source) > 1:
+            v.errors.append(f"several sources are named {v.source}")
+    return out
+
+
+def source_fingerprint(spark: SparkSession, folder: str) -> str:
+    """SHA-256 over the names and SHA-256 digests of metadata, sequences and host files, by name. The files are read and digested by tasks."""
+    paths = [x.path for x in files.listed(spark, folder) if x.name in (METADATA, SEQUENCES) and not x.is_folder]
+    paths += [x.path for x in files.listed(spark, f"{folder}/{HOSTS}") if not x.is_folder]
+    return files.joint_digest(spark, paths)
+
+
+def build_manifest(spark: SparkSession, roots: list[str], excluded: list[str] = ()) -> dict:
+    """What validation found of every source, with its fingerprint."""
+    found = validate_roots(spark, roots, excluded)
+    sources = [
+        {"source_db": v.source, "source_dir": folder, "is_valid": v.valid, "errors": v.errors, "warnings": v.warnings, "stats": v.stats, "fingerprint": source_fingerprint(spark, folder)}
+        for folder, v in found.items()
+    ]
+    n = sum(v.valid for v in found.values())
+    return {"roots": list(roots), "sources_found": len(found), "sources_valid": n, "sources_invalid": len(found) - n, "sources": sources}
+
+
 def ingest(star: dict[str, DataFrame], metadata: DataFrame) -> dict[str, DataFrame]:
     """The star with exactly the private rows that ``metadata`` describes: gone sources vanish, and nothing doubles.
 
-    A pure function: run it again and the result is the same.
+    A pure function: run it again and the result is the same. Of rows with equal
+    keys the first counts, whole: by the row number if ``metadata`` has one,
+    else by all columns.
     """
-    rows = metadata.select(*[F.col(c) for c in metadata.columns]).withColumn("interaction", F.lower("interaction"))
+    extras = [c for c in metadata.columns if c not in (*MANDATORY, ROW)]
+    rows = metadata.withColumn("interaction", F.lower("interaction"))
+    order = F.struct(*[ROW] * (ROW in metadata.columns), *[F.col(f"`{c}`") for c in (*MANDATORY, *extras)])
+
+    def first(table: DataFrame, keys: list[str]) -> DataFrame:
+        rest = [c for c in (*MANDATORY, *extras) if c not in keys]
+        best = table.groupBy(*keys).agg(F.min(order.alias("o")).alias("_f"))
+        return best.select(*keys, *[F.col(f"_f.`{c}`").alias(c) for c in rest])
+
     out = dict(star)
     public = lambda t: star[t].filter(F.coalesce("source_type", F.lit("")) != "private")
-    private_fact = rows.select("Phage_ID", "Source_DB", F.col("interaction").alias("Lifestyle"), F.col("Host_name").alias("Host")).withColumn("source_type", F.lit("private"))
-    firsts = private_fact.groupBy("Phage_ID", "Source_DB").agg(F.min("Lifestyle").alias("Lifestyle"), F.min("Host").alias("Host"), F.lit("private").alias("source_type"))
-    out["fact_phages"] = public("fact_phages").unionByName(firsts, allowMissingColumns=True)
+    private = F.lit("private").alias("source_type")
+    fact = first(rows, ["Phage_ID", "Source_DB"]).select("Phage_ID", "Source_DB", F.col("interaction").alias("Lifestyle"), F.col("Host_name").alias("Host"), private)
+    out["fact_phages"] = public("fact_phages").unionByName(fact, allowMissingColumns=True)
     known = rows.filter(F.lower("Host_ID") != UNKNOWN_HOST)
-    hosts = known.groupBy("Host_ID").agg(F.min("Host_name").alias("Species_Name"), F.min("Source_DB").alias("Source"), F.lit("private").alias("source_type"))
+    hosts = first(known, ["Host_ID"]).select("Host_ID", F.col("Host_name").alias("Species_Name"), F.col("Source_DB").alias("Source"), private)
     if "dim_hosts" in star:
         out["dim_hosts"] = public("dim_hosts").unionByName(hosts.join(public("dim_hosts").select("Host_ID"), "Host_ID", "left_anti"), allowMissingColumns=True)
-    out["private_interactions"] = rows.groupBy("Phage_ID", "Host_ID", "Source_DB").agg(F.min("Host_name").alias("Host_name"), F.min("interaction").alias("interaction"), F.lit("private").alias("source_type"))
-    out["private_phage_host_associations"] = known.select("Phage_ID", "Host_ID", "Source_DB", F.lit("private").alias("source_type")).distinct()
-    extras = [c for c in metadata.columns if c not in MANDATORY]
-    if extras:
-        out["private_entity_attributes"] = entity_attributes(rows, extras)
+    whole = first(rows, ["Phage_ID", "Host_ID", "Source_DB"])
+    out["private_interactions"] = whole.select("Phage_ID", "Host_ID", "Host_name", "interaction", "Source_DB", private)
+    out["private_phage_host_associations"] = known.select("Phage_ID", "Host_ID", "Source_DB", private).distinct()
+    out["private_entity_attributes"] = entity_attributes(whole, extras)
     return out

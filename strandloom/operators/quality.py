@@ -30,6 +30,55 @@ def null_profile(table: DataFrame) -> DataFrame:
     return one.select(F.inline(F.array(*each)))
 
 
+def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, data_type, n_rows, n_nulls) of every column of some tables, one pass over each."""
+    def one(name: str, table: DataFrame) -> DataFrame:
+        types = F.create_map(*[F.lit(x) for pair in table.dtypes for x in pair])
+        return null_profile(table).select(F.lit(name).alias("table_name"), "column_name", types[F.col("column_name")].alias("data_type"), "n_rows", "n_nulls")
+
+    return reduce(DataFrame.unionAll, [one(n, t) for n, t in tables.items()])
+
+
+def failed(rows: DataFrame, column: str = "status", good: tuple[str, ...] = ("success",)) -> DataFrame:
+    """Rows whose status is not a good one; null and blank count as ``unknown``."""
+    return rows.filter(~F.coalesce(F.nullif(F.trim(column), F.lit("")), F.lit("unknown")).isin(*good))
+
+
+def type_breakdown(fact: DataFrame) -> DataFrame:
+    """(source_type, Source_DB, n) of the phages, most of each type first."""
+    return fact.groupBy("source_type", "Source_DB").agg(F.count("*").alias("n")).orderBy("source_type", F.desc("n"), "Source_DB")
+
+
+def link_stats(links: DataFrame) -> DataFrame:
+    """(total_links, unique_phages, unique_host_assemblies)."""
+    return links.agg(F.count("*").alias("total_links"), F.countDistinct("Phage_ID").alias("unique_phages"), F.countDistinct("Assembly_Accession").alias("unique_host_assemblies"))
+
+
+def protein_stats(proteins: DataFrame) -> DataFrame:
+    """Per source, of proteins with a known weight: how many, phages, proteins a phage, and mean weight and isoelectric point."""
+    known = proteins.filter("Molecular_weight IS NOT NULL").groupBy("Source_DB")
+    out = known.agg(F.count("*").alias("protein_count"), F.countDistinct("Phage_ID").alias("phage_count"), F.avg("Molecular_weight").alias("avg_mw"), F.avg("Isoelectric_point").alias("avg_pi"))
+    return out.withColumn("proteins_per_phage", F.col("protein_count") / F.col("phage_count")).orderBy(F.desc("protein_count"), "Source_DB")
+
+
+def typed_stats(table: DataFrame, kind: str, mean: str, top: int | None = None) -> DataFrame:
+    """Per value of ``kind`` (null left out): rows, phages and the mean of a column, most first; for tRNA types, helices and the like."""
+    rows = table.filter(F.col(kind).isNotNull()).groupBy(kind).agg(F.count("*").alias("n"), F.countDistinct("Phage_ID").alias("unique_phages"), F.avg(mean).alias(f"avg_{mean}")).orderBy(F.desc("n"), kind)
+    return rows.limit(top) if top else rows
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles of the numeric columns, a row per column."""
+    numeric = [n for n, t in rows.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")]
+
+    def one(i: int, name: str):
+        c = F.col(f"`{name}`").cast("double")
+        at = [F.percentile(c, q).alias(f"p{round(100 * q)}") for q in (0.25, 0.5, 0.75)]
+        return F.struct(F.lit(name).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("stddev"), F.min(c).alias("min"), *at, F.max(c).alias("max")).alias(f"_{i}")
+
+    return rows.agg(*[one(i, n) for i, n in enumerate(numeric)]).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(numeric))])))
+
+
 def duplicate_keys(table: DataFrame, keys: list[str], skip_null: bool = True) -> DataFrame:
     """(n_duplicate_keys, n_extra_rows): how many keys occur more than once, and how many rows that is too many."""
     rows = table.dropna(subset=keys) if skip_null else table

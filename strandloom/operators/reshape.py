@@ -72,6 +72,26 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def insert_positional(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """``table`` with ``rows`` added by position, whatever their columns are called; the numbers of columns must agree."""
+    if len(table.columns) != len(rows.columns):
+        raise ValueError(f"{len(rows.columns)} columns for a table of {len(table.columns)}")
+    return table.unionAll(rows)
+
+
+def flatten(rows: DataFrame, column: str) -> DataFrame:
+    """The fields of a struct column, or of each struct in an array column, as columns of their own."""
+    kind = rows.schema[column].dataType.typeName()
+    opened = rows.select(F.explode(column).alias(column)) if kind == "array" else rows
+    return opened.select(f"{column}.*")
+
+
+def register(frames: dict[str, DataFrame]) -> None:
+    """Frames as relations that SQL can name."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
 def melt(rows: DataFrame, ids: list[str], values: list[str] | None = None, key: str = "attribute_key", value: str = "attribute_value") -> DataFrame:
     """Wide to long; empty and null values are dropped."""
     values = [c for c in rows.columns if c not in ids] if values is None else values
@@ -87,7 +107,7 @@ def pivot(rows: DataFrame, id_col: str, key: str, value: str, keys: list[str]) -
 def entity_attributes(interactions: DataFrame, extras: list[str]) -> DataFrame:
     """The private attribute table: one row per extra column of each interaction that has a value."""
     keyed = interactions.withColumn("entity_id", F.concat_ws("|", "Phage_ID", "Host_ID"))
-    long = melt(keyed, ["Source_DB", "entity_id"], extras)
+    long = melt(keyed, ["Source_DB", "entity_id"], extras) if extras else keyed.limit(0).select("Source_DB", "entity_id", F.lit("").alias("attribute_key"), F.lit("").alias("attribute_value"))
     return long.select("Source_DB", F.lit("private").alias("source_type"), F.lit("interaction").alias("entity_type"), "entity_id", "attribute_key", "attribute_value", F.lit("string").alias("value_type"))
 
 

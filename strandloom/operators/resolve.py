@@ -115,4 +115,24 @@ def host_records(assemblies: DataFrame, download_date: str) -> DataFrame:
     return assemblies.select(
         host_id(F.col("assembly_accession")).alias("Host_ID"), text("organism_name").alias("Species_Name"), text("strain").alias("Strain_Name"), text("assembly_accession").alias("Assembly_Accession"),
         text("assembly_name").alias("Assembly_Name"), text("assembly_level").alias("Assembly_Level"), text("refseq_category").alias("RefSeq_Category"), F.lit(download_date).alias("Download_Date"),
+        *[text(c).alias(c) for c in ("Genome_Length", "GC_Content") if c in assemblies.columns],
     )
+
+
+def downloads(files: DataFrame) -> DataFrame:
+    """(Host_ID, Assembly_Accession, path, status) of genome files (path, size): the accession is in the file's name; empty files failed."""
+    name = F.element_at(F.split("path", "/"), -1)
+    accession = F.nullif(F.regexp_extract(name, r"(GC[AF]_\d+\.\d+)", 1), F.lit(""))
+    status = F.when(F.col("size") > 0, "success").otherwise("failed")
+    return files.select(F.coalesce(host_id(accession), F.regexp_replace(name, r"\.[^.]*$", "")).alias("Host_ID"), accession.alias("Assembly_Accession"), "path", status.alias("status"))
+
+
+def to_download(wanted: DataFrame, done: DataFrame, key: str = "Assembly_Accession") -> DataFrame:
+    """The wanted rows without a successful download: a run that stopped goes on where it was."""
+    return wanted.join(done.filter("status = 'success'").select(key).distinct(), key, "left_anti")
+
+
+def cached_genomes(cache: DataFrame, species: str | None = None) -> DataFrame:
+    """Successful rows of the genome cache, of one species if asked for."""
+    rows = cache.filter("status = 'success'")
+    return rows if species is None else rows.filter(F.col("Species_Name") == species)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import gc_percent
+from ..functions.scalars import gc_percent, letters
 
 MODES = ("first", "concat", "list", "dict")
 ORDERS = ("length_desc", "file")
@@ -70,10 +70,11 @@ def host_sequences(contigs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def by_query(rows: DataFrame, sequences: DataFrame, key: str) -> DataFrame:
-    """The result of a user's query with the sequences of its ids; the query must return ``key``."""
+    """The result of a user's query with the sequences of its ids, in the query's order; the query must return ``key``."""
     if key not in rows.columns:
         raise ValueError(f"the query must return {key}")
-    return rows.join(sequences.select(F.col("id").alias(key), F.col("sequence").alias("Sequence")), key, "left")
+    joined = rows.withColumn("_at", F.monotonically_increasing_id()).join(sequences.select(F.col("id").alias(key), F.col("sequence").alias("Sequence")), key, "left")
+    return joined.orderBy("_at").select(*rows.columns, "Sequence")
 
 
 def by_ids(sequences: DataFrame, ids: list[str]) -> DataFrame:
@@ -82,6 +83,25 @@ def by_ids(sequences: DataFrame, ids: list[str]) -> DataFrame:
     return wanted.join(sequences, "id").orderBy("_at").drop("_at")
 
 
+def proteins_of_phage(proteins: DataFrame, sequences: DataFrame, phage_id: str) -> DataFrame:
+    """(id, sequence) of the proteins of one phage that have a sequence."""
+    wanted = proteins.filter(F.col("Phage_ID") == phage_id).select(F.col("Protein_ID").alias("id")).distinct()
+    return sequences.join(wanted, "id", "left_semi").select("id", "sequence")
+
+
+def named_by_folder(records: DataFrame) -> DataFrame:
+    """FASTA records of many folders as one table: the folder's name before each header; files ending in .fa come first, each kind by path."""
+    folder = F.element_at(F.split("file", "/"), -2)
+    rows = records.withColumn("kind", F.when(F.col("file").endswith(".fa"), 0).otherwise(1))
+    return rows.select("kind", "file", "pos", F.concat_ws(" ", folder, "header").alias("header"), "sequence")
+
+
+def weighted_gc(records: DataFrame, key: str = "genome_id") -> DataFrame:
+    """(key, GC_Content): the mean of the records' GC shares, weighted by length, in percent; 0 for empty genomes."""
+    gc, n = F.sum(letters(F.col("sequence"), "GCgc")), F.sum(F.length("sequence"))
+    return records.groupBy(key).agg(F.when(n > 0, F.round(gc * 100.0 / n, 2)).otherwise(0.0).alias("GC_Content"))
+
+
 def routed(public: DataFrame, private: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, source_db, sequence): for each wanted (id, source_db, source_type) its sequence by tiers.
 
@@ -138,7 +158,9 @@ def duplicate_report(records: DataFrame, key: str = "header", value: str = "sequ
 
 
 def audit_headers(records: DataFrame) -> DataFrame:
-    """First words of headers that occur more than once."""
+    """First words of headers that occur more than once; no records at all are an error."""
+    if records.limit(1).count() == 0:
+        raise ValueError("there are no records")
     return records.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
 
 
@@ -191,11 +213,19 @@ def index_status(files: DataFrame, qc: DataFrame, indexed: DataFrame) -> DataFra
 
 
 def host_mapping(public: DataFrame, private: DataFrame) -> DataFrame:
-    """(Host_ID, path): where each host's sequence is; public places win."""
-    rows = public.select("Host_ID", "path", F.lit(0).alias("_t")).unionByName(private.select("Host_ID", "path", F.lit(1).alias("_t")))
+    """(Host_ID, path): where each host's sequence is; public places win, blank paths do not count, and no host at all is an error."""
+    rows = public.select("Host_ID", "path", F.lit(0).alias("_t")).unionByName(private.select("Host_ID", "path", F.lit(1).alias("_t"))).filter("trim(coalesce(path, '')) != ''")
+    if rows.limit(1).count() == 0:
+        raise ValueError("no host has a sequence")
     return rows.groupBy("Host_ID").agg(F.min_by("path", F.struct("_t", "path")).alias("path"))
 
 
+def artifact_counts(states: DataFrame) -> DataFrame:
+    """(hosts, single, identical, conflicting, files) over the second table of ``private_artifacts``."""
+    count = lambda s: F.count(F.when(F.col("state") == s, 1)).alias(s)
+    return states.agg(F.count("*").alias("hosts"), count("single"), count("identical"), count("conflicting"), F.coalesce(F.sum("n_files"), F.lit(0)).alias("files"))
+
+
 def private_artifacts(records: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records of wanted hosts, one row per host: copies, and whether they are identical)."""
     chosen = records.join(wanted.select("Host_ID").distinct(), "Host_ID", "left_semi")

@@ -71,6 +71,7 @@ TABLES: dict[str, str] = {
         "retrieved_at string, file_size string, sha256 string, etag string, last_modified string, "
         "detected_tabular_columns string, schema_fingerprint string, status string, error_message string"
     ),
+    # "pbi_version" is a column name of existing tables, so it is fixed.
     "pipeline_run_provenance": (
         "pipeline_run_timestamp string, provider_name string, provider_release string, provider_snapshot_date string, "
         "provider_schema_profile string, provider_api_base_url string, provider_provenance_mode string, pbi_version string, "

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import first_token, number, source_from_path, strip
 from ..operators.reshape import normalize
 from ..schemas import CONTRACTS, RENAMED, TABLES, schema
+from .files import is_empty_or_invalid
 
 
 def header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
@@ -33,8 +34,27 @@ def delimited(spark: SparkSession, paths: str | list[str], sep: str = ",", keep_
     return rows.na.fill("") if keep_empty else rows
 
 
-def feature_files(spark: SparkSession, paths: list[str], feature: str, sep: str = "\t") -> DataFrame:
-    """The feature files of many sources as one frame: empty files are skipped, a missing Source_DB comes from the file name, columns follow the contract."""
+# The lineage columns of a merged feature file.
+LINEAGE = ("Provider_Name", "Provider_Release", "Provider_Snapshot_Date", "Provider_Schema_Profile", "Input_Source_Key", "Input_File", "Input_Retrieved_At")
+
+
+def retrieved_at(spark: SparkSession, path: str) -> str:
+    """``retrieved_at`` of the file's provenance sidecar (``<stem>.provenance.json``); empty without one."""
+    folder, _, name = path.rpartition("/")
+    sidecar = f"{folder}/{name.rsplit('.', 1)[0]}.provenance.json"
+    if is_empty_or_invalid(spark, sidecar):
+        return ""
+    found = spark.read.text(sidecar, wholetext=True).select(F.get_json_object("value", "$.retrieved_at")).first()
+    return (found[0] or "").strip() if found else ""
+
+
+def feature_files(spark: SparkSession, paths: list[str], feature: str, sep: str = "\t", provider: dict[str, str] | None = None) -> DataFrame:
+    """The feature files of many sources as one frame: empty files are skipped, a missing Source_DB comes from the file name, columns follow the contract.
+
+    With ``provider`` (its first four LINEAGE columns, empty where absent) the
+    rows get all LINEAGE columns: the key and name of their file, and when it
+    was retrieved.
+    """
     parts = []
     for path in paths:
         names = header(spark, path, sep)
@@ -43,6 +63,10 @@ def feature_files(spark: SparkSession, paths: list[str], feature: str, sep: str
         rows = delimited(spark, path, sep, columns=names)
         if not {"Source_DB", *[a for a, r in CONTRACTS[feature].aliases.items() if r == "Source_DB"]} & set(names):
             rows = rows.withColumn("Source_DB", source_from_path(F.lit(path)))
+        if provider is not None:
+            name = path.rsplit("/", 1)[-1]
+            own = {**{c: provider.get(c, "") for c in LINEAGE[:4]}, "Input_Source_Key": name.rsplit(".", 1)[0], "Input_File": name, "Input_Retrieved_At": retrieved_at(spark, path)}
+            rows = rows.withColumns({c: F.lit(v) for c, v in own.items()})
         parts.append(normalize(rows, CONTRACTS[feature]))
     if not parts:
         raise ValueError("no file has any rows")
@@ -83,6 +107,12 @@ def fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.filter("header != ''").select("file", "pos", first_token(F.col("header")).alias("id"), "header", "sequence")
 
 
+def fasta_headers(records: DataFrame, sample: int | None = None) -> DataFrame:
+    """(id, header, description): the description is what follows the first word; with ``sample`` the first few by place."""
+    rows = records.orderBy("file", "pos").limit(sample) if sample is not None else records
+    return rows.select("id", "header", F.coalesce(F.get(F.split("header", r"\s+", 2), F.lit(1)), F.lit("")).alias("description"))
+
+
 def sequence_table(records: DataFrame, key: str = "id") -> DataFrame:
     """(id, sequence): of records with equal ids the first in the first file."""
     return records.groupBy(F.col(key).alias("id")).agg(F.min_by("sequence", F.struct("file", "pos")).alias("sequence"))
@@ -119,8 +149,35 @@ def gff3_features(blocks: DataFrame) -> DataFrame:
     )
 
 
+def gff3_get(blocks: DataFrame, phage_id: str) -> str:
+    """The annotation text of a phage; empty if there is none."""
+    found = blocks.filter(F.col("phage_id") == phage_id).select("block_text").first()
+    return found[0] if found else ""
+
+
+def gff3_lines(blocks: DataFrame, phage_id: str) -> list[str]:
+    """The lines of a phage's annotation that are neither blank nor comments."""
+    return [x for x in gff3_get(blocks, phage_id).splitlines() if x.strip() and not x.startswith("#")]
+
+
+def gff3_list(blocks: DataFrame, source: str | None = None) -> DataFrame:
+    """(phage_id) of the annotated phages, of one source if asked for."""
+    rows = blocks if source is None else blocks.filter(F.col("source_db") == source)
+    return rows.select("phage_id").orderBy("phage_id")
+
+
+def gff3_source(blocks: DataFrame, phage_id: str) -> str | None:
+    found = blocks.filter(F.col("phage_id") == phage_id).select("source_db").first()
+    return found[0] if found else None
+
+
+def gff3_has(blocks: DataFrame, phage_id: str) -> bool:
+    return blocks.filter(F.col("phage_id") == phage_id).limit(1).count() > 0
+
+
 def gff3_stats(blocks: DataFrame) -> DataFrame:
-    return blocks.groupBy("source_db").agg(F.count("*").alias("n_phages")).orderBy(F.desc("n_phages"), "source_db")
+    """(source_db, n_phages), most first; the row without a source is the total."""
+    return blocks.rollup("source_db").agg(F.count("*").alias("n_phages")).orderBy(F.desc("n_phages"), F.asc_nulls_first("source_db"))
 
 
 def json_map(spark: SparkSession, path: str) -> DataFrame:

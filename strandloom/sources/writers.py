@@ -14,7 +14,9 @@ def fasta_text(header: Column, sequence: Column, width: int = 80) -> Column:
 
 
 def write_fasta(records: DataFrame, path: str, width: int = 80) -> None:
-    records.select(fasta_text(F.col("id"), F.col("sequence"), width).alias("value")).write.mode("overwrite").text(path)
+    """FASTA files of (id, sequence), with the whole header if there is one; null and empty sequences are left out."""
+    head = F.col("header" if "header" in records.columns else "id")
+    records.filter("sequence != ''").select(fasta_text(head, F.col("sequence"), width).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_table(rows: DataFrame, path: str, cluster_by: str | None = None, partition_by: list[str] | None = None) -> None:
@@ -25,7 +27,15 @@ def write_table(rows: DataFrame, path: str, cluster_by: str | None = None, parti
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
+def write_csv(rows: DataFrame, path: str, quote_all: bool = True) -> None:
+    """CSV files with a header each. Without ``quote_all`` numbers are not quoted, and the header stands once, in the first file: joined in order, the files are one CSV file."""
+    if not quote_all:
+        text = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), '"', '""'), F.lit('"'))
+        fields = [text(F.col(f"`{n}`")) if t == "string" else F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")) for n, t in rows.dtypes]
+        head = ",".join('"' + c.replace('"', '""') + '"' for c in rows.columns)
+        first = rows.sparkSession.createDataFrame([(head,)], "value string").coalesce(1)
+        first.unionAll(rows.select(F.concat_ws(",", *fields))).write.mode("overwrite").text(path)
+        return
     rows.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
