@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import gc_percent, size_category
+from ..session import pin
 
 
 def pair_features(pairs: DataFrame) -> DataFrame:
@@ -47,7 +48,13 @@ def kmer_totals(rows: DataFrame, k: int, text_col: str, group: str) -> DataFrame
 
 
 def kmer_cosine(counts: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
-    """(a, b, cosine) of each listed pair of ids; 0 if they share no k-mer."""
+    """(a, b, cosine) of each listed pair of ids; 0 if they share no k-mer.
+
+    The counts of the listed ids alone are taken, once, and kept for the three
+    places that need them; the semi-join goes below the aggregate that makes them.
+    """
+    listed = pairs.select(F.col("a").alias(id_col)).union(pairs.select("b")).distinct()
+    counts = pin(counts.join(listed, id_col, "left_semi"))
     norms = counts.groupBy(F.col(id_col).alias("id")).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
     left = counts.select(F.col(id_col).alias("a"), "kmer", F.col("n").alias("na"))
     right = counts.select(F.col(id_col).alias("b"), "kmer", F.col("n").alias("nb"))
