@@ -2,38 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A table is broadcast only after it was counted and found to have no more rows than this.
-BROADCAST_ROWS = 100_000
-#: What the rule "word" means everywhere here: a maximal run without ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
+from ..session import ensure_checkpoint_dir, pin
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in ``spark.checkpoint.dir``; make one only where it is unset."""
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="strandloom-checkpoint-"))
+__all__ = ["WORD", "aside", "ensure_checkpoint_dir", "pin", "running_totals", "small"]
 
-
-def pin(df: DataFrame) -> DataFrame:
-    """Cut the lineage: the rows are written to the shared checkpoint folder once and read from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+#: A table is broadcast only after it was counted and found to have no more rows, and in its texts, bytes and arrays no more items, than this.
+BROADCAST_ROWS, BROADCAST_ITEMS = 100_000, 4 << 20
+#: What the rule "word" means everywhere here: a maximal run without ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, unchanged otherwise.
+    """``df`` with a broadcast hint if it has at most ``rows`` rows and BROADCAST_ITEMS items, unchanged otherwise.
 
     The caller pins ``df`` first if it is costly. Beyond the bound the join is
     a shuffle join, whose skewed partitions adaptive execution splits.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    wide = [F.length(c) if t in ("string", "binary") else F.size(c) for c, t in df.dtypes if t in ("string", "binary") or t.startswith("array")]
+    items = sum((F.coalesce(F.sum(x), F.lit(0)) for x in wide), F.lit(0))
+    n, size = df.limit(rows + 1).agg(F.count("*"), items).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_ITEMS else df
 
 
 def running_totals(df: DataFrame, keys: list[str], order: str, values: dict[str, str], width: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import aside, pin, small
-from .setjoin import BLOCK, blocked_links, by_bytes, class_sets, components, distinct_sets, document_words, list_edges, prefix_lists, sampled_tokens, shingle_hashes
+from .setjoin import BLOCK, blocked_links, by_bytes, candidates, components, distinct_sets, document_words, sampled_tokens, shingle_hashes
 
 
 def sets_of(k: int):
@@ -47,10 +47,10 @@ def similar_documents(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10,
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = pin(document_classes(named, k))
     counted = rows.filter("class is not null").select("class", F.col("n_shingles").alias("n"), "sample")
-    near = pin(components(list_edges(pin(prefix_lists(counted, named.select("text"), sets_of(k), num, den)), num, den)))
+    edges, sets = candidates(counted, named.select("text"), sets_of(k), num, den)
+    near = pin(components(edges))
     classes = pin(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     members = near.select("component", F.col("node").alias("class")).withColumn("rank", F.lit(0).cast("long"))
-    sets = class_sets(named.select("text"), sets_of(k), members)
     linked = components(blocked_links(members, sets, num, den, earlier=False, block=block))
     groups = classes.join(linked, classes["class"] == linked["node"], "left")
     smallest = groups.filter("component is not null").groupBy("component").agg(F.min("first").alias("_smallest"))

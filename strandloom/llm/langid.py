@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from .common import aside
 from .setjoin import slices
 
-#: The bounded sample: documents of each language, and characters of each of them.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 400, 600
+#: The bounded sample: documents of each language, characters of each of them, and documents in all. With many languages each has fewer documents.
+SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, SAMPLE_IN_ALL = 400, 600, 40_000
 HIDDEN, PIECE, SIDE_BY_SIDE = 8, 128, 4096
 STEPS, BATCH, SPAN, RATE = 300, 128, 64, 0.02
+#: Spans that training sees of each language at least, however many languages there are.
+SPANS_EACH = 300
 UNDETERMINED = "und"
 
 
@@ -84,7 +86,8 @@ def _back(w, u, x, kept, from_above):
 
 def fit(texts: list[str], langs: list[str], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, span: int = SPAN, rate: float = RATE, seed: int = 3) -> Model:
     """Train on (text, lang) pairs with Adam; every byte has its document's language as label. Reruns agree."""
-    names = sorted(set(langs))
+    names = sorted({lang for t, lang in zip(texts, langs, strict=True) if t})
+    steps = max(steps, -(-SPANS_EACH * len(names) // batch))
     rng = np.random.default_rng(seed)
     by_lang = [[np.frombuffer(t.encode(), np.uint8) for t, l in zip(texts, langs, strict=True) if l == name and t] for name in names]
     f = lambda *shape: (rng.normal(size=shape) * 0.3).astype(np.float32)
@@ -94,7 +97,7 @@ def fit(texts: list[str], langs: list[str], hidden: int = HIDDEN, steps: int = S
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, steps + 1):
         # Languages take turns, so a frequent one does not drown the others.
-        label = np.arange(batch) % len(names)
+        label = (np.arange(batch) + (step - 1) * batch) % len(names)
         x = np.zeros((span, batch), np.uint8)
         for i, k in enumerate(label):
             source = by_lang[k][rng.integers(len(by_lang[k]))]
@@ -206,9 +209,14 @@ def label_text(model: Model, text: str) -> list[str]:
 PARTS = 16
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, characters: int) -> DataFrame:
-    """Up to ``documents`` of each language, by a hash of the id, and of each a span of ``characters`` from a hashed place."""
+def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, characters: int, in_all: int = SAMPLE_IN_ALL) -> DataFrame:
+    """Up to ``documents`` of each language, by a hash of the id, and of each a span of ``characters`` from a hashed place.
+
+    A column of very many different values gives fewer of each, one at least,
+    and ``in_all`` documents at most.
+    """
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    documents = max(1, min(documents, in_all // max(1, usable.select(lang_col).distinct().limit(in_all).count())))
     h = F.xxhash64(id_col, F.lit(11))
     span = F.expr(f"substr(`{text_col}`, cast(1 + pmod(xxhash64(`{id_col}`, 5), greatest(length(`{text_col}`) - {characters}, 1)) as int), {characters})")
     small = usable.select(F.col(lang_col).alias("lang"), span.alias("text"), h.alias("_h"))
@@ -216,7 +224,7 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     order = Window.orderBy("_h", "text")
     parts = small.withColumn("_part", F.pmod("_h", F.lit(PARTS)))
     few = parts.withColumn("_r", F.row_number().over(order.partitionBy("lang", "_part"))).filter(F.col("_r") <= documents).drop("_r")
-    return few.withColumn("_r", F.row_number().over(order.partitionBy("lang"))).filter(F.col("_r") <= documents).select("lang", "text")
+    return few.withColumn("_r", F.row_number().over(order.partitionBy("lang"))).filter(F.col("_r") <= documents).select("lang", "text").limit(in_all)
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS, **options) -> Model | None:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import aside, pin, small
-from .setjoin import blocked_links, by_bytes, class_filter, class_sets, components, distinct_sets, line_words, list_edges, passes, prefix_lists, sampled_tokens, shingle_hashes, slices
+from .setjoin import blocked_links, by_bytes, candidates, class_filter, components, distinct_sets, line_words, passes, sampled_tokens, shingle_hashes, slices
 
 #: Lines that one task joins with each other at a time; their sets are small.
 BLOCK = 8_192
@@ -53,13 +53,13 @@ def repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_c
     """(doc, key, line) of each line that repeats an earlier one. ``doc`` is the id (null: the largest long), ``key`` the text's hash."""
     named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     rows = pin(line_classes(named, k))
-    near = pin(components(list_edges(pin(prefix_lists(rows, named.select("text"), sets_of(k), num, den)), num, den)))
+    edges, sets = candidates(rows, named.select("text"), sets_of(k), num, den)
+    near = pin(components(edges))
     # Classes are ranked by where they first occur.
     place = F.array("doc", "key", F.col("line").cast("long"))
     classes = pin(rows.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
     members = near.join(classes, near["node"] == classes["class"]).select("component", "class", F.col("first").alias("rank"))
     members = pin(members)
-    sets = class_sets(named.select("text"), sets_of(k), members)
     links = blocked_links(members, sets, num, den, earlier=True, block=block)
     later = links.select(F.col("a").alias("class")).distinct().withColumn("_later", F.lit(True))
     decided = classes.join(later, "class", "left").filter("copies > 1 or _later").select("class", "first", F.coalesce("_later", F.lit(False)).alias("_later"))

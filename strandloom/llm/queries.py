@@ -30,7 +30,7 @@ def op4_jaccard(spark, sf_dir):
 
 def op5_secrets(spark, sf_dir):
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans_base").cast("binary"), 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans_base").cast("binary"), 256).alias("base_sha256"), "spans", "oversize_layers")
 
 
 def op6_fingerprint(spark, sf_dir):

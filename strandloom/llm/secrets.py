@@ -15,6 +15,7 @@ import base64
 import hashlib
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ LEAST_TEXT = 12
 UTF8_RUN = re.compile(rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){3,}+")
 #: Separators of a run after which it is tried as a whole; beyond them, and always besides, all four alignments are.
 STARTS = 64
-#: A compressed layer that inflates beyond this is not unpacked further; ``oversize_layers`` counts such layers.
-MAX_INFLATED = 64 << 20
+#: A compressed layer that inflates beyond this many bytes goes on in windows of that size, each of which repeats the end of the one before; ``oversize_layers`` counts such windows.
+MAX_INFLATED, OVERLAP = 64 << 20, 1 << 20
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -58,7 +59,7 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text and where in the original each of its characters begins and ends."""
+    """A text and where in the original each of its characters begins and ends: arrays, or two numbers if all characters come from one place."""
 
     __slots__ = ("above", "ends", "key", "starts", "text")
 
@@ -68,33 +69,35 @@ class Layer:
 
     def place(self) -> bytes:
         """The text and the origin of each of its characters."""
-        spans = np.array([self.starts, self.ends], dtype="i8")
+        spans = np.array([self.starts, self.ends], dtype="i8").reshape(2, -1)
         if len(self.text) and (spans == spans[:, :1]).all():
             spans = spans[:, :1]
         return hashlib.blake2b(self.key + spans.tobytes(), digest_size=16).digest()
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
-        return self.starts[start], self.ends[end - 1]
+        if isinstance(self.starts, int):
+            return self.starts, self.ends
+        return int(self.starts[start]), int(self.ends[end - 1])
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every match of ``pattern`` decoded: decode(match) gives (text, [(start, end) in the match per character])."""
-    parts, starts, ends, last = [], [], [], 0
+    parts, starts, ends, last, spread = [], [], [], 0, not isinstance(layer.starts, int)
     for m in pattern.finditer(layer.text):
         if (out := decode(m)) is None:
             continue
         parts += [layer.text[last : m.start()], out[0]]
-        starts += layer.starts[last : m.start()]
-        ends += layer.ends[last : m.start()]
-        for a, b in out[1]:
-            s, e = layer.origin(m.start() + a, m.start() + b)
-            starts.append(s)
-            ends.append(e)
+        if spread:
+            first, after = np.array(out[1], dtype=np.int64).reshape(-1, 2).T + m.start()
+            starts += [layer.starts[last : m.start()], layer.starts[first]]
+            ends += [layer.ends[last : m.start()], layer.ends[after - 1]]
         last = m.end()
     if not parts:
         return None
-    parts.append(layer.text[last:])
-    return Layer("".join(parts), starts + list(layer.starts[last:]), ends + list(layer.ends[last:]))
+    text = "".join([*parts, layer.text[last:]])
+    if not spread:
+        return Layer(text, layer.starts, layer.ends)
+    return Layer(text, np.concatenate([*starts, layer.starts[last:]]), np.concatenate([*ends, layer.ends[last:]]))
 
 
 def _url(m: re.Match):
@@ -122,21 +125,38 @@ def _unicode(m: re.Match):
     return chr(code), [(0, m.end() - m.start())]
 
 
-def _inflate(raw: bytes) -> bytes | None:
-    """All compressed members that ``raw`` begins with, unpacked, and what follows them if it is text; ``raw`` itself if it begins with none; None beyond MAX_INFLATED."""
-    out, rest = [], raw
-    while rest[:2] == b"\x1f\x8b" or (rest[:1] == b"\x78" and len(rest) > 2 and int.from_bytes(rest[:2], "big") % 31 == 0):
-        unpack = zlib.decompressobj(47)
+def _packed(raw) -> bool:
+    return raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0)
+
+
+def _inflate(raw):
+    """Windows of what ``raw`` unpacks to: all compressed members that it begins with, and what follows them if it is text.
+
+    One window up to MAX_INFLATED bytes, more beyond. None at all if ``raw``
+    begins with no member that gives anything.
+    """
+    held, rest = b"", raw
+    while _packed(rest):
+        unpack, more, got = zlib.decompressobj(47), rest, False
         try:
-            out.append(unpack.decompress(rest, max(1, MAX_INFLATED - sum(map(len, out)))))
+            while more:
+                part = unpack.decompress(more, MAX_INFLATED - len(held))
+                got, held, more = got or bool(part), held + part, unpack.unconsumed_tail
+                if len(held) >= MAX_INFLATED:
+                    yield held
+                    held = held[-OVERLAP:]
+                elif not part:
+                    break
         except zlib.error:
+            pass
+        if not unpack.eof:
+            rest = b""
             break
-        if unpack.unconsumed_tail:
-            return None
         rest = unpack.unused_data
-    if not out:
-        return raw
-    return b"".join([*out, rest if _utf8(rest) is not None else b""])
+    if len(rest) < len(raw) and _utf8(bytes(rest)) is not None:
+        held += rest
+    if held:
+        yield held
 
 
 def _texts(raw: bytes):
@@ -151,40 +171,45 @@ def _decoded(run: str) -> bytes:
 
 
 def _base64(run: str, breaks: list[int]):
-    """(text or None, start, end in ``run``) of what a run without padding holds; ``breaks`` are the places where its lines begin."""
+    """(text, start, end in ``run``, whether a further window) of what a run without padding holds; ``breaks`` are the places where its lines begin."""
     run = run.translate(_URL_SAFE)
     starts = [0, *dict.fromkeys([*breaks[:STARTS], *(m.end() for _, m in zip(range(STARTS), SEPARATOR.finditer(run), strict=False))])]
     whole = {}
     for start in starts:
         if start % 4 in whole or len(run) - start < 16:
             continue
-        raw = _inflate(packed := _decoded(run[start:])) if (len(run) - start) % 4 != 1 else b""
-        if raw is None or (raw and (start == 0 or raw is not packed or len(raw) >= LEAST_TEXT) and _utf8(raw) is not None):
+        packed = _decoded(run[start:]) if (len(run) - start) % 4 != 1 else b""
+        windows = _inflate(packed)
+        first = next(windows, None)
+        if first is not None and (second := next(windows, None)) is not None:
+            whole[start % 4] = start
+            for i, window in enumerate(chain((first, second), windows)):
+                for text, _, _ in _texts(window):
+                    yield text, start, len(run), i > 0
+            continue
+        raw = packed if first is None else first
+        if raw and (start == 0 or first is not None or len(raw) >= LEAST_TEXT) and (text := _utf8(raw)) is not None:
             whole[start % 4] = start
-            yield raw if raw is None else _utf8(raw), start, len(run)
+            yield text, start, len(run), False
     for shift in range(4):  # text or compressed bytes between other characters: all of them are decoded with it
         part = run[shift : whole.get(shift, len(run))]
         if len(part) < 16:
             continue
         raw = _decoded(part)
         for text, a, b in _texts(raw):
-            yield text, shift + a // 3 * 4, min(shift + -(-b // 3) * 4, shift + len(part))
+            yield text, shift + a // 3 * 4, min(shift + -(-b // 3) * 4, shift + len(part)), False
         for m in COMPRESSED.finditer(raw):
-            packed = memoryview(raw)[m.start() :]
-            out = _inflate(packed)
-            if out is None:
-                yield None, 0, len(run)
-            elif out is not packed:
-                for text, _, _ in _texts(out):
-                    yield text, shift + m.start() // 3 * 4, shift + len(part)
+            for i, window in enumerate(_inflate(memoryview(raw)[m.start() :])):
+                for text, _, _ in _texts(window):
+                    yield text, shift + m.start() // 3 * 4, shift + len(part), i > 0
 
 
 def unwrap(layer: Layer):
-    """Yields (layer or None) for each way of decoding that applies; None is a layer that was too large."""
+    """Yields (layer, whether a further window) for each way of decoding that applies."""
     if "%" in layer.text and (out := _replaced(layer, URL_ESCAPE, _url)):
-        yield out
+        yield out, False
     if ("\\" in layer.text or "&#" in layer.text) and (out := _replaced(layer, UNICODE_ESCAPE, _unicode)):
-        yield out
+        yield out, False
     for pattern in (BASE64_RUN, WRAPPED_RUN):
         for m in pattern.finditer(layer.text):
             lines = "\n" in m[0]
@@ -192,35 +217,31 @@ def unwrap(layer: Layer):
                 continue
             at = [x.start() for x in KEPT.finditer(m[0])] if lines else range(len(m[0].rstrip("=")))
             breaks = [i for i in range(1, len(at)) if at[i] > at[i - 1] + 1] if lines else []
-            for text, a, b in _base64("".join(m[0][i] for i in at) if lines else m[0].rstrip("="), breaks):
-                if text is None:
-                    yield None
-                    continue
+            for text, a, b, further in _base64("".join(m[0][i] for i in at) if lines else m[0].rstrip("="), breaks):
                 start, end = layer.origin(m.start() + at[a], m.end() if b == len(at) else m.start() + at[b - 1] + 1)
-                yield Layer(text, [start] * len(text), [end] * len(text))
+                yield Layer(text, start, end), further
 
 
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
 def find_secrets(text: str) -> tuple[list, list, int, int]:
-    """(base findings, all findings, layers, oversize layers); spans are code points of ``text``, end exclusive."""
+    """(base findings, all findings, layers, further windows of oversize layers); spans are code points of ``text``, end exclusive."""
     base = scan(text)
     spans, seen, texts, oversize = set(base), set(), 1, 0
     # Most texts have nothing to unwrap; only the others pay for the per-character origins.
     if "%" in text or "\\" in text or "&#" in text or BASE64_RUN.search(text):
-        whole = Layer(text, range(len(text)), range(1, len(text) + 1))
+        whole = Layer(text, np.arange(len(text)), np.arange(1, len(text) + 1))
         work, distinct = [whole], {whole.key}
         while work:
             upper = work.pop()
-            chain = upper.above | {upper.key}
-            for layer in unwrap(upper):
-                if layer is None:
-                    oversize += 1
-                elif layer.key not in chain and (place := layer.place()) not in seen:
+            above = upper.above | {upper.key}
+            for layer, further in unwrap(upper):
+                oversize += further
+                if layer.key not in above and (place := layer.place()) not in seen:
                     seen.add(place)
                     distinct.add(layer.key)
-                    layer.above = chain
+                    layer.above = above
                     spans.update((kind, *layer.origin(a, b)) for kind, a, b in scan(layer.text))
                     work.append(layer)
         texts = len(distinct)
@@ -263,7 +284,12 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[{}]") -> DataFrame:
-    """``docs`` with every finding in ``text_col`` replaced by its kind in brackets; overlapping findings become one."""
+    """``docs`` with every finding in ``text_col`` replaced by its kind in brackets; overlapping findings become one, named after the first.
+
+    Null texts stay null, texts without findings as they are; repeated rows
+    give repeated rows; other columns are untouched, whatever their names, and
+    an empty table stays empty.
+    """
 
     def clean(batches):
         for batch in batches:

@@ -3,10 +3,11 @@
 Steps, the same for documents and lines:
 
 1. Equal sets become one class.
-2. Every token is counted over all classes of the corpus, and the tokens of a
-   set stand in order of rarity. Two sets of similarity t share one of the
-   first n - ceil(t n) + 1 of them. Tokens that only one class holds take their
-   places at the front, but stand in no list.
+2. Sets that cannot be similar to any other are left out (possible_classes).
+   The tokens of the others are counted over the corpus and stand in order of
+   rarity. Two sets of similarity t share one of the first n - ceil(t n) + 1 of
+   them. Tokens that only one class holds take their places at the front, but
+   stand in no list.
 3. A list of a token holds the sets with it in their prefix. Length and
    positional filter cut the list into runs; a run only ties its members to its
    first one, so m entries give m - 1 edges, not m * m.
@@ -17,7 +18,7 @@ Steps, the same for documents and lines:
    undecided meet the other blocks.
 
 The tokens of step 2 are shuffled as packed arrays, for a row per token would
-be two and a half times the input. Their parts grow in number with the corpus;
+be several times the input. Their parts grow in number with the corpus;
 tokens of very many sets (see heavy_tokens) are not sent there, so no part does
 in size. Any order that all sets share keeps the prefixes exact, so
 neither sampled counts of these nor tokens that share a hash lose a link.
@@ -273,92 +274,183 @@ def _by_part(parts: np.ndarray, owner: np.ndarray, of, refs: dict, token: np.nda
         yield {"part": int(parts[a]), "of": of} | {k: _packed(row[k]) for k in _ARRAYS}
 
 
-def tokens_by_part(texts: DataFrame, sets_of: Callable, parts: int, heavy: tuple[np.ndarray, np.ndarray], num: int, den: int) -> DataFrame:
-    """The tokens of all classes, packed by part of the token's hash. Heavy ones only come along, in parts below 0, for sets whose prefix may reach them."""
-    shared = texts.sparkSession.sparkContext.broadcast(heavy)
-    fields = pa.schema([("part", pa.int32()), ("of", pa.int32()), *((k, pa.binary()) for k in _ARRAYS)])
+_FIELDS = pa.schema([("part", pa.int32()), ("of", pa.int32()), *((k, pa.binary()) for k in _ARRAYS)])
+#: Parts that the tokens are dealt into at least.
+LEAST_PARTS = 32
+
+
+def parts_of(tokens: int) -> int:
+    return max(LEAST_PARTS, min(1 << 24, tokens // PART_TOKENS))
+
+
+def _low(tokens: np.ndarray, parts: int) -> np.ndarray:
+    """What tells a token from the others of its part: 32 bits, so that the corpus has log2(parts) more."""
+    return ((tokens // np.uint64(parts)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _heavy_at(tokens: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which tokens are among the known ones, their places there)."""
+    place = np.searchsorted(known, tokens)
+    return (known[np.minimum(place, len(known) - 1)] == tokens) if len(known) else np.zeros(len(tokens), dtype=bool), place
+
+
+def _gathered(sets, send, parts: int):
+    """Batches from (tokens, sizes, classes) of several sets, sent together from so many tokens on."""
     chunk = min(max(CHUNK_TOKENS, 64 * parts), 1 << 24)
+    held, size = [], 0
+    for one in sets:
+        held.append(one)
+        size += len(one[0])
+        if size >= chunk:
+            yield from _batched(send(*(np.concatenate(x) for x in zip(*held, strict=True))))
+            held, size = [], 0
+    if held:
+        yield from _batched(send(*(np.concatenate(x) for x in zip(*held, strict=True))))
+
+
+def _batched(rows: list[dict]):
+    for start in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_pylist(rows[start : start + 64], schema=_FIELDS)
+
+
+def _in_part(table: pa.Table) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
+    """(class, n and heavy of each set of a part; their tokens' owners, tokens and levels); a class that several tasks have met counts once."""
+    x = _unpacked(table)
+    first = np.zeros(len(x["class"]), dtype=bool)
+    first[np.unique(x["class"], return_index=True)[1]] = True
+    own = slice(None) if first.all() else np.repeat(first, x["held"])
+    held = x["held"][first]
+    return {k: x[k][first] for k in ("class", "n", "heavy")}, np.repeat(np.arange(len(held), dtype=np.int32), held), x["token"][own], x["level"][own] if len(x["level"]) else x["level"]
+
+
+def _repeated(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, in order, of the tokens that occur more than once; how often)."""
+    # Token and place in one number: sorted, equal tokens are neighbours.
+    together = token.astype(np.uint64) << np.uint64(32)
+    together |= np.arange(len(token), dtype=np.uint64)
+    together.sort()
+    same = (together >> np.uint64(32)).astype(np.uint32)
+    begins = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]])) if len(token) else np.empty(0, dtype=np.int64)
+    counts = np.diff(np.append(begins, len(token))).astype(np.uint32)
+    several = counts > 1
+    at = (together[np.repeat(several, counts)] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    order = np.argsort(at)
+    return at[order], np.repeat(counts[several], counts[several])[order]
+
+
+def _class_part(classes: np.ndarray, parts: int) -> np.ndarray:
+    return (classes.view(np.uint64) // np.uint64(1 << 20) % np.uint64(parts)).astype(np.int32)
+
+
+def possible_classes(rows: DataFrame, texts: DataFrame, sets_of: Callable, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(class) of the sets that may be similar to another one; only what cannot be is left out.
+
+    A set of n tokens lacks at most d = n - ceil(t n) of them in a similar set.
+    So of any of its tokens, here those of every m-th hash, all but d are shared
+    with some other set. These alone are counted, packed by part of their hash.
+    """
+    every = max(1, 3 * den // (5 * (den - num)))
+    pairs = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = parts_of(pairs // every)
+    shared = texts.sparkSession.sparkContext.broadcast(heavy[0])
+    nothing = np.zeros(0, dtype=np.uint8)
 
-    def sent(held):
-        tokens, sizes, classes = (np.concatenate(x) for x in zip(*held, strict=True))
-        known, levels = shared.value
+    def send(tokens, sizes, classes, need):
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.searchsorted(known, tokens)
-        is_heavy = (known[np.minimum(place, len(known) - 1)] == tokens) if len(known) else np.zeros(len(tokens), dtype=bool)
-        heavies = np.bincount(owner[is_heavy], minlength=len(sizes))
-        refs = {"class": classes, "n": sizes.astype(np.uint32), "heavy": heavies.astype(np.uint32)}
-        rest = tokens[~is_heavy]
-        low = ((rest // np.uint64(parts)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        rows = [row | {"level": b"\1"} for row in _by_part((rest % np.uint64(parts)).astype(np.int32), owner[~is_heavy], 0, refs, low, np.zeros(len(rest), dtype=np.uint8))]
-        reached = is_heavy & (sizes - heavies < prefix_length(sizes, num, den))[owner]
-        if reached.any():
-            rows += _by_part(-1 - (classes.view(np.uint64)[owner[reached]] % np.uint64(parts)).astype(np.int32), owner[reached], 0, refs, place[reached].astype(np.uint32), levels[place[reached]])
-        for start in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_pylist(rows[start : start + 64], schema=fields)
-
-    def run(batches):
+        refs = {"class": classes, "n": np.maximum(need, 0).astype(np.uint32), "heavy": np.zeros(len(classes), dtype=np.uint32)}
+        out = list(_by_part((tokens % np.uint64(parts)).astype(np.int32), owner, 0, refs, _low(tokens, parts), np.zeros(len(tokens), dtype=np.uint8)))
+        for row in out:
+            row["level"] = _packed(nothing)
+        sure = np.flatnonzero(need <= 0)
+        if len(sure):
+            row = {k: v[sure] for k, v in refs.items()} | {"held": np.zeros(len(sure), dtype=np.uint32), "token": nothing, "level": nothing}
+            out.append({"part": -1 - int(classes.view(np.uint64)[sure[0]] % np.uint64(parts)), "of": 0} | {k: _packed(row[k]) for k in _ARRAYS})
+        return out
+
+    def sample(batches):
         seen: set = set()
-        held, size = [], 0
         for batch in by_bytes(batches, 0):
             tokens, offsets, classes = sets_of(batch.column(0).to_pylist())
-            new = first_seen(classes, seen)
-            sizes = np.diff(offsets)
-            held.append((tokens[np.repeat(new, sizes)], sizes[new], classes[new]))
-            size += len(held[-1][0])
-            if size >= chunk:
-                yield from sent(held)
-                held, size = [], 0
-        if held:
-            yield from sent(held)
-
-    return texts.mapInArrow(run, _PACKED)
-
-
-def _common(parts: int):
-    """Counts the tokens of a part and keeps those of several classes, packed by class."""
-
-    def run(table: pa.Table) -> pa.Table:
-        part, x, schema = table["part"][0].as_py(), _unpacked(table), table.schema
-        del table
-        if len(x["class"]):
-            # A class that several tasks have met counts once.
-            first = np.zeros(len(x["class"]), dtype=bool)
-            first[np.unique(x["class"], return_index=True)[1]] = True
-            own = slice(None) if first.all() else np.repeat(first, x["held"])
-            token, level = x["token"][own], x["level"][own] if part < 0 else None
-            refs, held = {k: x[k][first] for k in ("class", "n", "heavy")}, x["held"][first]
-            del x, own
-            owner = np.repeat(np.arange(len(held), dtype=np.int32), held)
-            if part >= 0:
-                # Token and place in one number: sorted, equal tokens are neighbours.
-                together = token.astype(np.uint64) << np.uint64(32)
-                together |= np.arange(len(token), dtype=np.uint64)
-                together.sort()
-                same = (together >> np.uint64(32)).astype(np.uint32)
-                begins = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
-                counts = np.diff(np.append(begins, len(token))).astype(np.uint32)
-                several = np.repeat(counts > 1, counts)
-                at, often = (together[several] & np.uint64(0xFFFFFFFF)).astype(np.int64), np.repeat(counts, np.where(counts > 1, counts, 0))
-                del together, same, several
-                order = np.argsort(at)
-                at, often = at[order], often[order]
-                owner, token, level = owner[at], token[at], level_of(often)
-            to = (refs["class"].view(np.uint64)[owner] // np.uint64(1 << 20) % np.uint64(parts)).astype(np.int32)
-            rows = list(_by_part(to, owner, part, refs, token, level))
+            n = np.diff(offsets)
+            # Sets so small that only an equal one is similar to them are left out.
+            new = first_seen(classes, seen) & ((n * den // num > n) | (n - prefix_length(n, num, den) + 1 < n))
+            owner = np.repeat(np.arange(len(n)), n)
+            at = np.flatnonzero(new[owner] & (((tokens * _M1) >> np.uint64(40)) % np.uint64(every) == 0))
+            is_heavy, _ = _heavy_at(tokens[at], shared.value)
+            need = np.bincount(owner[at], minlength=len(n)) - np.bincount(owner[at[is_heavy]], minlength=len(n)) - (prefix_length(n, num, den) - 1)
+            at = at[~is_heavy & (need[owner[at]] > 0)]
+            yield tokens[at], np.bincount(owner[at], minlength=len(n))[new], classes[new], need[new]
+
+    def count(table: pa.Table) -> pa.Table:
+        part = table["part"][0].as_py()
+        refs, owner, token, _ = _in_part(table)
+        if part >= 0:
+            at, _ = _repeated(token)
+            held = np.bincount(owner[at], minlength=len(refs["class"])).astype(np.uint32)
+            keep = held > 0
+            refs, held = {k: v[keep] for k, v in refs.items()}, held[keep]
         else:
-            rows = []
-        return pa.Table.from_pylist(rows, schema=schema)
+            held = np.zeros(len(refs["class"]), dtype=np.uint32)
+        to = _class_part(refs["class"], parts)
+        rows = []
+        for q in np.unique(to).tolist():
+            row = {k: v[to == q] for k, v in refs.items()} | {"held": held[to == q], "token": nothing, "level": nothing}
+            rows.append({"part": q, "of": 0} | {k: _packed(row[k]) for k in _ARRAYS})
+        return pa.Table.from_pylist(rows, schema=_FIELDS)
+
+    def decide(table: pa.Table) -> pa.Table:
+        x = _unpacked(table)
+        classes, at, index = np.unique(x["class"], return_index=True, return_inverse=True)
+        return pa.table({"class": classes[np.bincount(index, weights=x["held"]) >= x["n"][at]]})
+
+    counted = texts.mapInArrow(lambda batches: _gathered(sample(batches), send, parts), _PACKED).groupBy("part").applyInArrow(count, _PACKED)
+    return pin(counted.groupBy("part").applyInArrow(decide, "class long"))
 
-    return run
 
+def prefix_lists(sets: DataFrame, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(token, n, pos, class) for each set and each token of its prefix that other sets hold as well; ``sets`` is (class, tokens).
 
-def _prefixes(parts: int, num: int, den: int):
-    """Puts the common tokens of each class in order of rarity and keeps those in its prefix that a list may need."""
+    The tokens go to parts by their hash to be counted, packed; those that
+    several sets hold go back to their sets, which put them in order of rarity.
+    Heavy tokens only come along, in parts below 0, for sets whose prefix may
+    reach them. A token's name is unique but for hash collisions of
+    log2(parts) + 32 bits, which only add candidates.
+    """
+    pairs = sets.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0] // 8
+    parts = parts_of(pairs)
+    shared = sets.sparkSession.sparkContext.broadcast(heavy)
 
-    def run(table: pa.Table) -> pa.Table:
+    def send(tokens, sizes, classes):
+        known, levels = shared.value
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        is_heavy, place = _heavy_at(tokens, known)
+        heavies = np.bincount(owner[is_heavy], minlength=len(sizes))
+        refs = {"class": classes, "n": sizes.astype(np.uint32), "heavy": heavies.astype(np.uint32)}
+        rest = tokens[~is_heavy]
+        out = list(_by_part((rest % np.uint64(parts)).astype(np.int32), owner[~is_heavy], 0, refs, _low(rest, parts), np.zeros(len(rest), dtype=np.uint8)))
+        for row in out:
+            row["level"] = _packed(np.zeros(0, dtype=np.uint8))
+        reached = is_heavy & (sizes - heavies < prefix_length(sizes, num, den))[owner]
+        to = -1 - (classes.view(np.uint64)[owner[reached]] % np.uint64(parts)).astype(np.int32)
+        return out + list(_by_part(to, owner[reached], 0, refs, place[reached].astype(np.uint32), levels[place[reached]]))
+
+    def packed(batches):
+        for batch in slices(batches, 4_096):
+            classes, rows = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            yield np.frombuffer(b"".join(rows), dtype="<u8"), np.array([len(x) // 8 for x in rows], dtype=np.int64), classes
+
+    def common(table: pa.Table) -> pa.Table:
+        part = table["part"][0].as_py()
+        refs, owner, token, level = _in_part(table)
+        if part >= 0:
+            at, often = _repeated(token)
+            owner, token, level = owner[at], token[at], level_of(often)
+        return pa.Table.from_pylist(list(_by_part(_class_part(refs["class"], parts)[owner], owner, part, refs, token, level)), schema=_FIELDS)
+
+    def prefixes(table: pa.Table) -> pa.Table:
         x = _unpacked(table)
-        rows = [len(b) // b[0] for b in table["token"].to_pylist()]
-        of = np.repeat(np.array(table["of"].to_pylist(), dtype=np.int64), rows)
+        # A row of ``table`` holds tokens of one part.
+        of = np.repeat(np.array(table["of"].to_pylist(), dtype=np.int64), [(len(b) - 1) // b[0] for b in table["token"].to_pylist()])
         token = np.where(of < 0, -1 - x["token"].astype(np.int64), x["token"].astype(np.int64) * parts + of)
         classes, at, index = np.unique(x["class"], return_index=True, return_inverse=True)
         owner = np.repeat(index, x["held"])
@@ -366,27 +458,24 @@ def _prefixes(parts: int, num: int, den: int):
         owner, token, of = owner[order], token[order], of[order]
         n = x["n"][at].astype(np.int64)
         alone = n - x["heavy"][at] - np.bincount(owner[of >= 0], minlength=len(classes))
-        starts = np.searchsorted(owner, np.arange(len(classes)))
-        pos = alone[owner] + np.arange(len(owner)) - starts[owner]
+        pos = alone[owner] + np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(classes)))[owner]
         keep = pos < prefix_length(n, num, den)[owner]
         owner, pos = owner[keep], pos[keep]
         return pa.table({"token": pa.array(token[keep]), "n": pa.array(n[owner], pa.int32()), "pos": pa.array(pos, pa.int32()), "class": pa.array(classes[owner])})
 
-    return run
+    counted = sets.select("class", "tokens").mapInArrow(lambda batches: _gathered(packed(batches), send, parts), _PACKED).groupBy("part").applyInArrow(common, _PACKED)
+    return counted.groupBy("part").applyInArrow(prefixes, "token long, n int, pos int, class long")
 
 
-def prefix_lists(rows: DataFrame, texts: DataFrame, sets_of: Callable, num: int, den: int) -> DataFrame:
-    """(token, n, pos, class) for each class and each token of its prefix that other classes hold as well.
+def candidates(rows: DataFrame, texts: DataFrame, sets_of: Callable, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(edges (a, b) that connect every pair of similar classes, sets (class, tokens) of the classes in question).
 
-    ``rows`` is (class, n, sample), a row per set; ``sets_of`` turns texts into
-    (tokens, offsets, classes). A token's name is unique in the corpus but for
-    hash collisions of log2(parts) + 32 bits, which only add candidates.
+    ``rows`` is (class, n, sample), a row per set; ``sets_of`` turns texts into (tokens, offsets, classes).
     """
     pairs = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(4, min(1 << 24, pairs // PART_TOKENS))
     heavy = heavy_tokens(rows, pairs)
-    common = tokens_by_part(texts, sets_of, parts, heavy, num, den).groupBy("part").applyInArrow(_common(parts), _PACKED)
-    return common.groupBy("part").applyInArrow(_prefixes(parts, num, den), "token long, n int, pos int, class long")
+    sets = class_sets(texts, sets_of, possible_classes(rows, texts, sets_of, num, den, heavy))
+    return list_edges(pin(prefix_lists(sets, num, den, heavy)), num, den), sets
 
 
 def list_edges(postings: DataFrame, num: int, den: int) -> DataFrame:

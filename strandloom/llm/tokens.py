@@ -1,9 +1,11 @@
 """Byte-pair encoding of whole texts inside tasks.
 
 The vocabulary is a public one and its path a parameter; nothing is trained.
-The main encoder reads the vocabulary as ranks; texts holding a run that is
-too long for its regular expression go to the other library, whose result is
-the same (tests compare them).
+Ids are those of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``:
+no special tokens are added, but their strings in a text are recognised. The
+main encoder reads the vocabulary as ranks and gives the same ids faster; texts
+that hold such a string, or a run too long for its regular expression, go to
+the tokenizer itself (tests compare them).
 """
 
 from __future__ import annotations
@@ -36,13 +38,16 @@ def _ranked(path: str):
 def _whole(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def _special(path: str) -> tuple[str, ...]:
+    return tuple(t.content for t in _whole(path).get_added_tokens_decoder().values())
 
 
 def encode(text: str, path: str) -> list[int]:
-    """Ids of a whole text, without special tokens; their strings in a text are ordinary text."""
-    if len(text) >= LONG_RUN and _RUN.search(text):
+    """Ids of a whole text; none are added."""
+    if any(s in text for s in _special(path)) or (len(text) >= LONG_RUN and _RUN.search(text)):
         return _whole(path).encode(text, add_special_tokens=False).ids
     return _ranked(path).encode_ordinary(text)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import ensure_checkpoint_dir, pin, small
 
-#: Uncompressed bytes that an archive holds about; the reader has one archive in memory at a time.
+#: Uncompressed bytes from which on a task begins its next archive; the reader has one archive in memory at a time.
 ARCHIVE_BYTES = 96 << 20
 CHUNK = 1 << 16
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -87,21 +87,30 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     return joined.withColumn("_revisit", F.col("_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("_first")))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
-    """Write one record per page; null html is an empty payload, null urls become ``urn:page:<id>``."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write one record per page; null html is an empty payload, null urls become ``urn:page:<id>``.
+
+    A task counts what it has written and names each record's archive after it,
+    so an archive is only larger than ``archive_bytes`` by its last record.
+    """
     pages = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     marked = mark_revisits(pages, min_bytes, "page", "html")
 
     def build(batches):
+        written = 0
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
-            members = (gzip_member(build_record(page, url, (html or "").encode(), first, revisit)) for page, url, html, first, revisit in rows)
-            yield pa.RecordBatch.from_arrays([pa.array([m if m[-1] else m[:-1] for m in members], pa.binary())], names=["member"])
-
-    mean = pages.agg(F.avg(F.length(payload_bytes(F.col("html"))))).first()[0] or 0
-    per_file = max(1, int(ARCHIVE_BYTES / (mean + 700)))
-    rows = marked.select("page", "url", "html", "_first", "_revisit").mapInArrow(build, "member binary").select(F.col("member").cast("string").alias("value"))
-    rows.write.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", per_file).text(path)
+            members, archives = [], []
+            for page, url, html, first, revisit in rows:
+                record = build_record(page, url, (html or "").encode(), first, revisit)
+                member = gzip_member(record)
+                members.append(member if member[-1] else member[:-1])
+                archives.append(written // archive_bytes)
+                written += len(record)
+            yield pa.RecordBatch.from_arrays([pa.array(archives, pa.int32()), pa.array(members, pa.binary())], names=["archive", "member"])
+
+    rows = marked.select("page", "url", "html", "_first", "_revisit").mapInArrow(build, "archive int, member binary")
+    rows.select("archive", F.col("member").cast("string").alias("value")).write.partitionBy("archive").option("lineSep", "\0").option("compression", "none").text(path)
 
 
 def members(chunks: Iterator[bytes]) -> Iterator[bytes]:

@@ -26,7 +26,7 @@ def table(spark, rows):
 def texts(n=60, seed=1):
     rng = random.Random(seed)
     rows = [(i, " ".join(rng.choice(("one", "zwei", "trois")) * rng.randrange(1, 3) for _ in range(rng.randrange(1, 200))), rng.choice("aaaabc"), "en") for i in range(n)]
-    return [*rows, rows[0], rows[0], (n, None, "a", None), (n + 1, "", None, "en"), (n + 2, "long word " * 20_000, "d", "en"), (None, "no id here", None, None), (n + 3, "x" * 30_000, "b", "en"), (n + 4, "same", "c", "en"), (n + 5, "same", "c", "en")]
+    return [*rows, rows[0], rows[0], (n, None, "a", None), (n + 1, "", None, "en"), (n + 2, "long word " * 20_000, "d", "en"), (None, "no id here", None, None), (n + 3, "x" * 30_000, "b", "en"), (n + 4, "same", "c", "en"), (n + 5, "same", "c", "en"), (n + 6, "special <|endoftext|> string <|endoftext|>", "b", "en")]
 
 
 # 1, WARC
@@ -51,10 +51,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert sorted(map(str, expected)) == sorted(str((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])) for r in found)
     assert {r["page_id"]: r["payload"] for r in found if r["record_type"] == "response"} == {3: b"same", 8: b"", 7: "ü".encode() * 9, 4: b"z" * 200_000}
     assert any(r["target_uri"] == quote("http://a/ü?x=1 2", safe=":/?#[]@!$&()*+,;=%~") for r in found)
-    archive = b"".join(p.read_bytes() for p in sorted((tmp_path / "a").glob("part-*")))
+    archive = b"".join(p.read_bytes() for p in sorted((tmp_path / "a").rglob("part-*")))
     assert gzip.decompress(archive).count(b"WARC/1.1\r\n") == len(rows)
 
 
+def test_warc_archives_are_bounded(spark, tmp_path):
+    """Large pages among small ones: an archive is only larger than the bound by its last record."""
+    rng = random.Random(4)
+    rows = [(i, "u", rng.randbytes(40_000 if i % 10 == 0 else 300).hex()) for i in range(200)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"file://{tmp_path}/a", archive_bytes=100_000)
+    sizes = [[len(m) for m in warc.members(iter([p.read_bytes()]))] for p in (tmp_path / "a").rglob("part-*")]
+    assert sum(map(len, sizes)) == 200 and len(sizes) > 10 and all(sum(s[:-1]) < 200_000 and len(s) < 110 for s in sizes)
+    assert warc.read_archives(spark, f"file://{tmp_path}/a", payload=False).filter("digest_ok").count() == 200
+
+
 def test_warc_broken_records():
     good = warc.build_record(1, "u", b"payload", None, False)
     headers, block = warc.parse_record(good)
@@ -138,7 +148,6 @@ def ids_of(text):
     import public_tokenizers
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 

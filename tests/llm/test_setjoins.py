@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from strandloom.llm import jaccard, linedup
+from strandloom.llm import jaccard, linedup, setjoin
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -63,8 +63,12 @@ def corpus(seed, n):
     return [*rows, (n, None), (n + 1, ""), (n + 2, " \n"), (n + 3, "One Two"), (n + 4, "one two"), (n + 5, "ÄB c d e"), (n + 6, "äB c d e"), (n + 7, "x " * 30_000), (None, "null id text a b c"), rows[0]]
 
 
-@pytest.mark.parametrize(("k", "num", "den", "block"), [(3, 9, 10, 512), (5, 4, 5, 512), (3, 9, 10, 7), (5, 4, 5, 4)])
-def test_components(spark, k, num, den, block):
+@pytest.mark.parametrize(("k", "num", "den", "block", "heavy"), [(3, 9, 10, 512, 0), (5, 4, 5, 512, 4), (3, 9, 10, 7, 3), (5, 4, 5, 4, 0)])
+def test_components(spark, monkeypatch, k, num, den, block, heavy):
+    """With ``heavy`` tokens of so few sets already count as tokens of very many."""
+    if heavy:
+        monkeypatch.setattr(setjoin, "SAMPLED", 1)
+        monkeypatch.setattr(setjoin, "LEAST_SAMPLED", heavy)
     rows = corpus(k + block, 260)
     found = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), k, num, den, block=block)
     assert sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute_components(rows, k, num, den)
