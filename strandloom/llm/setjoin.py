@@ -378,7 +378,7 @@ def possible_classes(rows: DataFrame, texts: DataFrame, sets_of: Callable, num:
             at = np.flatnonzero(new[owner] & (((tokens * _M1) >> np.uint64(40)) % np.uint64(every) == 0))
             is_heavy, _ = _heavy_at(tokens[at], shared.value)
             need = np.bincount(owner[at], minlength=len(n)) - np.bincount(owner[at[is_heavy]], minlength=len(n)) - (prefix_length(n, num, den) - 1)
-            at = at[~is_heavy & (need[owner[at]] > 0)]
+            at = at[~is_heavy]
             yield tokens[at], np.bincount(owner[at], minlength=len(n))[new], classes[new], need[new]
 
     def count(table: pa.Table) -> pa.Table:

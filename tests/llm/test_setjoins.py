@@ -95,6 +95,9 @@ def test_lines(spark, block):
     rows = [(i, "\n".join(t.split("\n")) if t else t) for i, t in rows if i is not None][:-1]
     pool = [" ".join(f"w{rng.randrange(50)}" for _ in range(rng.choice((3, 6, 20)))) for _ in range(40)]
     rows += [(1000 + i, "\n".join(rng.choice(pool) + rng.choice(("", "", " more")) for _ in range(rng.randrange(1, 9)))) for i in range(60)]
+    # Short lines and the same with a word more: of so few tokens, hardly any may be missed.
+    short = [" ".join(f"s{rng.randrange(1000)}" for _ in range(rng.randrange(9, 14))) for _ in range(150)]
+    rows += [(2000 + i, "\n".join((short[i], short[i - 1] + " and"))) for i in range(150)]
     docs = spark.createDataFrame([(i, t, "g", 0) for i, t in rows], "doc_id long, text string, _gone string, n_lines int").repartition(4)
     found = {(r["doc"], r["line"]) for r in linedup.repeated_lines(docs, block=block).collect()}
     assert found == brute_lines(rows)
