@@ -559,14 +559,14 @@ def by_rarity(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [np.sort(x | (c << _TOP)) for x, c in zip(sets, np.split(often, cuts), strict=True)]
 
 
-def prefix_join(sets: list[np.ndarray], num: int, den: int, probe: list[bool], skip: Callable[[int, int], bool], match: Callable[[int, int, int], None]) -> None:
+def prefix_join(sets: list[np.ndarray], num: int, den: int, probe: list[bool], skip: Callable[[int, int], bool], match: Callable[[int, int, int], None], derived: list | None = None) -> None:
     """Calls match(i, j, overlap) for pairs of sets with Jaccard >= num / den of which one is in ``probe``.
 
     Sets come in by size. Index lists are kept in blocks by the token's
     position in its set; the tokens after it bound the overlap, so once a block
     of a list fails, so do all later ones. A set that is similar to one already
     answered derives its overlaps with that one's answers from the difference
-    of the two. skip(i, j) drops pairs whose answer is known already.
+    of the two; ``derived`` gets these pairs. skip(i, j) drops pairs whose answer is known already.
     """
     whole: dict[int, dict[int, list[int]]] = {}
     probing: dict[int, dict[int, list[int]]] = {}
@@ -609,6 +609,8 @@ def prefix_join(sets: list[np.ndarray], num: int, den: int, probe: list[bool], s
                         for z, known in list(answers[y].items()):
                             if z not in seen and (probe[x] or probe[z]) and not skip(x, z):
                                 seen.add(z)
+                                if derived is not None:
+                                    derived.append((x, z))
                                 decide(x, z, known + len(more & tokens_of(z)) - len(less & tokens_of(z)))
         for i, token in enumerate(tokens):
             whole.setdefault(token, {}).setdefault(i, []).append(x)

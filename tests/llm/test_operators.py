@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 from urllib.parse import quote
 
 import numpy as np
@@ -142,12 +143,17 @@ def test_mixing_empty(spark):
 # 3, packing; 10, token counts
 
 
-def ids_of(text):
+@lru_cache
+def plain_tokenizer():
     from tokenizers import Tokenizer
 
     import public_tokenizers
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def ids_of(text):
+    t = plain_tokenizer()
     return t.encode(text or "", add_special_tokens=False).ids
 
 
