@@ -1,0 +1,5 @@
+"""Registered queries; importing this package registers all of them."""
+
+from . import catalog, more
+
+__all__ = ["catalog", "more"]

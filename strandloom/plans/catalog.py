@@ -367,7 +367,10 @@ def per_source_counts(spark, sf_dir):
     return sequences.per_source_counts(records(spark, sf_dir))
 
 
-@query()
+@query(
+    "SELECT doc_id, '>' || concat_ws(' ', CAST(doc_id AS VARCHAR), source) || chr(10) || "
+    r"rtrim(regexp_replace(regexp_replace(text, '[ \t\n\x0B\f\r]+', '', 'g'), '(.{80})', '\1' || chr(10), 'g'), chr(10)) AS fasta FROM documents"
+)
 def fasta_export(spark, sf_dir):
     rows = table(spark, sf_dir, "documents")
     return rows.select("doc_id", fasta_text(F.concat_ws(" ", F.col("doc_id").cast("string"), "source"), F.regexp_replace("text", "\\s+", "")).alias("fasta"))
