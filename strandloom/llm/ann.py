@@ -37,6 +37,8 @@ RANGE = 2.0
 WHOLE = 1_024
 #: Queries that one task scores against a part of the vectors that are scored as a whole.
 ASKING = 8_192
+#: Queries whose answers a task gathers before it passes them on.
+MERGED = 16_384
 #: Scores that one slice of rows may have at a time.
 SCORES = 1 << 22
 
@@ -87,7 +89,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, embedding) without vectors that are null, empty, zero or hold null or non-finite components, and without null ids."""
     v = F.col(vector_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return vectors.filter(F.col(id_col).isNotNull() & v.isNotNull()).filter(finite & F.exists(v, lambda x: x != 0)).select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding"))
+    return vectors.filter(F.col(id_col).isNotNull() & v.isNotNull()).filter(finite & F.exists(v, lambda x: x != 0)).select(F.col(id_col).cast("long").alias("vec_id"), (v if vectors.schema[vector_col].dataType.elementType.typeName() == "float" else v.cast("array<double>")).alias("embedding"))
 
 
 def length_ranges(bins: list) -> list[tuple[float, float, int]]:
@@ -124,7 +126,9 @@ def nearest_neighbours(
     all vectors. An empty table gives no rows.
     """
     valid = pin(usable(vectors, id_col, vector_col))
-    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    # Floats travel as floats; they are exact as doubles, in which all sums are taken.
+    kind = "<f4" if valid.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
+    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     # A bin is 1/16 of a doubling of the squared length, so the driver sees some thousands of rows at most.
     bin_of = F.coalesce(F.floor(16 * F.log2("_norm2")).cast("long"), F.lit(-(1 << 20)))
     bins = valid.select(F.size("embedding").alias("_d"), norm2.alias("_norm2")).groupBy(bin_of.alias("_bin")).agg(F.count("*").alias("n"), F.max("_d").alias("d"), F.max("_norm2").alias("most"), F.min("_norm2").alias("least")).collect()
@@ -156,7 +160,7 @@ def nearest_neighbours(
                 exact = _matrix(batch.column(1), size)
                 squared = (exact**2).sum(axis=1)
                 within = np.searchsorted(bounds, squared, side="right")
-                rows = [r.tobytes() for r in exact]
+                rows = [r.tobytes() for r in exact.astype(kind)]
                 ids = batch.column(0).to_numpy()
 
                 def placed_in(cell, owner, rows=rows, ids=ids):
@@ -192,18 +196,30 @@ def nearest_neighbours(
     sent = asked.join(parts, "cell").select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"), F.pmod(F.xxhash64("vec_id"), blocks).alias("block"), F.lit(1).alias("asks"), "vec_id", "vector")
 
     def score(batches):
-        """Rows come by (cell, part, block), the candidates first; queries are scored a batch at a time."""
-        here, ids, held_vectors, matrix, waiting = None, [], [], None, ([], [])
+        """Rows come by (cell, part, block), the candidates first; queries are scored a batch at a time, and a task's answers to a query are merged."""
+        here, ids, held_vectors, matrix, waiting, found = None, [], [], None, ([], []), {}
+
+        def vectors_of(parts):
+            return np.frombuffer(b"".join(parts), dtype=kind).reshape(-1, size).astype("f8")
+
+        def merged_so_far(least):
+            """The answers, once they are of ``least`` queries."""
+            if len(found) >= least:
+                rows = []
+                for q, parts in found.items():
+                    names, exact = _best(*(np.concatenate(x) for x in zip(*parts, strict=True)), top + 1)
+                    rows.append((q, names, exact))
+                found.clear()
+                yield _merged(rows)
 
         def answers():
             nonlocal matrix, waiting
-            out = {"query": [], "ids": [], "scores": []}
             if waiting[0] and ids:
                 if matrix is None:
                     order = np.argsort(ids)
-                    matrix = np.array(ids)[order], np.frombuffer(b"".join(held_vectors), dtype="f8").reshape(-1, size)[order]
+                    matrix = np.array(ids)[order], vectors_of(held_vectors)[order]
                 names, rows = matrix
-                asked_rows = np.frombuffer(b"".join(waiting[1]), dtype="f8").reshape(-1, size)
+                asked_rows = vectors_of(waiting[1])
                 for q, vector, line in zip(waiting[0], asked_rows, asked_rows @ rows.T, strict=True):
                     keep = top + 1
                     at = np.arange(len(line))
@@ -212,26 +228,28 @@ def nearest_neighbours(
                         at = np.flatnonzero(line >= bound - 1e-9 * max(1.0, abs(bound)))
                     exact = (rows[at] * vector).sum(axis=1)  # one row's sum does not depend on the other rows
                     best = np.lexsort((names[at], -exact))[:keep]
-                    out["query"].append(q)
-                    out["ids"].append(names[at[best]])
-                    out["scores"].append(exact[best])
+                    mine = found.setdefault(q, [])
+                    mine.append((names[at[best]], exact[best]))
+                    if len(mine) == 16:
+                        mine[:] = [_best(*(np.concatenate(x) for x in zip(*mine, strict=True)), keep)]
             waiting = ([], [])
-            return pa.RecordBatch.from_pydict({"query": pa.array(out["query"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int64())), "scores": pa.array(out["scores"], pa.list_(pa.float64()))})
+            yield from merged_so_far(MERGED)
 
         for batch in slices(batches, 2_048):
             for cell, which, block, asks, vec, vector in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (cell, which, block) != here:
-                    yield answers()
+                    yield from answers()
                     here, ids, held_vectors, matrix = (cell, which, block), [], [], None
                 if asks:
                     waiting[0].append(vec)
                     waiting[1].append(vector)
                     if len(waiting[0]) == 512:
-                        yield answers()
+                        yield from answers()
                 else:
                     ids.append(vec)
                     held_vectors.append(vector)
-        yield answers()
+        yield from answers()
+        yield from merged_so_far(0)
 
     def met(held, sent):
         return held.union(sent).repartition("cell", "part", "block").sortWithinPartitions("cell", "part", "block", "asks").mapInArrow(score, "query long, ids array<long>, scores array<double>")
@@ -262,7 +280,7 @@ def nearest_neighbours(
 
     def encoded(batches):
         for batch in slices(batches, 2_048):
-            yield pa.RecordBatch.from_pydict({"vec_id": batch.column(0), "vector": pa.array([r.tobytes() for r in _matrix(batch.column(1), size)], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"vec_id": batch.column(0), "vector": pa.array([r.tobytes() for r in _matrix(batch.column(1), size).astype(kind)], pa.binary())})
 
     answered = pin(merged(met(held, sent)))
     total = sum(n for _, _, n in ranges)
@@ -287,6 +305,14 @@ def nearest_neighbours(
     return listed.select("query_id", F.posexplode(F.slice("found", 1, top)).alias("rank", "x")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
 
 
+def _best(names: np.ndarray, scores: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``keep`` best of answers that may name a vector more than once: by score, ties to the smaller id."""
+    names, at = np.unique(names, return_index=True)
+    scores = scores[at]
+    order = np.lexsort((names, -scores))[:keep]
+    return names[order], scores[order]
+
+
 def _merged(rows: list) -> pa.RecordBatch:
     query, ids, scores = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_pydict({"query": pa.array(query, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64())), "scores": pa.array(scores, pa.list_(pa.float64()))})
