@@ -13,6 +13,7 @@ from urllib.parse import quote
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandloom.llm import ann, fingerprint, langid, mixing, packing, secrets, token_counts, tokens, warc
 
@@ -471,3 +472,66 @@ def test_no_query_stays_short(spark, n, options):
 def test_hadamard():
     x = np.eye(8)
     assert np.allclose(ann.hadamard(ann.hadamard(x)), x) and json.dumps(np.unique(np.abs(ann.hadamard(x)) ** 2).round(9).tolist()) == "[0.125]"
+
+
+# Edge cases across operators
+
+
+def test_every_language_is_trained():
+    """More labels than a batch has places: each is trained and told from the others."""
+    names = [f"l{i:03d}" for i in range(24)]
+    rng = random.Random(2)
+    word = {n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for n in names}
+    model = langid.fit([f"{word[n]} " * 30 for n in names], names, steps=400, batch=10)
+    p = langid.document_probabilities(model, [f"{word[n]} " * 12 for n in names])
+    right = [names[k] == n for k, n in zip(p.argmax(axis=0), names, strict=True)]
+    assert sum(right) >= 0.8 * len(names) and sum(right[10:]) >= 0.8 * 14
+
+
+def test_training_sample_is_bounded(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), (F.col("id") % 500).cast("string").alias("lang"))
+    found = langid.training_sample(docs, "doc_id", "text", "lang", 400, 600, in_all=1000).collect()
+    assert len(found) == 1000 and len({r["lang"] for r in found}) == 500
+    assert langid.training_sample(docs, "doc_id", "text", "lang", 400, 600, in_all=100).count() <= 100
+
+
+def test_language_edge_cases(spark):
+    rows = [(1, "the house and the river", "en", "x"), (1, "the house and the river", "en", "x"), (2, "und das haus nicht", "de", "x"), (3, None, "en", None), (4, "12 34", None, "y"), (None, "la maison", None, "z")]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string, lang string, lang_pred string")
+    model = langid.train(docs)
+    found = langid.predict(docs, model).collect()
+    assert len(found) == 18 and {r["lang_pred"] for r in found if r["doc_id"] in (3, 4)} == {"und"}
+    assert len({(r["lang_pred"], r["score"]) for r in found if r["doc_id"] == 1}) == 1
+    assert langid.identified(docs, model, least=0.0).columns == docs.columns and langid.identified(docs, model, least=0.0).count() == 12
+    assert langid.train(docs.limit(0)) is None and langid.predict(docs.limit(0), None).collect() == []
+    assert {r["lang_pred"] for r in langid.predict(docs, None).collect()} == {"und"}
+
+
+def test_large_layers_are_scanned_in_windows(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_INFLATED", 1 << 16)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    inner = base64.b64encode(b"api_key=INNER0123456789").decode()
+    filler = " ".join(f"w{i}" for i in range(60_000))
+    plain = f"password=first12345678 {filler} {inner} {filler} token: last9876543210"
+    packed = base64.b64encode(gzip.compress(plain.encode())).decode()
+    base, spans, layers, further = secrets.find_secrets(f"x {packed} y")
+    assert base == [] and spans == [("assign", 2, 2 + len(packed))] and further >= 10
+    windows = list(secrets._inflate(base64.b64decode(packed)))
+    assert max(map(len, windows)) <= (1 << 16) and b"first12345678" in windows[0] and b"last9876543210" in windows[-1]
+    assert any(inner.encode() in w for w in windows)
+
+
+def test_secrets_edge_cases(spark):
+    token = base64.b64encode(b"secret = abcdefgh1234").decode()
+    long = "padding " * 30_000 + "%70assword=hunter2hunter2 " + token
+    rows = [(1, f"/v1/blob/{token}"), (1, f"/v1/blob/{token}"), (2, None), (3, ""), (None, "AKIA" + "A" * 16), (4, long)]
+    docs = spark.createDataFrame([(i, t, "s", 5) for i, t in rows], "doc_id long, text string, spans string, layers int")
+    found = secrets.scan_secrets(docs).collect()
+    assert len(found) == 6 and {r["spans"] for r in found if r["doc_id"] == 1} == {f"assign:9:{9 + len(token)}"}
+    assert {(r["n_assign"], r["spans"]) for r in found if r["doc_id"] in (2, 3)} == {(0, "")}
+    start = 8 * 30_000
+    assert [r["spans"] for r in found if r["doc_id"] == 4] == [f"assign:{start}:{start + 25},assign:{start + 26}:{start + 26 + len(token)}"]
+    assert secrets.scan_secrets(docs.limit(0)).collect() == []
+    clean = {r["doc_id"]: r for r in secrets.redact_secrets(docs).collect()}
+    assert clean[None]["text"] == "[access]" and clean[2]["text"] is None and clean[1]["text"] == "/v1/blob/[assign]" and clean[1]["spans"] == "s"
+    assert clean[4]["text"].endswith("[assign] [assign]")
