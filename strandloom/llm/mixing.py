@@ -31,7 +31,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
     min(max_repeats * size, level * weight); the level at which the targets sum
     to the budget is what resharing the excess over and over ends at. Sorted by
     max_repeats * size / weight, the capped sources come first, so one scan of
-    the (short) source table finds it.
+    the source table finds it. That table has a row of a few numbers for each
+    distinct source, however many documents there are; the scan is one task, so
+    sources are expected in thousands, and millions take some seconds.
     """
     everything = Window.orderBy("ratio", "rank")
     ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
