@@ -12,17 +12,18 @@ without words stay.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import aside, pin, small
-from .setjoin import blocked_links, by_bytes, candidates, class_filter, components, distinct_sets, line_words, passes, sampled_tokens, shingle_hashes, slices
+from .setjoin import blocked_links, by_bytes, candidates, components, distinct_sets, filter_places, filter_words, line_words, sampled_tokens, shingle_hashes, slices
 
 #: Lines that one task joins with each other at a time; their sets are small.
 BLOCK = 8_192
 LAST = (1 << 63) - 1
+#: Words that the filter of texts that lose lines has at most; it is broadcast.
+FILTER_WORDS = 1 << 20
 
 
 def sets_of(k: int):
@@ -80,15 +81,15 @@ def drop_repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     names, own = docs.columns, aside(docs)
     at = names.index(text_col)
     keyed = own.withColumns({"_d": F.coalesce(F.col(f"_{names.index(id_col)}").cast("long"), F.lit(LAST)), "_k": F.xxhash64(f"_{at}")})
-    # Only texts that may lose lines go through the join and the tasks that cut; a filter of bounded size lets all others by.
-    name = F.xxhash64("_d", "_k")
-    bits = docs.sparkSession.sparkContext.broadcast(class_filter(by_doc.select(F.xxhash64("_doc", "_key").alias("class"))))
-
-    @F.pandas_udf("boolean")
-    def touched(x: pd.Series) -> pd.Series:
-        return pd.Series(passes(bits.value, x.to_numpy(dtype=np.int64)))
-
-    joined = keyed.filter(touched(name)).join(by_doc, (F.col("_d") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select(*own.columns, "_gone")
+    # Only texts that may lose lines go through the join and the tasks that cut; a filter of at most FILTER_WORDS rows lets all others by.
+    words, size = filter_words(by_doc.select(F.xxhash64("_doc", "_key").alias("class")), FILTER_WORDS)
+    words = pin(words)
+    keyed = keyed.withColumn("_h", F.xxhash64("_d", "_k"))
+    touched = F.lit(True)
+    for i, (word, bit) in enumerate(filter_places("_h", size)):
+        keyed = keyed.withColumn("_w", word).join(F.broadcast(words.select(F.col("w").alias("_w"), F.col("b").alias(f"_b{i}"))), "_w", "left").drop("_w")
+        touched &= F.coalesce(F.col(f"_b{i}").bitwiseAND(bit) != 0, F.lit(False))
+    joined = keyed.filter(touched).join(by_doc, (F.col("_d") == F.col("_doc")) & (F.col("_k") == F.col("_key")), "left").select(*own.columns, "_gone")
 
     def cut(batches):
         for batch in slices(batches, 256):
@@ -112,5 +113,5 @@ def drop_repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     added = ["n_lines", "n_removed"] if counts else []
     text = F.col(f"_{at}")
     unchanged = [F.regexp_count(text, F.lit("\n")).cast("int") + 1, F.lit(0)]
-    whole = keyed.filter(~touched(name)).select(*own.columns, *[c.alias(x) for c, x in zip(unchanged, ("lines", "removed")[: len(added)], strict=False)])
+    whole = keyed.filter(~touched).select(*own.columns, *[c.alias(x) for c, x in zip(unchanged, ("lines", "removed")[: len(added)], strict=False)])
     return whole.unionAll(joined.mapInArrow(cut, whole.schema)).toDF(*names, *added)

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pin, small
@@ -185,13 +185,24 @@ def by_bytes(batches, column: int, limit: int = BATCH_BYTES):
 FILTER = 1 << 14, 1 << 22
 
 
+def filter_places(column: str, size: int) -> tuple[tuple[Column, Column], tuple[Column, Column]]:
+    """(word, bit) of the two marks that a hash has in a Bloom filter of ``size`` words."""
+    word = lambda shift: F.shiftrightunsigned(column, shift).bitwiseAND(size - 1)
+    bit = lambda shift: F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {shift}) & 63 as int))")
+    return (word(6), bit(0)), (word(34), bit(28))
+
+
+def filter_words(classes: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """(w, b): the words of a Bloom filter of the column ``class`` that are not 0; and their number in all, ``most`` at most."""
+    size = min(max(FILTER[0], 1 << (classes.count() // 4).bit_length()), most)
+    marks = classes.select(F.explode(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in filter_places("class", size)])).alias("m"))
+    return marks.groupBy("m.w").agg(F.bit_or("m.b").alias("b")), size
+
+
 def class_filter(classes: DataFrame) -> np.ndarray:
     """A Bloom filter of the column ``class``, put together by the executors; at most FILTER[1] words come to the driver."""
-    size = min(max(FILTER[0], 1 << (classes.count() // 4).bit_length()), FILTER[1])
-    word = lambda shift: F.shiftrightunsigned("class", shift).bitwiseAND(size - 1)
-    bit = lambda shift: F.expr(f"shiftleft(1L, cast(shiftrightunsigned(class, {shift}) & 63 as int))")
-    marks = classes.select(F.explode(F.array(F.struct(word(6).alias("w"), bit(0).alias("b")), F.struct(word(34).alias("w"), bit(28).alias("b")))).alias("m"))
-    found = marks.groupBy("m.w").agg(F.bit_or("m.b").alias("b")).toPandas()
+    words, size = filter_words(classes, FILTER[1])
+    found = words.toPandas()
     out = np.zeros(size, dtype=np.int64)
     out[found["w"].to_numpy(dtype=np.int64)] = found["b"].to_numpy(dtype=np.int64)
     return out.view(np.uint64)
@@ -216,7 +227,7 @@ def first_seen(classes: np.ndarray, seen: set) -> np.ndarray:
 #: One in so many (token, class) pairs is counted to find the heavy tokens; a token is one from so many such pairs on, or from this share of them.
 SAMPLED, LEAST_SAMPLED, HEAVIEST = 64, 32, 1 << 18
 #: Tokens that one part of the counting holds about, and that a task gathers before it sends them.
-PART_TOKENS, CHUNK_TOKENS = 1 << 22, 1 << 21
+PART_TOKENS, CHUNK_TOKENS = 1 << 22, 1 << 19
 
 
 def sampled_tokens(tokens: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> pa.Array:
