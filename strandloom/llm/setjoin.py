@@ -227,7 +227,7 @@ def first_seen(classes: np.ndarray, seen: set) -> np.ndarray:
 #: One in so many (token, class) pairs is counted to find the heavy tokens; a token is one from so many such pairs on, or from this share of them.
 SAMPLED, LEAST_SAMPLED, HEAVIEST = 64, 32, 1 << 18
 #: Tokens that one part of the counting holds about, and that a task gathers before it sends them.
-PART_TOKENS, CHUNK_TOKENS = 1 << 22, 1 << 19
+PART_TOKENS, CHUNK_TOKENS = 1 << 22, 1 << 20
 
 
 def sampled_tokens(tokens: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> pa.Array:
