@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, pin
 
-__all__ = ["WORD", "aside", "ensure_checkpoint_dir", "pin", "running_totals", "small"]
+__all__ = ["WORD", "aside", "discard", "ensure_checkpoint_dir", "pin", "running_totals", "small", "stored"]
 
 #: A table is broadcast only after it was counted and found to have no more rows, and in its texts, bytes and arrays no more items, than this.
 BROADCAST_ROWS, BROADCAST_ITEMS = 100_000, 4 << 20
@@ -48,3 +50,20 @@ def running_totals(df: DataFrame, keys: list[str], order: str, values: dict[str,
 def aside(df: DataFrame) -> DataFrame:
     """``df`` with its columns named ``_0``, ``_1``, ..., so that none clashes with a helper column; ``toDF`` names them back."""
     return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the shared checkpoint folder and read from there, so that later steps read only the columns they need."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``stored`` that nothing reads any more."""
+    spark = table.sparkSession
+    for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
