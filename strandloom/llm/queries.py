@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fingerprint, jaccard, langid, linedup, mixing, oracles, packing, prefix_trie, secrets, token_counts, vector_codes, warc
+from . import ann, class_lm, fingerprint, jaccard, langid, linedup, mixing, oracles, packing, prefix_trie, secrets, token_counts, vector_codes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,11 +59,15 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_class_lm(spark, sf_dir):
+    return class_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark, sf_dir):
     return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op4_jaccard, op5_secrets, op6_fingerprint, op7_linedup, op8_langid, op9_ann, op10_token_counts, op11_prefix_trie, op13_vector_codes)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_packing, op4_jaccard, op5_secrets, op6_fingerprint, op7_linedup, op8_langid, op9_ann, op10_token_counts, op11_prefix_trie, op12_class_lm, op13_vector_codes)}
 
 # The rows of the other queries depend on digests, encoders or trained models that SQL does not have, or on joins it
 # cannot run over whole tables; tests hold each against brute force on small tables.
