@@ -251,6 +251,11 @@ def utc_seconds(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def stem_of_path(path: Column) -> Column:
+    """A file's name without its last ending, which is the source of an annotation file."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
+
+
 def source_from_path(path: Column) -> Column:
     """The part of a file name before the first underscore."""
     return F.split(F.element_at(F.split(path, "/"), -1), "_")[0]

@@ -50,14 +50,14 @@ def kmer_totals(rows: DataFrame, k: int, text_col: str, group: str) -> DataFrame
 def kmer_cosine(counts: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
     """(a, b, cosine) of each listed pair of ids; 0 if they share no k-mer.
 
-    The counts of the listed ids alone are taken, once, and kept for the three
-    places that need them; the semi-join goes below the aggregate that makes them.
+    The counts of the listed ids alone are taken. Each id's counts are one map,
+    which is no larger than its text, so pairs are joined by id only and a pair's
+    product is made in its row.
     """
     listed = pairs.select(F.col("a").alias(id_col)).union(pairs.select("b")).distinct()
-    counts = pin(counts.join(listed, id_col, "left_semi"))
-    norms = counts.groupBy(F.col(id_col).alias("id")).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
-    left = counts.select(F.col(id_col).alias("a"), "kmer", F.col("n").alias("na"))
-    right = counts.select(F.col(id_col).alias("b"), "kmer", F.col("n").alias("nb"))
-    dots = pairs.join(left, "a").join(right, ["b", "kmer"]).groupBy("a", "b").agg(F.sum(F.col("na") * F.col("nb")).alias("dot"))
-    out = pairs.join(dots, ["a", "b"], "left").join(norms.toDF("a", "norm_a"), "a", "left").join(norms.toDF("b", "norm_b"), "b", "left")
-    return out.select("a", "b", F.coalesce(F.col("dot") / (F.col("norm_a") * F.col("norm_b")), F.lit(0.0)).alias("cosine"))
+    mine = counts.join(listed, id_col, "left_semi").groupBy(F.col(id_col).alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("kmer", "n"))).alias("of"), F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    mine = pin(mine)
+    out = pairs.join(mine.toDF("a", "of_a", "norm_a"), "a", "left").join(mine.toDF("b", "of_b", "norm_b"), "b", "left")
+    shared = F.map_zip_with("of_a", "of_b", lambda _, x, y: F.coalesce(x * y, F.lit(0)))
+    dot = F.aggregate(F.map_values(shared), F.lit(0).cast("long"), lambda s, x: s + x)
+    return out.select("a", "b", F.coalesce(dot / (F.col("norm_a") * F.col("norm_b")), F.lit(0.0)).alias("cosine"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import pin
 from .pairs import dense_index
 
 
@@ -35,13 +36,20 @@ def negatives_for(phages: DataFrame, hosts: DataFrame, positives: DataFrame, rat
     """
     wanted = int(positives.count() * ratio)
     spark = positives.sparkSession
-    p, h = dense_index(phages.select("Phage_ID").distinct(), ["Phage_ID"], "_p"), dense_index(hosts.select("Host_ID").distinct(), ["Host_ID"], "_h")
+    p, h = pin(dense_index(phages.select("Phage_ID").distinct(), ["Phage_ID"], "_p")), pin(dense_index(hosts.select("Host_ID").distinct(), ["Host_ID"], "_h"))
     n_phages, n_hosts = p.count(), h.count()
     if not wanted or not n_phages or not n_hosts:
         return p.select("Phage_ID").join(h.select("Host_ID"), F.lit(False))
-    draws = spark.range(wanted * attempts).select(F.col("id").alias("_i"), (hash_number(F.col("id"), F.lit("p"), F.lit(seed)) % n_phages).alias("_p"), (hash_number(F.col("id"), F.lit("h"), F.lit(seed)) % n_hosts).alias("_h"))
-    named = draws.join(p, "_p").join(h, "_h").groupBy("Phage_ID", "Host_ID").agg(F.min("_i").alias("_i"))
-    good = named.join(positives.select("Phage_ID", "Host_ID").distinct(), ["Phage_ID", "Host_ID"], "left_anti")
+    known = pin(positives.select("Phage_ID", "Host_ID").distinct())
+    drawn, found, good = 0, 0, None
+    while found < wanted and drawn < wanted * attempts:
+        # As many as are missing, and some more for repeats and positives; numbers go on where the last attempt ended.
+        more = min(max(1_000, int(1.2 * (wanted - found))), wanted * attempts - drawn)
+        number = spark.range(drawn, drawn + more).select(F.col("id").alias("_i"), (hash_number(F.col("id"), F.lit("p"), F.lit(seed)) % n_phages).alias("_p"), (hash_number(F.col("id"), F.lit("h"), F.lit(seed)) % n_hosts).alias("_h"))
+        named = number.join(p, "_p").join(h, "_h").groupBy("Phage_ID", "Host_ID").agg(F.min("_i").alias("_i"))
+        fresh = named.join(known, ["Phage_ID", "Host_ID"], "left_anti")
+        good = pin(fresh if good is None else good.unionByName(fresh.join(good, ["Phage_ID", "Host_ID"], "left_anti")))
+        drawn, found = drawn + more, good.count()
     return dense_index(good, ["_i"], "_at").filter(F.col("_at") < wanted).select("Phage_ID", "Host_ID")
 
 
@@ -77,7 +85,7 @@ def sample_by_hash(rows: DataFrame, keys: list[str], n: int, seed: int = 42) ->
     border falls into is ranked.
     """
     order = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
-    hashed = rows.withColumn("_o", order).withColumn("_b", F.conv(F.substring("_o", 1, 4), 16, 10).cast("int"))
+    hashed = pin(rows.withColumn("_o", order).withColumn("_b", F.conv(F.substring("_o", 1, 4), 16, 10).cast("int")))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = hashed.groupBy("_b").agg(F.count("*").alias("_n")).withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     placed = hashed.join(F.broadcast(starts.filter(F.col("_s") < n)), "_b")
@@ -97,10 +105,16 @@ def shuffled(rows: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
     return rows.orderBy(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))), *keys)
 
 
+def shuffled_places(rows: DataFrame, keys: list[str], name: str = "place", seed: int = 42) -> DataFrame:
+    """``rows`` with their places, from 0, in the order of ``shuffled``."""
+    ordered = shuffled(rows, keys, seed).withColumn("_o", F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))))
+    return dense_index(ordered, ["_o", *keys], name).drop("_o")
+
+
 def balanced_dataset(positives: DataFrame, negatives: list[DataFrame], ratio: float = 1.0, seed: int = 42) -> DataFrame:
     """(Phage_ID, Host_ID, label): positives and int(n * ratio) negatives, shared evenly among the kinds, the rest to the last; ``shuffled`` puts them in random order."""
     keys = ["Phage_ID", "Host_ID"]
-    good = positives.select(*keys).distinct()
+    good = pin(positives.select(*keys).distinct())
     wanted = int(good.count() * ratio)
     each = wanted // len(negatives)
     out, left = good.withColumn("label", F.lit(1)), wanted
@@ -109,7 +123,7 @@ def balanced_dataset(positives: DataFrame, negatives: list[DataFrame], ratio: fl
         n = left if i == len(negatives) - 1 else each
         rows = kind.select(*keys).distinct()
         part = sample_by_hash(rows if bad is None else rows.join(bad, keys, "left_anti"), keys, n, seed)
-        bad, left = part if bad is None else bad.unionByName(part), left - n
+        bad, left = pin(part if bad is None else bad.unionByName(part)), left - n
     return out.unionByName(bad.withColumn("label", F.lit(0)))
 
 

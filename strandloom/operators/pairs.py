@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.guards import check_fragment, split_fragment
 from ..functions.scalars import source_type
 from ..session import pin
+from ..sources.writers import write_table
 
 Star = dict[str, DataFrame]
 # The columns that structured filters may name.
@@ -37,13 +38,17 @@ def apply_fragment(rows: DataFrame, fragment: str | None, limit: int | None = No
 
 
 def structured(alias: str, filters: dict | None, allowed: tuple[str, ...], aliases: dict[str, str] | None = None) -> list[Column]:
-    """Conditions of column -> value: LIKE if the value has a percent sign, else equality without regard to case. Values are bound, not spliced."""
+    """Conditions of column -> value: LIKE if the value has a percent sign, else equality without regard to case; ("ilike", pattern) is LIKE without regard to case. Values are bound, not spliced."""
     out = []
     for name, value in (filters or {}).items():
         real = (aliases or {}).get(name, name)
         if real not in allowed:
             raise ValueError(f"unknown filter column {name!r}; allowed: {', '.join(sorted(allowed))}")
-        column, text = F.col(f"{alias}.{real}").cast("string"), str(value)
+        column = F.col(f"{alias}.{real}").cast("string")
+        if isinstance(value, tuple) and value[0] == "ilike":
+            out.append(column.ilike(str(value[1]).replace("\\", "\\\\")))
+            continue
+        text = str(value)
         out.append(column.like(text.replace("\\", "\\\\")) if "%" in text else F.lower(column) == F.lower(F.lit(text)))
     return out
 
@@ -179,6 +184,30 @@ def indexed(pairs: DataFrame, phage_sequences: DataFrame, host_sequences: DataFr
     return placed.join(p, "Phage_ID", "left").join(h, "Host_ID", "left")
 
 
+def write_samples(samples: DataFrame, path: str) -> None:
+    """``indexed`` samples, sorted by position, so that a span of positions is a few row groups."""
+    write_table(samples, path, cluster_by="idx")
+
+
+def shard_bounds(n: int, reader: int, readers: int) -> tuple[int, int]:
+    """The positions from the first up to but without the second that are a reader's; sizes differ by one at most."""
+    if not 0 <= reader < readers:
+        raise ValueError(f"reader {reader} of {readers}")
+    return reader * n // readers, (reader + 1) * n // readers
+
+
+def shard(spark: SparkSession, path: str, reader: int = 0, readers: int = 1) -> DataFrame:
+    """A reader's samples of a table of ``write_samples``, in order: shards are disjoint, and together they are all. The scan skips what is other readers'."""
+    samples = spark.read.parquet(path)
+    first, end = shard_bounds((samples.agg(F.max("idx")).first()[0] or -1) + 1 if not samples.isEmpty() else 0, reader, readers)
+    return samples.filter((F.col("idx") >= first) & (F.col("idx") < end)).orderBy("idx")
+
+
+def shard_batches(spark: SparkSession, path: str, size: int, reader: int = 0, readers: int = 1) -> Iterator[list[dict]]:
+    """Lists of ``size`` samples of a reader's shard."""
+    return batches(shard(spark, path, reader, readers), size)
+
+
 def at_indexes(rows: DataFrame, wanted: list[int]) -> list[dict]:
     """The samples at some positions of ``indexed``, in the order asked for; a position beyond the end is an error."""
     found = {r["idx"]: r.asDict() for r in rows.filter(F.col("idx").isin(wanted)).collect()}

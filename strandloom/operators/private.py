@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import pin
 from ..sources import files, readers
-from .reshape import entity_attributes
+from ..sources.versions import PartitionedTable
+from ..sources.writers import fasta_text
+from .reshape import entity_attributes, union_all
 
 # What a private source must have.
 MANDATORY = ("Phage_ID", "Host_ID", "Host_name", "Source_DB", "interaction")
@@ -103,16 +108,27 @@ def validate(name: str, metadata: DataFrame, phage_ids: DataFrame, host_records:
 
 
 def discover_sources(spark: SparkSession, roots: list[str], excluded: list[str] = ()) -> list[str]:
-    """Folders right below the roots, sorted within each root; each place once, roots that are absent skipped."""
+    """Folders right below the roots, sorted within each root; each place once, however links lead to it; roots that are absent skipped."""
     out: dict[str, None] = {}
-    away = {files.qualified(spark, p) for p in excluded}
+    away = {files.resolved(spark, p) for p in excluded}
     for root in roots:
         for x in files.listed(spark, root):
-            if x.is_folder and x.path not in away:
-                out.setdefault(x.path)
+            place = files.resolved(spark, x.path)
+            if x.is_folder and place not in away:
+                out.setdefault(place)
     return list(out)
 
 
+def host_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Host -> its file; of several the first suffix counts."""
+    found, chosen = files.listed(spark, f"{folder}/{HOSTS}"), {}
+    for suffix in HOST_SUFFIXES:
+        for x in found:
+            if x.name.endswith(suffix):
+                chosen.setdefault(x.name.removesuffix(suffix), x.path)
+    return chosen
+
+
 def read_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
     """(metadata with numbered rows, sequence ids, host records (Host_ID, id), whether there is a folder of hosts).
 
@@ -120,14 +136,9 @@ def read_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     breaks; so its rows come in order. Of several files of a host the first
     suffix counts.
     """
-    metadata = readers.delimited(spark, f"{folder}/{METADATA}", keep_empty=True).withColumn(ROW, F.monotonically_increasing_id())
+    metadata = readers.delimited(spark, f"{folder}/{METADATA}", keep_empty=True, line_breaks=True).withColumn(ROW, F.monotonically_increasing_id())
     ids = readers.fasta(spark, f"{folder}/{SEQUENCES}").select("id")
-    found = files.listed(spark, f"{folder}/{HOSTS}")
-    chosen: dict[str, str] = {}
-    for suffix in HOST_SUFFIXES:
-        for x in found:
-            if x.name.endswith(suffix):
-                chosen.setdefault(x.name.removesuffix(suffix), x.path)
+    chosen = host_files(spark, folder)
     if chosen:
         stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.(fna|fasta|fa)$", "")
         hosts = readers.fasta(spark, list(chosen.values())).select(F.url_decode(stem).alias("Host_ID"), "id")
@@ -176,12 +187,14 @@ def build_manifest(spark: SparkSession, roots: list[str], excluded: list[str] =
     return {"roots": list(roots), "sources_found": len(found), "sources_valid": n, "sources_invalid": len(found) - n, "sources": sources}
 
 
-def ingest(star: dict[str, DataFrame], metadata: DataFrame) -> dict[str, DataFrame]:
-    """The star with exactly the private rows that ``metadata`` describes: gone sources vanish, and nothing doubles.
+PRIVATE_TABLES = ("private_interactions", "private_phage_host_associations", "private_entity_attributes", "private_hosts", "fact_phages")
 
-    A pure function: run it again and the result is the same. Of rows with equal
-    keys the first counts, whole: by the row number if ``metadata`` has one,
-    else by all columns.
+
+def private_rows(metadata: DataFrame) -> dict[str, DataFrame]:
+    """The rows that sources add to each of PRIVATE_TABLES.
+
+    Of rows with equal keys the first counts, whole: by the row number if
+    ``metadata`` has one, else by all columns.
     """
     extras = [c for c in metadata.columns if c not in (*MANDATORY, ROW)]
     rows = metadata.withColumn("interaction", F.lower("interaction"))
@@ -192,17 +205,125 @@ def ingest(star: dict[str, DataFrame], metadata: DataFrame) -> dict[str, DataFra
         best = table.groupBy(*keys).agg(F.min(order.alias("o")).alias("_f"))
         return best.select(*keys, *[F.col(f"_f.`{c}`").alias(c) for c in rest])
 
-    out = dict(star)
-    public = lambda t: star[t].filter(F.coalesce("source_type", F.lit("")) != "private")
     private = F.lit("private").alias("source_type")
-    fact = first(rows, ["Phage_ID", "Source_DB"]).select("Phage_ID", "Source_DB", F.col("interaction").alias("Lifestyle"), F.col("Host_name").alias("Host"), private)
-    out["fact_phages"] = public("fact_phages").unionByName(fact, allowMissingColumns=True)
     known = rows.filter(F.lower("Host_ID") != UNKNOWN_HOST)
-    hosts = first(known, ["Host_ID"]).select("Host_ID", F.col("Host_name").alias("Species_Name"), F.col("Source_DB").alias("Source"), private)
+    whole = first(rows, ["Phage_ID", "Host_ID", "Source_DB"])
+    return {
+        "fact_phages": first(rows, ["Phage_ID", "Source_DB"]).select("Phage_ID", "Source_DB", F.col("interaction").alias("Lifestyle"), F.col("Host_name").alias("Host"), private),
+        "private_hosts": first(known, ["Host_ID"]).select("Host_ID", F.col("Host_name").alias("Species_Name"), F.col("Source_DB").alias("Source"), private),
+        "private_interactions": whole.select("Phage_ID", "Host_ID", "Host_name", "interaction", "Source_DB", private),
+        "private_phage_host_associations": known.select("Phage_ID", "Host_ID", "Source_DB", private).distinct(),
+        "private_entity_attributes": entity_attributes(whole, extras),
+    }
+
+
+def with_private(star: dict[str, DataFrame], rows: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with exactly the private rows of ``private_rows``; a host that is public stays so."""
+    out = dict(star)
+    public = lambda t: star[t].filter(F.coalesce("source_type", F.lit("")) != "private")
+    out["fact_phages"] = public("fact_phages").unionByName(rows["fact_phages"], allowMissingColumns=True)
     if "dim_hosts" in star:
+        hosts = rows["private_hosts"].groupBy("Host_ID").agg(F.min(F.struct("Source", "Species_Name", "source_type")).alias("h")).select("Host_ID", "h.Species_Name", "h.Source", "h.source_type")
         out["dim_hosts"] = public("dim_hosts").unionByName(hosts.join(public("dim_hosts").select("Host_ID"), "Host_ID", "left_anti"), allowMissingColumns=True)
-    whole = first(rows, ["Phage_ID", "Host_ID", "Source_DB"])
-    out["private_interactions"] = whole.select("Phage_ID", "Host_ID", "Host_name", "interaction", "Source_DB", private)
-    out["private_phage_host_associations"] = known.select("Phage_ID", "Host_ID", "Source_DB", private).distinct()
-    out["private_entity_attributes"] = entity_attributes(whole, extras)
+    return out | {t: rows[t] for t in ("private_interactions", "private_phage_host_associations", "private_entity_attributes")}
+
+
+def ingest(star: dict[str, DataFrame], metadata: DataFrame) -> dict[str, DataFrame]:
+    """The star with exactly the private rows that ``metadata`` describes: gone sources vanish, and nothing doubles.
+
+    A pure function: run it again and the result is the same.
+    """
+    return with_private(star, private_rows(metadata))
+
+
+def _part(name: str) -> str:
+    return hashlib.md5(name.encode()).hexdigest()
+
+
+def stored_private(spark: SparkSession, path: str) -> dict[str, PartitionedTable]:
+    """The private tables on disk, a part per source."""
+    return {t: PartitionedTable(spark, f"{path}/{t}") for t in PRIVATE_TABLES}
+
+
+def sync_sources(spark: SparkSession, path: str, roots: list[str], excluded: list[str] = ()) -> dict[str, list]:
+    """Make the stored private tables agree with the sources there are: {"written", "removed", "unchanged", "skipped"}.
+
+    A source whose fingerprint is the stored one is not read again; parts of
+    changed and new sources are written, those of gone ones and of sources that
+    are no longer valid dropped. ``fact_phages`` keeps the fingerprints and goes
+    last, so a run that dies is made up for by the next one.
+    """
+    manifest = build_manifest(spark, roots, excluded)
+    valid = {s["source_db"]: s for s in manifest["sources"] if s["is_valid"]}
+    tables = stored_private(spark, path)
+    before = dict(json.loads(note) for note in tables["fact_phages"].notes().values())
+    changed = [n for n, s in valid.items() if before.get(n) != s["fingerprint"]]
+    gone = sorted(set(before) - set(valid))
+    out = {
+        "written": sorted(changed),
+        "removed": gone,
+        "unchanged": sorted(set(valid) - set(changed)),
+        "skipped": [{"source_db": s["source_db"], "source_dir": s["source_dir"], "errors": s["errors"]} for s in manifest["sources"] if not s["is_valid"]],
+    }
+    if not changed and not gone:
+        return out
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in MANDATORY))
+    each = [private_rows(read_source(spark, valid[n]["source_dir"])[0]) for n in changed] or [private_rows(empty)]
+    for name in PRIVATE_TABLES:
+        rows = union_all([e[name] for e in each])
+        source = F.col("Source" if name == "private_hosts" else "Source_DB")
+        tables[name].replace(rows, F.md5(source.cast("binary")), [*map(_part, changed), *map(_part, gone)], {_part(n): json.dumps([n, valid[n]["fingerprint"]]) for n in changed})
     return out
+
+
+def remove_source(spark: SparkSession, path: str, name: str) -> None:
+    """Drop a source's part of every stored private table; other parts are not touched."""
+    for table in stored_private(spark, path).values():
+        if (rows := table.read([])) is not None:
+            table.replace(rows, F.lit(""), [_part(name)])
+
+
+def stored_rows(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
+    """What ``with_private`` takes, from the stored tables; None if nothing was stored yet."""
+    rows = {name: table.read() for name, table in stored_private(spark, path).items()}
+    return None if any(r is None for r in rows.values()) else rows
+
+
+def write_artifacts(spark: SparkSession, manifest: dict, folder: str) -> dict[str, int]:
+    """Sequence files for lookups in the valid sources of a manifest, and seven counters.
+
+    ``folder``/phages/source=<name>/ gets the records of each source's phages as
+    FASTA; ``folder``/phage_mapping.json names them by source, and
+    ``folder``/host_mapping.json the file of each host. Of sources with a file
+    for one host the first counts; the others are identical to it or conflicting,
+    by the files' SHA-256. Records are copied in one job for all sources.
+    """
+    sources = [s for s in manifest["sources"] if s["is_valid"]]
+    stats = dict.fromkeys(("sources_processed", "phages_written", "hosts_written", "host_duplicates_identical", "host_duplicates_conflicting", "missing_phage_ids", "missing_host_ids"), 0)
+    stats["sources_processed"] = len(sources)
+    phage_mapping, host_mapping = {}, {}
+    if sources:
+        read = [(i, s["source_db"], readers.delimited(spark, f"{s['source_dir']}/{METADATA}", keep_empty=True, line_breaks=True)) for i, s in enumerate(sources)]
+        wanted = pin(union_all([m.select(F.lit(i).alias("_at"), F.lit(n).alias("source"), F.trim("Phage_ID").alias("id"), F.trim("Host_ID").alias("Host_ID")) for i, n, m in read]))
+        records = union_all([readers.fasta(spark, f"{s['source_dir']}/{SEQUENCES}").withColumn("source", F.lit(s["source_db"])) for s in sources])
+        phages = wanted.select("source", "id").distinct()
+        chosen = pin(records.join(phages, ["source", "id"], "left_semi").select("source", "id", "header", "sequence"))
+        chosen.select("source", fasta_text(F.col("header"), F.col("sequence")).alias("value")).write.mode("overwrite").partitionBy("source").text(f"{folder}/phages")
+        stats["phages_written"] = chosen.count()
+        stats["missing_phage_ids"] = phages.join(chosen.select("source", "id"), ["source", "id"], "left_anti").count()
+        phage_mapping = {s["source_db"]: f"{folder}/phages/source={s['source_db']}" for s in sources}
+        there = [(i, s["source_db"], stem, path) for i, s in enumerate(sources) for stem, path in host_files(spark, s["source_dir"]).items()]
+        with_hosts = [s["source_db"] for s in sources if any(x.name == HOSTS and x.is_folder for x in files.listed(spark, s["source_dir"]))]
+        hosts = wanted.select("_at", "source", "Host_ID").distinct().filter(F.col("source").isin(with_hosts))
+        found = pin(hosts.join(spark.createDataFrame(there, "_at int, source string, Host_ID string, path string"), ["_at", "source", "Host_ID"], "left"))
+        stats["missing_host_ids"] = found.filter("path IS NULL").count()
+        if paths := sorted({p for *_, p in there}):
+            digests = files.file_digests(spark, paths).select(F.url_decode("path").alias("path"), "sha256")
+            digested = found.filter("path IS NOT NULL").join(digests, F.url_decode(found["path"]) == digests["path"]).select("_at", "Host_ID", found["path"], "sha256")
+            first = digested.groupBy("Host_ID").agg(F.min(F.struct("_at", "path", "sha256")).alias("f"))
+            kinds = digested.join(first, "Host_ID").groupBy(F.when(F.col("_at") == F.col("f._at"), "hosts_written").when(F.col("sha256") == F.col("f.sha256"), "host_duplicates_identical").otherwise("host_duplicates_conflicting").alias("kind")).count()
+            stats |= {r["kind"]: r["count"] for r in kinds.collect()}
+            host_mapping = {r[0]: r[1] for r in first.select("Host_ID", "f.path").collect()}  # no more rows than files that were listed
+    files.write_text(spark, f"{folder}/phage_mapping.json", json.dumps(dict(sorted(phage_mapping.items())), indent=2))
+    files.write_text(spark, f"{folder}/host_mapping.json", json.dumps(dict(sorted(host_mapping.items())), indent=2))
+    return stats

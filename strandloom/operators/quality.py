@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DIMENSIONS
+from .quantiles import exact_quantiles, one_row
+from .views import share_of_total
 
 KEYS = {
     "fact_phages": ["Phage_ID"],
@@ -68,15 +70,17 @@ def typed_stats(table: DataFrame, kind: str, mean: str, top: int | None = None)
 
 
 def described(rows: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of the numeric columns, a row per column."""
+    """Count, mean, deviation, extremes and quartiles of the numeric columns, a row per column; quartiles are exact and made without gathering a column."""
     numeric = [n for n, t in rows.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")]
 
     def one(i: int, name: str):
         c = F.col(f"`{name}`").cast("double")
-        at = [F.percentile(c, q).alias(f"p{round(100 * q)}") for q in (0.25, 0.5, 0.75)]
-        return F.struct(F.lit(name).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("stddev"), F.min(c).alias("min"), *at, F.max(c).alias("max")).alias(f"_{i}")
+        return F.struct(F.lit(name).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("stddev"), F.min(c).alias("min"), F.max(c).alias("max")).alias(f"_{i}")
 
-    return rows.agg(*[one(i, n) for i, n in enumerate(numeric)]).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(numeric))])))
+    facts = rows.agg(*[one(i, n) for i, n in enumerate(numeric)]).select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(numeric))])))
+    at = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+    found = exact_quantiles(rows, numeric, list(at)).groupBy("column_name").agg(*[F.max(F.when(F.col("share") == q, F.col("value"))).alias(n) for q, n in at.items()])
+    return facts.join(found, "column_name", "left").select("column_name", "n", "mean", "stddev", "min", *at.values(), "max")
 
 
 def duplicate_keys(table: DataFrame, keys: list[str], skip_null: bool = True) -> DataFrame:
@@ -98,7 +102,51 @@ def distribution(table: DataFrame, column: str, top: int | None = None) -> DataF
 
 def number_stats(table: DataFrame, column: str) -> DataFrame:
     c = F.col(column)
-    return table.agg(F.count("*").alias("n_rows"), F.count(c).alias("n_known"), F.min(c).alias("min_value"), F.max(c).alias("max_value"), F.avg(c).alias("avg_value"), F.median(c).alias("median_value"))
+    facts = table.agg(F.count("*").alias("n_rows"), F.count(c).alias("n_known"), F.min(c).alias("min_value"), F.max(c).alias("max_value"), F.avg(c).alias("avg_value"))
+    return facts.join(one_row(exact_quantiles(table, [column], [0.5]), {(column, 0.5): "median_value"}))  # two tables of one row
+
+
+def mean_and_median(rows: DataFrame, group: str, column: str) -> DataFrame:
+    """(group, mean, median) of a column; the median is exact and no group is gathered."""
+    means = rows.groupBy(group).agg(F.avg(column).alias("mean"))
+    medians = exact_quantiles(rows, [column], [0.5], [group]).select(F.col(group).alias("_g"), F.col("value").alias("median"))
+    return means.join(medians, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
+
+
+def pair_correlation(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """Pearson's correlation of two columns as one row."""
+    return pairs.agg(F.corr(left, right).alias("corr"))
+
+
+def first_of_digest(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, first_id): the smallest id with the same text, by MD5; texts do not travel. Null texts are alike."""
+    digested = rows.select(id_col, F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("")).alias("_h"))
+    return digested.join(digested.groupBy("_h").agg(F.min(id_col).alias("first_id")), "_h").drop("_h")
+
+
+def association_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(association, n): rows of ``left`` with and without any row of ``right``; a kind without rows is left out."""
+    marked = left.select(key).join(right.select(key).distinct().withColumn("_f", F.lit(True)), key, "left")
+    return marked.groupBy(F.when(F.col("_f"), "with").otherwise("without").alias("association")).agg(F.count("*").alias("n"))
+
+
+def broad_host_range(edges: DataFrame, phage: str = "Phage_ID", host: str = "Host_ID") -> DataFrame:
+    """(n_hosts, n_phages, pct, broad): how many phages have how many distinct hosts."""
+    ranges = edges.groupBy(phage).agg(F.countDistinct(host).alias("n_hosts"))
+    return share_of_total(ranges, "n_hosts").withColumnRenamed("n", "n_phages").withColumn("broad", F.col("n_hosts") > 1)
+
+
+def coverage_sketches(tables: dict[str, DataFrame], source: str = "Source_DB", key: str = "Phage_ID", lg_k: int = 14) -> DataFrame:
+    """(annotation, source, sketch) of the distinct keys of each table and source: mergeable, so that a new source is added to those stored without another scan."""
+    parts = [t.groupBy(F.col(source).alias("source")).agg(F.hll_sketch_agg(key, lg_k).alias("sketch")).select(F.lit(name).alias("annotation"), "source", "sketch") for name, t in tables.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def sketched_coverage(sketches: DataFrame, total: str) -> DataFrame:
+    """(annotation, n_phages, pct), approximate, over all sources of stored sketches; ``total`` is the annotation that counts as all."""
+    merged = sketches.groupBy("annotation").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_phages"))
+    whole = merged.filter(F.col("annotation") == total).select(F.col("n_phages").alias("_total"))
+    return merged.filter(F.col("annotation") != total).join(F.broadcast(whole)).select("annotation", "n_phages", F.round(F.col("n_phages") * 100.0 / F.col("_total"), 2).alias("pct"))
 
 
 def quality_gate(star: dict[str, DataFrame]) -> DataFrame:

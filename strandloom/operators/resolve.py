@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import assembly_score, base_confidence, best_identifier, confidence, host_id, host_tokens, is_refseq, link_quality, resolution_source, species_name, strip, valid_host
+from ..session import pin
+from ..sources.versions import KeyedTable
 
 
 def candidates(phages: DataFrame) -> DataFrame:
@@ -109,12 +111,59 @@ def upsert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     return table.join(rows.select(*keys).distinct(), keys, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
-def host_records(assemblies: DataFrame, download_date: str) -> DataFrame:
+def resolution_cache(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """(token, assemblies) of every token that was ever looked up, on disk; tokens without any assembly have an empty list."""
+    return KeyedTable(spark, path, ["token"], buckets)
+
+
+def resolve_tokens(tokens: DataFrame, catalog: DataFrame, cache: KeyedTable, top: int = 100) -> DataFrame:
+    """(token, and a row for each of its assemblies with its rank): from the cache what it has, the rest from the catalog, which the cache then keeps.
+
+    ``top`` assemblies of a token at most are kept. Only the parts of the cache
+    that new tokens fall into are rewritten.
+    """
+    wanted = tokens.select(F.col("Host_Token").alias("token")).filter("token IS NOT NULL").distinct()
+    known = cache.lookup(wanted)
+    missing = pin(wanted if known is None else wanted.join(known.select("token"), "token", "left_anti"))
+    if not missing.isEmpty():
+        ranked = ranked_assemblies(catalog.join(missing, "token", "left_semi"), top)
+        one = F.struct("Resolution_Rank", *[c for c in ranked.columns if c not in ("token", "Resolution_Rank")])
+        nested = missing.join(ranked, "token", "left").groupBy("token").agg(F.array_sort(F.collect_list(F.when(F.col("Resolution_Rank").isNotNull(), one))).alias("assemblies"))
+        cache.upsert(nested)
+    return cache.lookup(wanted).select("token", F.inline("assemblies"))
+
+
+def genome_cache(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """Host records with ``path`` and ``status``, one per Host_ID, on disk."""
+    return KeyedTable(spark, path, ["Host_ID"], buckets)
+
+
+def record_downloads(cache: KeyedTable, records: DataFrame, done: DataFrame) -> int:
+    """Put the outcome of downloads into the genome cache; ``done`` is (Host_ID, path, status). Returns how many parts were rewritten."""
+    return cache.upsert(records.join(done.select("Host_ID", "path", "status"), "Host_ID"))
+
+
+def assembly_records(assemblies: DataFrame, downloads: DataFrame, download_date: str, metadata_only: bool = False) -> DataFrame:
+    """Rows of the assembly table, 17 columns; ``downloads`` is (Assembly_Accession, status). Without any download, as when only metadata is wanted, all are successes."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-")) if c in assemblies.columns else F.lit("-")
+    own = lambda c, kind: F.col(c).cast(kind) if c in assemblies.columns else F.lit(None).cast(kind)
+    status = downloads.groupBy(F.col("Assembly_Accession").alias("assembly_accession")).agg(F.max("status").alias("_status"))
+    level, category, latest = F.coalesce(own("assembly_level", "string"), F.lit("Contig")), F.coalesce(own("refseq_category", "string"), F.lit("na")), F.coalesce(own("is_latest", "boolean"), F.lit(True))
+    rows = assemblies.join(status, "assembly_accession", "left")
+    return rows.select(
+        F.col("assembly_accession").alias("Assembly_Accession"), own("assembly_name", "string").alias("Assembly_Name"), own("organism_name", "string").alias("Organism_Name"), own("species_taxid", "long").alias("Species_TaxID"),
+        text("strain").alias("Strain"), level.alias("Assembly_Level"), category.alias("RefSeq_Category"), text("biosample").alias("BioSample"), text("bioproject").alias("BioProject"), text("ftp_path").alias("FTP_Path"),
+        text("submission_date").alias("Submission_Date"), latest.alias("Is_Latest"), assembly_score(category, level, latest).alias("Quality_Score"), is_refseq(F.col("assembly_accession")).alias("Is_RefSeq"),
+        F.when(F.lit(metadata_only) | (F.col("_status") == "success"), "success").otherwise("failed").alias("Download_Status"), F.lit(download_date).alias("Download_Date"), F.lit(metadata_only).alias("Metadata_Only"),
+    )
+
+
+def host_records(assemblies: DataFrame, download_date: str, source: str = "assembly_resolver") -> DataFrame:
     """Rows of the host table; what is missing is a dash."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
     return assemblies.select(
         host_id(F.col("assembly_accession")).alias("Host_ID"), text("organism_name").alias("Species_Name"), text("strain").alias("Strain_Name"), text("assembly_accession").alias("Assembly_Accession"),
-        text("assembly_name").alias("Assembly_Name"), text("assembly_level").alias("Assembly_Level"), text("refseq_category").alias("RefSeq_Category"), F.lit(download_date).alias("Download_Date"),
+        text("assembly_name").alias("Assembly_Name"), text("assembly_level").alias("Assembly_Level"), text("refseq_category").alias("RefSeq_Category"), F.lit(download_date).alias("Download_Date"), F.lit(source).alias("Source"),
         *[text(c).alias(c) for c in ("Genome_Length", "GC_Content") if c in assemblies.columns],
     )
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import gc_percent, letters
+from ..session import pin
+from .prefixes import first_with_prefix
 
 MODES = ("first", "concat", "list", "dict")
 ORDERS = ("length_desc", "file")
@@ -97,9 +99,15 @@ def named_by_folder(records: DataFrame) -> DataFrame:
 
 
 def weighted_gc(records: DataFrame, key: str = "genome_id") -> DataFrame:
-    """(key, GC_Content): the mean of the records' GC shares, weighted by length, in percent; 0 for empty genomes."""
-    gc, n = F.sum(letters(F.col("sequence"), "GCgc")), F.sum(F.length("sequence"))
-    return records.groupBy(key).agg(F.when(n > 0, F.round(gc * 100.0 / n, 2)).otherwise(0.0).alias("GC_Content"))
+    """(key, GC_Content): the mean of the records' GC shares, weighted by length, in percent; 0 for empty genomes.
+
+    A record's share leaves ambiguous letters out and counts S as GC; its weight
+    is its whole length, so GGNN beside AT gives 66.67.
+    """
+    gc, known, n = (F.col(c) for c in ("_gc", "_known", "_n"))
+    each = records.select(key, letters(F.col("sequence"), "GCSgcs").alias("_gc"), letters(F.col("sequence"), "ACGTSWUacgtswu").alias("_known"), F.length("sequence").alias("_n"))
+    shares = F.sum(F.when(known > 0, gc / known * n).otherwise(F.when(n.isNotNull(), 0.0)))
+    return each.groupBy(key).agg(F.when(F.sum(n) > 0, F.round(shares / F.sum(n) * 100, 2)).otherwise(0.0).alias("GC_Content"))
 
 
 def routed(public: DataFrame, private: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -124,17 +132,13 @@ def protein_lookup(wanted: DataFrame, headers: DataFrame) -> DataFrame:
 
     ``headers`` is (pos, header). A tier only sees the ids that the tiers
     before left over. The token is the second word of the id, or its first if
-    it is alone; the first header in the file wins.
+    it is alone; the first header in the file wins. Beginnings are found on the
+    sorted headers, so ids and headers with one common beginning meet in no key.
     """
     ids = wanted.select("id").distinct()
     exact = ids.join(headers, ids["id"] == headers["header"]).groupBy("id").agg(F.min_by("header", "pos").alias("header"), F.lit(1).alias("tier"))
-    rest = ids.join(exact, "id", "left_anti")
-    # Prefixes meet headers on as many leading characters as the shortest id has; what is left is a plain comparison.
-    least = F.least(F.lit(8), F.length("id"))
-    keyed = rest.withColumn("_k", F.substring("id", F.lit(1), least)).withColumn("_n", least)
-    widths = [r[0] for r in keyed.select("_n").filter("_n > 0").distinct().collect()]
-    cut = headers.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in widths]).cast("array<int>"))).withColumn("_k", F.substring("header", F.lit(1), F.col("_n")))
-    prefix = keyed.join(cut, ["_k", "_n"]).filter(F.col("header").startswith(F.col("id"))).groupBy("id").agg(F.min_by("header", "pos").alias("header"), F.lit(2).alias("tier"))
+    rest = pin(ids.join(exact, "id", "left_anti"))
+    prefix = pin(first_with_prefix(rest.filter("id != ''"), headers.select(F.col("header").alias("text"), "pos")).select("id", F.col("text").alias("header"), F.lit(2).alias("tier")))
     rest = rest.join(prefix, "id", "left_anti")
     token = lambda c: F.coalesce(F.get(F.split(c, r"\s+"), F.lit(1)), F.split(c, r"\s+")[0])
     tokens = headers.groupBy(token(F.col("header")).alias("_t")).agg(F.min_by("header", "pos").alias("header"))

@@ -1,5 +1,5 @@
 """Registered queries; importing this package registers all of them."""
 
-from . import catalog, more
+from . import catalog, further, more
 
-__all__ = ["catalog", "more"]
+__all__ = ["catalog", "further", "more"]

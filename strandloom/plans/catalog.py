@@ -258,15 +258,12 @@ def protein_features(spark, sf_dir):
 
 @query("SELECT n_hosts, COUNT(*) AS n_phages, ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS pct, n_hosts > 1 AS broad FROM (SELECT l_partkey, COUNT(DISTINCT l_suppkey) AS n_hosts FROM lineitem GROUP BY 1) GROUP BY n_hosts")
 def broad_host_range(spark, sf_dir):
-    ranges = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("n_hosts"))
-    return views.share_of_total(ranges, "n_hosts").withColumnRenamed("n", "n_phages").withColumn("broad", F.col("n_hosts") > 1)
+    return quality.broad_host_range(table(spark, sf_dir, "lineitem"), "l_partkey", "l_suppkey")
 
 
 @query("SELECT CASE WHEN o IS NULL THEN 'without' ELSE 'with' END AS association, COUNT(*) AS n FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS o FROM orders) ON c_custkey = o GROUP BY 1")
 def association_coverage(spark, sf_dir):
-    customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    count = lambda how, label: customer.join(orders, "c_custkey", how).agg(F.count("*").alias("n")).select(F.lit(label).alias("association"), "n")
-    return count("left_semi", "with").unionAll(count("left_anti", "without")).filter("n > 0")
+    return quality.association_coverage(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
 
 
 @query("SELECT source, COUNT(*) AS total, COUNT(l.doc_id) AS found, COUNT(*) - COUNT(l.doc_id) AS missing, ROUND(COUNT(l.doc_id) * 100.0 / COUNT(*), 2) AS match_pct FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source")
@@ -358,8 +355,7 @@ def kmer_cosine(spark, sf_dir):
 
 @query("SELECT d.doc_id, f.first_id FROM documents d JOIN (SELECT md5(text) AS h, MIN(doc_id) AS first_id FROM documents GROUP BY 1) f ON md5(d.text) = f.h")
 def by_digest(spark, sf_dir):
-    digested = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
-    return digested.join(digested.groupBy("h").agg(F.min("doc_id").alias("first_id")), "h").drop("h")
+    return quality.first_of_digest(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("SELECT source AS source_db, COUNT(*) AS n_records FROM documents GROUP BY 1")
@@ -553,12 +549,12 @@ def pair_features(spark, sf_dir):
 def gc_by_type(spark, sf_dir):
     tables = star(spark, sf_dir)
     both = tables["fact_phages"].select(F.lit("phage").alias("kind"), F.col("GC_content").alias("gc")).unionAll(tables["dim_hosts"].select(F.lit("host"), F.col("GC_Content")))
-    return both.groupBy("kind").agg(F.round(F.avg("gc"), 1).alias("mean_gc"), F.round(F.median("gc"), 1).alias("median_gc"))
+    return quality.mean_and_median(both, "kind", "gc").select("kind", F.round("mean", 1).alias("mean_gc"), F.round("median", 1).alias("median_gc"))
 
 
 @on_star("SELECT ROUND(corr(f.GC_content, h.GC_Content), 6) AS gc_corr FROM edges e JOIN fact_phages f USING (Phage_ID) JOIN dim_hosts h USING (Host_ID)")
 def correlation(spark, sf_dir):
-    return pairs.pair_metadata(star(spark, sf_dir), edges(spark, sf_dir)).agg(F.round(F.corr("Phage_GC", "Host_GC"), 6).alias("gc_corr"))
+    return pairs.pair_metadata(star(spark, sf_dir), edges(spark, sf_dir)).transform(quality.pair_correlation, "Phage_GC", "Host_GC").select(F.round("corr", 6).alias("gc_corr"))
 
 
 @query("SELECT doc_id, toxic, CASE WHEN row_number() OVER (PARTITION BY toxic ORDER BY md5(CAST(doc_id AS VARCHAR) || '|42'), doc_id) <= floor(COUNT(*) OVER (PARTITION BY toxic) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM labels")

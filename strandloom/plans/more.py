@@ -33,9 +33,16 @@ def typed_stats(spark, sf_dir):
     return tidy(found.withColumnsRenamed({"Strand": "kind", "avg_Start": "avg_start"}))
 
 
-@query(" UNION ALL ".join(f"SELECT 'nation' AS table_name, '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_nulls FROM nation" for c, t in (("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int"))))
+PROFILED = {
+    "nation": (("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")),
+    "documents": (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")),
+    "customer": (("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"), ("c_mktsegment", "string")),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_nulls FROM {name}" for name, columns in PROFILED.items() for c, t in columns))
 def table_profile(spark, sf_dir):
-    return quality.table_profile({"nation": table(spark, sf_dir, "nation")})
+    return quality.table_profile({name: table(spark, sf_dir, name) for name in PROFILED})
 
 
 @query("SELECT o_orderkey, s FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN ' success ' WHEN 2 THEN '' ELSE 'failed' END AS s FROM orders) WHERE coalesce(nullif(trim(s), ''), 'unknown') NOT IN ('success')")
@@ -57,8 +64,7 @@ def percent_sample(spark, sf_dir):
 
 @query("SELECT c_custkey, row_number() OVER (ORDER BY md5(c_custkey || '|42'), c_custkey) - 1 AS place FROM customer")
 def shuffled_rows(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.md5(F.concat_ws("|", F.col("c_custkey").cast("string"), F.lit("42"))).alias("_o"))
-    return pairs.dense_index(rows, ["_o", "c_custkey"], "place").drop("_o")
+    return negatives.shuffled_places(table(spark, sf_dir, "customer").select("c_custkey"), ["c_custkey"], "place")
 
 
 DRAW = HASH.format("i || '|{}|42'")
@@ -84,9 +90,10 @@ def pivot_values(spark, sf_dir):
     return reshape.pivot(rows, "o_orderpriority", "o_orderstatus", "v", ["F", "O", "P"])
 
 
-@query("SELECT lang, ROUND(SUM(length(text) - length(translate(text, 'GCgc', ''))) * 100.0 / NULLIF(SUM(length(text)), 0), 2) AS GC_Content FROM documents GROUP BY 1")
+@query("SELECT lang, ROUND(COALESCE(SUM(share * n) / NULLIF(SUM(n), 0), 0) * 100, 1) AS gc FROM (SELECT lang, len(x) AS n, CASE WHEN len(list_filter(x, lambda c: contains('acgtswu', c))) = 0 THEN 0 ELSE len(list_filter(x, lambda c: contains('cgs', c))) / len(list_filter(x, lambda c: contains('acgtswu', c))) END AS share FROM (SELECT lang, list_transform(string_split(text, ''), lambda c: CASE WHEN ascii(c) BETWEEN 65 AND 90 THEN chr(ascii(c) + 32) ELSE c END) AS x FROM documents WHERE text IS NOT NULL)) GROUP BY 1")
 def weighted_gc(spark, sf_dir):
-    return sequences.weighted_gc(table(spark, sf_dir, "documents").select("lang", F.col("text").alias("sequence")), "lang")
+    rows = sequences.weighted_gc(table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("lang", F.col("text").alias("sequence")), "lang")
+    return rows.select("lang", F.round("GC_Content", 1).alias("gc"))
 
 
 @query("SELECT 'GCF_' || (s_suppkey + 1000000) || '_1' AS Host_ID, 'GCF_' || (s_suppkey + 1000000) || '.1' AS Assembly_Accession, '/g/GCF_' || (s_suppkey + 1000000) || '.1_genomic.fna' AS path, CASE WHEN s_suppkey % 3 > 0 THEN 'success' ELSE 'failed' END AS status FROM supplier")

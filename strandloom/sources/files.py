@@ -58,3 +58,44 @@ def joint_digest(spark: SparkSession, paths: list[str]) -> str:
     """SHA-256 of the files' names and digests, by name; of no files the digest of nothing."""
     rows = file_digests(spark, paths).select("path", "sha256").collect() if paths else []
     return hashlib.sha256("".join(f"{p.rsplit('/', 1)[-1]}:{d}\n" for p, d in sorted((r[0], r[1]) for r in rows)).encode()).hexdigest()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of UTF-8 text."""
+    place, store = _opened(spark, path)
+    stream = store.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet."""
+    place, store = _opened(spark, path)
+    stream = store.create(place, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of an older one."""
+    remove(spark, path)
+    create_text(spark, path, text)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, store = _opened(spark, path)
+    store.delete(place, True)
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """The place that a path leads to, with symbolic links followed where the store has them."""
+    place, store = _opened(spark, path)
+    found = store.makeQualified(place).toString()
+    if found.startswith("file:"):
+        local = spark._jvm.java.io.File(spark._jvm.java.net.URI(found).getPath()).getCanonicalPath()
+        return store.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(local)).toString()
+    return found

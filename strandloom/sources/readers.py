@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import first_token, number, source_from_path, strip
+from ..functions.scalars import first_token, number, source_from_path, stem_of_path, strip
 from ..operators.reshape import normalize
 from ..schemas import CONTRACTS, RENAMED, TABLES, schema
 from .files import is_empty_or_invalid
@@ -17,20 +19,31 @@ def header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
         first = spark.read.text(path).limit(1).collect()
     except Exception:  # noqa: BLE001  any failure means that there is no header
         return []
-    return [c.strip().strip('"') for c in first[0][0].split(sep)] if first and first[0][0].strip() else []
+    return [c.strip() for c in next(csv.reader([first[0][0]], delimiter=sep))] if first and first[0][0].strip() else []
+
+
+def has_line_breaks(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether a quoted field of a delimited file may go over a line's end: some line has an odd number of quotes."""
+    return not spark.read.text(paths).filter(F.length("value") % 2 != F.length(F.replace("value", F.lit('"'), F.lit(""))) % 2).isEmpty()
 
 
-def delimited(spark: SparkSession, paths: str | list[str], sep: str = ",", keep_empty: bool = False, columns: list[str] | None = None) -> DataFrame:
+def delimited(spark: SparkSession, paths: str | list[str], sep: str = ",", keep_empty: bool = False, columns: list[str] | None = None, line_breaks: bool | None = None) -> DataFrame:
     """Every column as text: quoted fields may hold separators, doubled quotes and line breaks; short rows are filled with nulls, broken ones kept.
 
-    With ``keep_empty`` empty fields are empty texts instead of nulls.
+    With ``keep_empty`` empty fields are empty texts instead of nulls. Of
+    columns with one name the first counts. A file is read in splits unless
+    quoted fields hold line breaks, for then only a whole file tells where rows
+    begin; ``line_breaks`` says so, and if it does not, one pass over the lines does.
     """
     paths = [paths] if isinstance(paths, str) else paths
     names = columns or header(spark, paths[0], sep)
     if not names:
         raise ValueError(f"no header in {paths[0]}")
-    reader = spark.read.schema(", ".join(f"`{c}` string" for c in names)).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", True).option("mode", "PERMISSIVE")
+    whole = has_line_breaks(spark, paths) if line_breaks is None else line_breaks
+    reader = spark.read.schema(", ".join(f"_{i} string" for i in range(len(names)))).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", whole).option("mode", "PERMISSIVE")
     rows = reader.option("enforceSchema", True).csv(paths)
+    first = {c: i for i, c in reversed(list(enumerate(names)))}
+    rows = rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names) if first[c] == i])
     return rows.na.fill("") if keep_empty else rows
 
 
@@ -107,6 +120,14 @@ def fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.filter("header != ''").select("file", "pos", first_token(F.col("header")).alias("id"), "header", "sequence")
 
 
+def merged_fasta(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``fasta`` of the files that are there and not empty; none at all is an error."""
+    there = [p for p in paths if not is_empty_or_invalid(spark, p)]
+    if not there:
+        raise ValueError("there is no file with any record")
+    return fasta(spark, there)
+
+
 def fasta_headers(records: DataFrame, sample: int | None = None) -> DataFrame:
     """(id, header, description): the description is what follows the first word; with ``sample`` the first few by place."""
     rows = records.orderBy("file", "pos").limit(sample) if sample is not None else records
@@ -125,7 +146,7 @@ def gff3_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     named = rows.withColumn("phage_id", F.regexp_extract("value", 'seqhdr="([^"]+)"', 1)).filter("phage_id != ''")
     block = F.when(F.col("value").startswith(mark), F.col("value")).otherwise(F.concat(F.lit(mark), F.col("value")))
     last = named.select("phage_id", "file", "pos", block.alias("block_text")).groupBy("phage_id").agg(F.max_by(F.struct("file", "block_text"), F.struct("file", "pos")).alias("b"), F.count("*").alias("copies"))
-    return last.select("phage_id", source_from_path(F.col("b.file")).alias("source_db"), F.col("b.block_text").alias("block_text"), "copies")
+    return last.select("phage_id", stem_of_path(F.col("b.file")).alias("source_db"), F.col("b.block_text").alias("block_text"), "copies")
 
 
 def gff3_attributes(c: Column) -> Column:

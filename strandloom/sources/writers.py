@@ -27,6 +27,24 @@ def write_table(rows: DataFrame, path: str, cluster_by: str | None = None, parti
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """A catalog table dealt to buckets by ``key`` and sorted by it; tables of one key and number of buckets join and group by it without a shuffle."""
+    rows.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
+def write_star(star: dict[str, DataFrame], prefix: str, buckets: int = 200, key: str = "Phage_ID") -> dict[str, DataFrame]:
+    """The star as catalog tables named ``prefix`` + name: those with the key in buckets, the others plain."""
+    out = {}
+    for name, rows in star.items():
+        if key in rows.columns:
+            out[name] = write_bucketed(rows, prefix + name, key, buckets)
+        else:
+            rows.write.mode("overwrite").saveAsTable(prefix + name)
+            out[name] = rows.sparkSession.table(prefix + name)
+    return out
+
+
 def write_csv(rows: DataFrame, path: str, quote_all: bool = True) -> None:
     """CSV files with a header each. Without ``quote_all`` numbers are not quoted, and the header stands once, in the first file: joined in order, the files are one CSV file."""
     if not quote_all:

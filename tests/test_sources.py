@@ -113,16 +113,16 @@ def test_gff3(spark, tmp_path):
     a = put(tmp_path, "DBA_x.gff3", one + two)
     b = put(tmp_path, "DBB_x.gff3", '# Sequence Data: seqhdr="P1"\nP1\tnew\tCDS\t1\t2\t.\t+\t0\tID=last\n')
     blocks = readers.gff3_blocks(spark, [a])
-    assert sorted(rows(blocks, "phage_id", "source_db", "copies")) == [("P1", "DBA", 1), ("P2", "DBA", 1)]
+    assert sorted(rows(blocks, "phage_id", "source_db", "copies")) == [("P1", "DBA_x", 1), ("P2", "DBA_x", 1)]
     found = rows(readers.gff3_features(blocks), "phage_id", "type", "start", "end", "ID", "product", "protein_id", "length")
     assert sorted(found, key=str) == [("P1", "CDS", 10, 30, "g2", "Ätherase = x", None, 21), ("P1", "gene", None, 5, None, None, "q", None)]
     assert readers.gff3_has(blocks, "P2") and not readers.gff3_has(blocks, "P9")
-    assert readers.gff3_get(blocks, "P9") == "" and readers.gff3_source(blocks, "P9") is None and readers.gff3_source(blocks, "P2") == "DBA"
+    assert readers.gff3_get(blocks, "P9") == "" and readers.gff3_source(blocks, "P9") is None and readers.gff3_source(blocks, "P2") == "DBA_x"
     assert len(readers.gff3_lines(blocks, "P1")) == 3 and readers.gff3_lines(blocks, "P2") == []
     both = readers.gff3_blocks(spark, [a, b])
-    assert rows(readers.gff3_list(both)) == [("P1",), ("P2",)] and rows(readers.gff3_list(both, "DBB")) == [("P1",)]
-    assert rows(both.filter("phage_id = 'P1'"), "source_db", "copies") == [("DBB", 2)]
-    assert rows(readers.gff3_stats(both)) == [(None, 2), ("DBA", 1), ("DBB", 1)]
+    assert rows(readers.gff3_list(both)) == [("P1",), ("P2",)] and rows(readers.gff3_list(both, "DBB_x")) == [("P1",)]
+    assert rows(both.filter("phage_id = 'P1'"), "source_db", "copies") == [("DBB_x", 2)]
+    assert rows(readers.gff3_stats(both)) == [(None, 2), ("DBA_x", 1), ("DBB_x", 1)]
 
 
 def test_json(spark, tmp_path):
@@ -155,3 +155,59 @@ def test_tables_and_digests(spark, tmp_path):
     assert rows(files.file_digests(spark, [path]), "size", "sha256") == [(5, hashlib.sha256(b"\x00\x01abc").hexdigest())]
     assert files.listed(spark, f"file://{tmp_path}/absent") == []
     assert [x.name for x in files.listed(spark, f"file://{tmp_path}")] == ["f.bin", "t", "u"]
+
+
+def test_header_by_the_rules_of_csv(spark, tmp_path):
+    """Separators, doubled quotes and blanks inside quoted names; each value stays in its column."""
+    path = put(tmp_path, "q.csv", '"a, b",c,"d ""e""", f \n1,2,3,4\n"x,y",,"",z\n')
+    assert readers.header(spark, path) == ["a, b", "c", 'd "e"', "f"]
+    assert rows(readers.delimited(spark, path)) == [("1", "2", "3", "4"), ("x,y", None, None, "z")]
+
+
+def test_first_of_repeated_columns_counts(spark, tmp_path):
+    path = put(tmp_path, "DB_phages.tsv", "Phage_ID\tLength\tLength \tSource_DB\tPhage_ID\nP1\t5\t9\tDB\tother\n")
+    assert rows(readers.delimited(spark, path, "\t")) == [("P1", "5", "DB")]
+    assert rows(readers.feature_files(spark, [path], "phages"), "Phage_ID", "Length", "Source_DB") == [("P1", 5.0, "DB")]
+    assert reshape.drift_report(readers.header(spark, path, "\t"), schemas.CONTRACTS["phages"])["duplicates"] == ["Length", "Phage_ID"]
+
+
+def test_files_without_line_breaks_are_split(spark, tmp_path):
+    """Many tasks read a plain file; one quoted line break makes it a whole again, with the same rows."""
+    lines = [f'P{i},"x, {i}"' for i in range(2_000)]
+    plain = put(tmp_path, "plain.csv", "id,note\n" + "\n".join(lines) + "\n")
+    broken = put(tmp_path, "broken.csv", "id,note\n" + "\n".join([*lines, 'P,"two\nlines"']) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        found = readers.delimited(spark, plain)
+        assert found.rdd.getNumPartitions() > 4 and found.count() == 2_000
+        assert sorted(rows(found)) == sorted((f"P{i}", f"x, {i}") for i in range(2_000))
+        whole = readers.delimited(spark, broken)
+        assert whole.rdd.getNumPartitions() == 1 and whole.count() == 2_001 and ("P", "two\nlines") in rows(whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("feature", list(schemas.CONTRACTS))
+def test_every_feature_is_merged(spark, tmp_path, feature):
+    """Two files in different orders, one with aliases and an unknown column: contract columns first, numbers coerced in each, sources from names."""
+    contract = schemas.CONTRACTS[feature]
+    known = (*contract.required, *contract.optional)
+    value = lambda c, k: str(k) if c in contract.numeric else f"{c}{k}"
+    first = [c for c in known if c != "Source_DB"]
+    other_name = {real: alias for alias, real in contract.aliases.items()}
+    second = [*reversed(known), "Extra"]
+    a = put(tmp_path, f"DB1_{feature}.tsv", "\t".join(first) + "\n" + "\t".join(value(c, 1) for c in first) + "\n" + "\t".join("junk" if c in contract.numeric else value(c, 3) for c in first) + "\n")
+    b = put(tmp_path, f"DB2_{feature}.tsv", "\t".join(other_name.get(c, c) for c in second) + "\n" + "\t".join(value(c, 2) for c in second) + "\n")
+    merged = readers.feature_files(spark, [a, b], feature)
+    assert merged.columns == [*known, "Extra"]
+    assert all(t == ("double" if c in contract.numeric else "string") for c, t in merged.dtypes)
+    found = {r[known[0]]: r.asDict() for r in merged.collect()}
+    want = lambda k: {c: float(k) if c in contract.numeric else value(c, k) for c in known}
+    assert found[value(known[0], 1)] == want(1) | {"Source_DB": "DB1", "Extra": None}
+    assert found[value(known[0], 2)] == want(2) | {"Extra": "Extra2"}
+    assert found[value(known[0], 3)] == want(3) | {c: None for c in contract.numeric} | {"Source_DB": "DB1", "Extra": None}
+    table = {"phages": "fact_phages", "trna_tmrna": "dim_trna_tmrna"}.get(feature, f"dim_{feature}")
+    star = readers.star_table(merged, table)
+    assert star.schema.fieldNames() == schemas.schema(table).fieldNames() and star.count() == 3
+    assert {f.dataType for f in star.schema} <= {f.dataType for f in schemas.schema(table)}
