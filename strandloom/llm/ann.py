@@ -119,13 +119,14 @@ def nearest_neighbours(
     """(query_id, rank, vec_id, score): for each id divisible by ``every`` its ``top`` nearest found; all others if there are fewer.
 
     Score is the inner product in double precision; ties go to the smaller id.
-    Every usable vector is indexed. Of vectors that are equal in all components
-    only the top + 1 smallest ids can be among anybody's nearest, so only those
-    enter the cells; equal queries are answered once. Vectors of unequal length
+    Every id with a usable vector is indexed once: repeated rows are one, and of
+    several vectors of an id the least, component by component, counts. Of vectors
+    that are equal in all components only the top + 1 smallest ids can be among
+    anybody's nearest, so only those enter the cells; equal queries are answered once. Vectors of unequal length
     are filled up with zeros. A query whose cells hold too few is scored against
     all vectors. An empty table gives no rows.
     """
-    valid = pin(usable(vectors, id_col, vector_col))
+    valid = pin(usable(vectors, id_col, vector_col).groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
     # Floats travel as floats; they are exact as doubles, in which all sums are taken.
     kind = "<f4" if valid.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
