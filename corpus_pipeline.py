@@ -17,7 +17,7 @@ from strandloom.llm.common import ensure_checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; undetermined ones and those with a pooled score below 0.4 go.
+    """Documents in a learned language stay; undetermined ones and those with a pooled score below 0.4 go (with more than four languages, below 1.6 times what guessing has).
 
     Of 4,000 labelled documents of the test table four score less, all of one word.
     Null texts are undetermined; repeated rows share one fate; without any

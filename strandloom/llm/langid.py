@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import aside
+from .common import aside, pin, small
 from .setjoin import slices
 
 #: The bounded sample: documents of each language, characters of each of them, and documents in all. With many languages each has fewer documents.
@@ -207,22 +207,31 @@ def label_text(model: Model, text: str) -> list[str]:
 
 #: Parts that a language's rows are dealt into while the sample is drawn.
 PARTS = 16
+#: How many times the wanted rows of a language pass the bound of the hash.
+SPARE = 8
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, documents: int, characters: int, in_all: int = SAMPLE_IN_ALL) -> DataFrame:
     """Up to ``documents`` of each language, by a hash of the id, and of each a span of ``characters`` from a hashed place.
 
     A column of very many different values gives fewer of each, one at least,
-    and ``in_all`` documents at most.
+    and ``in_all`` documents at most. Languages are counted first, and a bound of
+    the hash lets by only SPARE times as many rows of each as are wanted, so what
+    is shuffled does not grow with the corpus; repeated rows and rows with one id
+    share a hash and stand beside each other.
     """
-    usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    documents = max(1, min(documents, in_all // max(1, usable.select(lang_col).distinct().limit(in_all).count())))
-    h = F.xxhash64(id_col, F.lit(11))
-    span = F.expr(f"substr(`{text_col}`, cast(1 + pmod(xxhash64(`{id_col}`, 5), greatest(length(`{text_col}`) - {characters}, 1)) as int), {characters})")
-    small = usable.select(F.col(lang_col).alias("lang"), span.alias("text"), h.alias("_h"))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    usable = own.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = pin(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n")))
+    documents = max(1, min(documents, in_all // max(1, counts.limit(in_all).count())))
+    h = F.when(F.col("id").isNull(), F.xxhash64("text", F.lit(11))).otherwise(F.xxhash64("id", F.lit(11)))
+    bound = F.least(F.lit(1.0), F.lit(float(SPARE * documents)) / F.col("_n")) * float(1 << 31)
+    span = F.expr(f"substr(text, cast(1 + pmod(xxhash64(id, 5), greatest(length(text) - {characters}, 1)) as int), {characters})")
+    few = usable.join(small(counts), F.col("lang") == F.col("_lang")).filter(F.shiftrightunsigned(h, 33) < bound)
+    spans = few.select("lang", span.alias("text"), h.alias("_h"))
     # First of each language's parts, then of the language: the last task of a language reads PARTS * documents rows at most, however large the corpus.
     order = Window.orderBy("_h", "text")
-    parts = small.withColumn("_part", F.pmod("_h", F.lit(PARTS)))
+    parts = spans.withColumn("_part", F.pmod("_h", F.lit(PARTS)))
     few = parts.withColumn("_r", F.row_number().over(order.partitionBy("lang", "_part"))).filter(F.col("_r") <= documents).drop("_r")
     return few.withColumn("_r", F.row_number().over(order.partitionBy("lang"))).filter(F.col("_r") <= documents).select("lang", "text").limit(in_all)
 
@@ -265,8 +274,14 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     return kept.mapInArrow(run, schema)
 
 
-def identified(docs: DataFrame, model: Model | None, least: float = 0.4, text_col: str = "text") -> DataFrame:
-    """The documents whose language is recognised with a score of at least ``least``; columns as they were."""
+def least_score(languages: int, most: float = 0.4, chance: float = 1.6) -> float:
+    """The least pooled score at which a language counts as recognised: ``chance`` times what guessing has, ``most`` at most."""
+    return min(most, chance / max(languages, 1))
+
+
+def identified(docs: DataFrame, model: Model | None, least: float | None = None, text_col: str = "text") -> DataFrame:
+    """The documents whose language is recognised with a score of at least ``least`` (None: ``least_score``); columns as they were."""
     names = docs.columns
+    least = least_score(len(model.langs) if model else 0) if least is None else least
     found = predict(aside(docs), model, f"_{names.index(text_col)}")
     return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).drop("lang_pred", "score").toDF(*names)

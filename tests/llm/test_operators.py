@@ -423,6 +423,29 @@ def test_nearest_neighbours(spark):
     assert ann.nearest_neighbours(df.limit(0)).collect() == []
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Copies of a row are one candidate, whichever way they are found; of two vectors of an id the smaller counts."""
+    rng = np.random.default_rng(6)
+    vectors = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(rng.normal(size=(60, 8)))]
+    close = [(100 + i, vectors[20][1][:7] + [vectors[20][1][7] + i / 64]) for i in range(3)]
+    two = [(7, [9.0] * 8), (40, [9.0] * 8)]
+    rows = vectors + [vectors[1]] * 30 + [close[0]] * 30 + close + two + [vectors[20]] * 25
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    least = {}
+    for i, v in rows:
+        least[i] = min(least.get(i, v), v)
+    exact = brute_nearest(sorted(least.items()), 20, 20)
+    for options in ({}, {"whole": 0, "probes": 64}, {"whole": 0, "probes": 1, "tables": 1, "part": 7}):
+        found = defaultdict(list)
+        for r in sorted(ann.nearest_neighbours(df, **options).collect(), key=lambda r: (r["query_id"], r["rank"])):
+            found[r["query_id"]].append(r["vec_id"])
+        assert all(len(v) == len(set(v)) == 20 for v in found.values()) and set(found) == set(exact)
+        if options.get("probes") != 1:
+            assert dict(found) == {q: [i for i, _ in v] for q, v in exact.items()}
+    few = spark.createDataFrame([(1, [1.0, 0.5])] * 30 + [(2, [1.0, 0.4]), (3, [1.0, 0.3]), (20, [1.0, 0.0])], df.schema)
+    assert [(r["rank"], r["vec_id"]) for r in ann.nearest_neighbours(few).orderBy("rank").collect()] == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_recall(spark):
     path = "/root/testdata/sf0.01/embeddings.parquet"
     df = spark.read.parquet(path)
@@ -495,6 +518,28 @@ def test_training_sample_is_bounded(spark):
     assert langid.training_sample(docs, "doc_id", "text", "lang", 400, 600, in_all=100).count() <= 100
 
 
+def test_sample_takes_what_it_wants_of_every_language(spark):
+    """Of a frequent language no more than some times the wanted rows pass the bound of the hash, of a rare one all do; null ids are spread, and names may clash."""
+    docs = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.when(F.col("id") % 1_000 == 0, "rare").otherwise("often").alias("lang"), F.lit(1).alias("_n"), F.lit("x").alias("_lang"), F.lit(2).alias("id"))
+    rows = langid.training_sample(docs, "doc_id", "text", "lang", 50, 100).collect()
+    assert sum(r["lang"] == "often" for r in rows) == 50 and sum(r["lang"] == "rare" for r in rows) == 30
+    assert sorted(rows) == sorted(langid.training_sample(docs.repartition(7), "doc_id", "text", "lang", 50, 100).collect())
+    assert [langid.least_score(n) for n in (0, 1, 4, 16)] == [0.4, 0.4, 0.4, 0.1]
+
+
+def test_languages_of_repeated_rows_and_ties(spark):
+    """Repeated rows are alike; where languages are equally likely the first in order is named."""
+    rows = [(i, f"wort der die {i}" if i % 2 else f"word the of {i}", "de" if i % 2 else "en") for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string, lang string").repartition(3)
+    found = langid.predict(docs, langid.train(docs, steps=40)).collect()
+    by_row = defaultdict(set)
+    for r in found:
+        by_row[r["doc_id"]].add((r["lang_pred"], r["score"]))
+    assert len(found) == 80 and all(len(v) == 1 for v in by_row.values())
+    flat = langid.Model(["a", "b"], *[(np.zeros((24, 256), np.float32), np.zeros((24, 8), np.float32))] * 2, np.zeros((2, 16), np.float32), np.zeros((2, 1), np.float32))
+    assert {(r["lang_pred"], r["score"]) for r in langid.predict(docs, flat).collect()} == {("a", 0.5)}
+
+
 def test_language_edge_cases(spark):
     rows = [(1, "the house and the river", "en", "x"), (1, "the house and the river", "en", "x"), (2, "und das haus nicht", "de", "x"), (3, None, "en", None), (4, "12 34", None, "y"), (None, "la maison", None, "z")]
     docs = spark.createDataFrame(rows * 3, "doc_id long, text string, lang string, lang_pred string")
