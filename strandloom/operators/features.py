@@ -36,8 +36,14 @@ def kmers(sequence: Column, k: int) -> Column:
 
 
 def kmer_counts(rows: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, kmer, n) of every text."""
-    return rows.select(id_col, F.explode(kmers(F.col(text_col), k)).alias("kmer")).groupBy(id_col, "kmer").agg(F.count("*").alias("n"))
+    """(id, kmer, n) of every text.
+
+    Texts are dealt by id before they are cut, so a text moves once, as it is,
+    and its k-mers, which are k times as long together, are counted where they are made.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(id_col, text_col).repartition(tasks, id_col)
+    return dealt.select(id_col, F.explode(kmers(F.col(text_col), k)).alias("kmer")).groupBy(id_col, "kmer").agg(F.count("*").alias("n"))
 
 
 def kmer_totals(rows: DataFrame, k: int, text_col: str, group: str) -> DataFrame:

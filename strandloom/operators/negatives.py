@@ -85,7 +85,7 @@ def sample_by_hash(rows: DataFrame, keys: list[str], n: int, seed: int = 42) ->
     border falls into is ranked.
     """
     order = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
-    hashed = pin(rows.withColumn("_o", order).withColumn("_b", F.conv(F.substring("_o", 1, 4), 16, 10).cast("int")))
+    hashed = pin(rows.withColumn("_o", order).withColumn("_b", F.substring("_o", 1, 4)))  # hexadecimal digits sort like the number
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = hashed.groupBy("_b").agg(F.count("*").alias("_n")).withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     placed = hashed.join(F.broadcast(starts.filter(F.col("_s") < n)), "_b")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.guards import check_fragment, split_fragment
@@ -224,10 +224,6 @@ def dense_index(rows: DataFrame, order: list[str], name: str = "idx") -> DataFra
     placed = rows.orderBy(*[F.asc_nulls_last(c) for c in order]).withColumn("_id", F.monotonically_increasing_id())
     placed = placed.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id")
     placed = pin(placed)
-    sizes = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    starts, total = [], 0
-    for part in sorted(sizes):
-        starts.append((part, total))
-        total += sizes[part]
-    table = rows.sparkSession.createDataFrame(starts, "_part long, _start long")
-    return placed.join(F.broadcast(table), "_part").withColumn(name, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over a row per range
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")

@@ -121,8 +121,15 @@ def missing_host_pairs(spark, sf_dir):
     return pairs.missing_host_pairs(pairs.pair_metadata(tables, edges(spark, sf_dir)), have)
 
 
-@query("SELECT source AS file, COUNT(*) AS total_sequences, CASE WHEN COUNT(*) > COUNT(DISTINCT lang || doc_id % 50) THEN 'rejected' ELSE 'accepted' END AS header_qc_status FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL GROUP BY 1")
+@query("""WITH r AS (SELECT 'f' || doc_id % 40 AS file, CAST(CASE WHEN doc_id % 40 < 20 THEN doc_id % 80 ELSE doc_id END AS VARCHAR) AS id, coalesce(text, '') AS s FROM documents),
+d AS (SELECT file, COUNT(*) AS n, array_to_string((list(id ORDER BY id))[1:5], '; ') AS ids FROM (SELECT file, id FROM r GROUP BY 1, 2 HAVING COUNT(*) > 1) GROUP BY 1),
+g AS (SELECT file, array_to_string((list(id ORDER BY id))[1:3], ', ') AS ids FROM r WHERE file NOT IN (SELECT file FROM d) GROUP BY file, md5(upper(s)) HAVING COUNT(*) > 1),
+h AS (SELECT file, COUNT(*) AS n, array_to_string((list(ids ORDER BY ids))[1:3], '; ') AS ids FROM g GROUP BY 1)
+SELECT t.file, total AS total_sequences, CASE WHEN d.n IS NULL THEN 'accepted' ELSE 'rejected' END AS header_qc_status, coalesce(d.n, 0) AS n_duplicate_headers, coalesce(d.ids, '') AS duplicate_header_examples,
+CASE WHEN d.n IS NOT NULL THEN 'skipped' WHEN h.n IS NOT NULL THEN 'duplicates_found' ELSE 'ok' END AS seq_qc_status, coalesce(h.n, 0) AS n_identical_seq_groups, coalesce(h.ids, '') AS identical_seq_group_examples
+FROM (SELECT file, COUNT(*) AS total FROM r GROUP BY 1) t LEFT JOIN d USING (file) LEFT JOIN h USING (file)""")
 def header_qc(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").dropna(subset=["source", "lang", "text"])
-    rows = docs.select(F.col("source").alias("file"), F.concat("lang", (F.col("doc_id") % 50).cast("string")).alias("id"), F.col("text").alias("sequence"))
-    return sequences.run_qc(rows).select("file", "total_sequences", "header_qc_status")
+    number = F.col("doc_id")
+    name = F.when(number % 40 < 20, number % 80).otherwise(number)
+    rows = table(spark, sf_dir, "documents").select(F.concat(F.lit("f"), (number % 40).cast("string")).alias("file"), name.cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("sequence"))
+    return sequences.run_qc(rows)
