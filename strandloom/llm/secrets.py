@@ -41,8 +41,13 @@ LEAST_TEXT = 12
 UTF8_RUN = re.compile(rb"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){3,}+")
 #: Separators of a run after which it is tried as a whole; beyond them, and always besides, all four alignments are.
 STARTS = 64
-#: A compressed layer that inflates beyond this many bytes goes on in windows of that size, each of which repeats the end of the one before; ``oversize_layers`` counts such windows.
+#: A compressed layer that inflates beyond this many bytes goes on in windows of that size; ``oversize_layers`` counts such windows.
+#: Each repeats the end of the one before: at least OVERLAP bytes, and an open run of characters that may belong together up to half a window.
 MAX_INFLATED, OVERLAP = 64 << 20, 1 << 20
+#: Bytes of base64, escapes, names and values, as zero: between others a finding or an encoded run may end.
+_RUN_BYTES = bytes(chr(b) not in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-%\\&#;{}\r\n\t" for b in range(256))
+#: Characters of decoded runs that a document keeps, so that a run which other layers hold as well is decoded once.
+MEMO = 16 << 20
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -58,14 +63,18 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
+def _key(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 class Layer:
     """A text and where in the original each of its characters begins and ends: arrays, or two numbers if all characters come from one place."""
 
     __slots__ = ("above", "ends", "key", "starts", "text")
 
-    def __init__(self, text: str, starts, ends):
+    def __init__(self, text: str, starts, ends, key: bytes | None = None):
         self.text, self.starts, self.ends = text, starts, ends
-        self.key, self.above = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), frozenset()
+        self.key, self.above = key or _key(text), frozenset()
 
     def place(self) -> bytes:
         """The text and the origin of each of its characters."""
@@ -129,6 +138,19 @@ def _packed(raw) -> bool:
     return raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0)
 
 
+def _kept_from(window: bytes) -> int:
+    """Where the next window begins in this one: before the run that is open at its end."""
+    least, at = len(window) - len(window) // 2, len(window)
+    flags = window[least:].translate(_RUN_BYTES)
+    while (stop := flags.rfind(1, 0, at - least)) >= 0:
+        at = least + stop
+        before = len(window[least:at].rstrip(b" "))
+        if window[at : at + 1] != b" " or not before or window[least + before - 1 : least + before] not in (b"\n", b"\t"):
+            return min(at + 1, len(window) - OVERLAP)
+        at = least + before  # the indent of a wrapped line
+    return min(least, len(window) - OVERLAP)
+
+
 def _inflate(raw):
     """Windows of what ``raw`` unpacks to: all compressed members that it begins with, and what follows them if it is text.
 
@@ -144,7 +166,7 @@ def _inflate(raw):
                 got, held, more = got or bool(part), held + part, unpack.unconsumed_tail
                 if len(held) >= MAX_INFLATED:
                     yield held
-                    held = held[-OVERLAP:]
+                    held = held[max(0, _kept_from(held)) :]
                 elif not part:
                     break
         except zlib.error:
@@ -204,7 +226,33 @@ def _base64(run: str, breaks: list[int]):
                     yield text, shift + m.start() // 3 * 4, shift + len(part), i > 0
 
 
-def unwrap(layer: Layer):
+class Runs:
+    """What the base64 runs of one document hold. Layers of a whole text repeat the runs of the layer above them; each is decoded once, up to MEMO characters."""
+
+    def __init__(self):
+        self.known: dict[tuple, list] = {}
+        self.left = MEMO
+
+    def decoded(self, run: str, breaks: list[int]):
+        """``_base64`` with the key of each text."""
+        name = (run, *breaks)
+        if (known := self.known.get(name)) is not None:
+            yield from known
+            return
+        out, room = [], self.left - len(run)
+        for text, a, b, further in _base64(run, breaks):
+            found = (text, a, b, further, _key(text))
+            room -= len(text)
+            if room >= 0:
+                out.append(found)
+            else:
+                out = []
+            yield found
+        if room >= 0:
+            self.known[name], self.left = out, room
+
+
+def unwrap(layer: Layer, runs: Runs):
     """Yields (layer, whether a further window) for each way of decoding that applies."""
     if "%" in layer.text and (out := _replaced(layer, URL_ESCAPE, _url)):
         yield out, False
@@ -217,9 +265,9 @@ def unwrap(layer: Layer):
                 continue
             at = [x.start() for x in KEPT.finditer(m[0])] if lines else range(len(m[0].rstrip("=")))
             breaks = [i for i in range(1, len(at)) if at[i] > at[i - 1] + 1] if lines else []
-            for text, a, b, further in _base64("".join(m[0][i] for i in at) if lines else m[0].rstrip("="), breaks):
+            for text, a, b, further, key in runs.decoded("".join(m[0][i] for i in at) if lines else m[0].rstrip("="), breaks):
                 start, end = layer.origin(m.start() + at[a], m.end() if b == len(at) else m.start() + at[b - 1] + 1)
-                yield Layer(text, start, end), further
+                yield Layer(text, start, end, key), further
 
 
 _URL_SAFE = str.maketrans("-_", "+/")
@@ -232,11 +280,11 @@ def find_secrets(text: str) -> tuple[list, list, int, int]:
     # Most texts have nothing to unwrap; only the others pay for the per-character origins.
     if "%" in text or "\\" in text or "&#" in text or BASE64_RUN.search(text):
         whole = Layer(text, np.arange(len(text)), np.arange(1, len(text) + 1))
-        work, distinct = [whole], {whole.key}
+        work, distinct, runs = [whole], {whole.key}, Runs()
         while work:
             upper = work.pop()
             above = upper.above | {upper.key}
-            for layer, further in unwrap(upper):
+            for layer, further in unwrap(upper, runs):
                 oversize += further
                 if layer.key not in above and (place := layer.place()) not in seen:
                     seen.add(place)

@@ -566,6 +566,41 @@ def test_large_layers_are_scanned_in_windows(monkeypatch):
     assert any(inner.encode() in w for w in windows)
 
 
+@pytest.mark.parametrize("width", [0, 76])
+def test_open_runs_go_on_in_the_next_window(monkeypatch, width):
+    """What is nested across a window's border and longer than the overlap is found, wrapped or not."""
+    monkeypatch.setattr(secrets, "MAX_INFLATED", 1 << 16)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 9)
+    noise = random.Random(5).randbytes(9_000).hex()
+    inner = base64.b64encode(zlib.compress(f"{noise} token = nestedsecret42".encode())).decode()
+    lines = "\n  ".join(inner[i : i + width] for i in range(0, len(inner), width)) if width else inner
+    for before in (30_000, 32_000, 32_700):
+        body = "x " * before + lines + " y" * 40_000
+        found = [w for w in secrets._inflate(zlib.compress(body.encode()))]
+        assert max(map(len, found)) <= 1 << 16 and any(lines.encode() in w for w in found)
+        layers = [base64.b64encode(zlib.compress(body.encode())).decode()]
+        _, spans, _, further = secrets.find_secrets(layers[0])
+        assert further >= 1 and ("assign", 0, len(layers[0])) in spans
+
+
+def test_a_repeated_run_is_decoded_once(monkeypatch):
+    """Layers of a whole text hold the runs of the text above; the result is that of decoding each anew, also where the memo is full."""
+    runs = [base64.b64encode(f"password = value{i:08d}".encode()).decode() for i in range(40)]
+    text = " ".join(f"{run} %70lain \\u0041" for run in runs)
+    calls = Counter()
+    plain = secrets._base64
+
+    def counted(run, breaks):
+        calls[run] += 1
+        return plain(run, breaks)
+
+    monkeypatch.setattr(secrets, "_base64", counted)
+    once = secrets.find_secrets(text)
+    assert len(once[1]) == 40 and set(calls.values()) == {1}
+    monkeypatch.setattr(secrets, "MEMO", 0)
+    assert secrets.find_secrets(text) == once and calls[runs[0].rstrip("=")] > 2
+
+
 def test_secrets_edge_cases(spark):
     token = base64.b64encode(b"secret = abcdefgh1234").decode()
     long = "padding " * 30_000 + "%70assword=hunter2hunter2 " + token
