@@ -123,7 +123,8 @@ def balanced_dataset(positives: DataFrame, negatives: list[DataFrame], ratio: fl
         n = left if i == len(negatives) - 1 else each
         rows = kind.select(*keys).distinct()
         part = sample_by_hash(rows if bad is None else rows.join(bad, keys, "left_anti"), keys, n, seed)
-        bad, left = pin(part if bad is None else bad.unionByName(part)), left - n
+        part = part if bad is None else bad.unionByName(part)
+        bad, left = pin(part) if i < len(negatives) - 1 else part, left - n  # the last is read once
     return out.unionByName(bad.withColumn("label", F.lit(0)))
 
 

@@ -18,7 +18,7 @@ line AS (
   FROM lineitem l),
 dim_proteins AS (
   SELECT Phage_ID, item_id AS Protein_ID, Source_DB, l_linenumber * 100 AS "Start", l_returnflag AS Strand, l_linestatus || l_returnflag AS Protein_classification,
-         l_extendedprice AS Molecular_weight, l_discount AS Aromaticity, l_tax AS Instability_index FROM line),
+         l_extendedprice AS Molecular_weight, l_discount AS Aromaticity, l_tax AS Instability_index, 4 + l_quantity / 10 AS Isoelectric_point FROM line),
 dim_antimicrobial_resistance_genes AS (SELECT Phage_ID, item_id AS Protein_ID, 'card' || CAST(l_partkey % 50 AS VARCHAR) AS aligned_protein_card, Source_DB FROM line WHERE l_returnflag = 'R'),
 dim_anti_crispr AS (SELECT Phage_ID, item_id AS Protein_ID, Source_DB FROM line WHERE l_returnflag = 'A'),
 dim_crispr_arrays AS (
@@ -71,7 +71,7 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "fact_phages": fact,
         "dim_proteins": item(
             "Protein_ID", "true", (F.col("l_linenumber") * 100).alias("Start"), F.col("l_returnflag").alias("Strand"), F.concat("l_linestatus", "l_returnflag").alias("Protein_classification"),
-            F.col("l_extendedprice").alias("Molecular_weight"), F.col("l_discount").alias("Aromaticity"), F.col("l_tax").alias("Instability_index"),
+            F.col("l_extendedprice").alias("Molecular_weight"), F.col("l_discount").alias("Aromaticity"), F.col("l_tax").alias("Instability_index"), (4 + F.col("l_quantity") / 10).alias("Isoelectric_point"),
         ),
         "dim_antimicrobial_resistance_genes": item("Protein_ID", "l_returnflag = 'R'", F.concat(F.lit("card"), (F.col("l_partkey") % 50).cast("string")).alias("aligned_protein_card")),
         "dim_anti_crispr": item("Protein_ID", "l_returnflag = 'A'"),

@@ -12,9 +12,9 @@ from .catalog import on_star, query, tidy
 HASH = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)"
 
 
-@on_star("SELECT Source_DB, COUNT(*) AS protein_count, COUNT(DISTINCT Phage_ID) AS phage_count, ROUND(AVG(Molecular_weight), 4) AS avg_mw, ROUND(AVG(Aromaticity), 4) AS avg_pi, ROUND(COUNT(*) / COUNT(DISTINCT Phage_ID), 4) AS proteins_per_phage FROM dim_proteins WHERE Molecular_weight IS NOT NULL GROUP BY 1")
+@on_star("SELECT Source_DB, COUNT(*) AS protein_count, COUNT(DISTINCT Phage_ID) AS phage_count, ROUND(AVG(Molecular_weight), 4) AS avg_mw, ROUND(AVG(Isoelectric_point), 4) AS avg_pi, ROUND(COUNT(*) / COUNT(DISTINCT Phage_ID), 4) AS proteins_per_phage FROM dim_proteins WHERE Molecular_weight IS NOT NULL GROUP BY 1")
 def protein_stats(spark, sf_dir):
-    return tidy(quality.protein_stats(star(spark, sf_dir)["dim_proteins"].withColumn("Isoelectric_point", F.col("Aromaticity"))))
+    return tidy(quality.protein_stats(star(spark, sf_dir)["dim_proteins"]))
 
 
 @on_star("SELECT COUNT(*) AS total_links, COUNT(DISTINCT Phage_ID) AS unique_phages, COUNT(DISTINCT Host_ID) AS unique_host_assemblies FROM edges")
@@ -79,9 +79,10 @@ def negatives_by_ratio(spark, sf_dir):
     return negatives.negatives_for(tables["fact_phages"], tables["dim_hosts"], edges(spark, sf_dir), ratio=0.5)
 
 
-@query("SELECT n_nationkey, n_name FROM nation UNION ALL SELECT r_regionkey, r_name FROM region")
+@query("SELECT o_orderkey AS id, o_orderpriority AS name FROM orders UNION ALL SELECT c_custkey, c_name FROM customer")
 def insert_positional(spark, sf_dir):
-    return reshape.insert_positional(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
+    return reshape.insert_positional(orders, table(spark, sf_dir, "customer").select("c_custkey", "c_name"))
 
 
 @query("SELECT o_orderpriority, MIN(o_clerk) FILTER (o_orderstatus = 'F') AS F, MIN(o_clerk) FILTER (o_orderstatus = 'O') AS O, MIN(o_clerk) FILTER (o_orderstatus = 'P') AS P FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders) GROUP BY 1")
@@ -102,10 +103,18 @@ def download_status(spark, sf_dir):
     return resolve.downloads(table(spark, sf_dir, "supplier").select(name.alias("path"), (F.col("s_suppkey") % 3).alias("size")))
 
 
-@query("SELECT o_orderkey, NULLIF(trim(split_part(h, ' ', 1)) || ' ' || trim(split_part(h, ' ', 2)), ' ') AS species FROM (SELECT o_orderkey, 'Genus' || (o_custkey % 9) || ' kind' || (o_custkey % 5) || ' strain ' || o_custkey AS h FROM orders)")
+@query("""WITH hosts AS (SELECT o_orderkey, CASE o_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'Genus' || k WHEN 2 THEN ' Genus' || k || '   kind' || k || ' ; Other' || k || ' type' WHEN 3 THEN 'unknown bacterium ' || k WHEN 4 THEN '-'
+WHEN 5 THEN 'Genus' || k || ' sp' || lpad(k, 9, '0') WHEN 6 THEN '' WHEN 7 THEN ';Genus' || k || ' kind' ELSE 'Genus' || k || ' kind strain ' || k END AS h FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS k FROM orders)),
+words AS (SELECT o_orderkey, h, string_split_regex(trim(split_part(h, ';', 1)), '\\s+') AS w FROM hosts)
+SELECT o_orderkey, CASE WHEN h IS NULL OR trim(h) IN ('', '-') OR h ILIKE '%unknown%' OR regexp_matches(h, ' sp[0-9]{9}') OR w[1] = '' THEN NULL ELSE array_to_string(w[1:2], ' ') END AS species FROM words""")
 def species_names(spark, sf_dir):
-    k = F.col("o_custkey")
-    host = F.concat(F.lit("Genus"), (k % 9).cast("string"), F.lit(" kind"), (k % 5).cast("string"), F.lit(" strain "), k.cast("string"))
+    """Hosts of nine forms: none, a genus, several hosts, placeholders, numbered species, a strain."""
+    k = F.col("o_custkey").cast("string")
+    forms = [
+        F.lit(None).cast("string"), F.concat(F.lit("Genus"), k), F.concat(F.lit(" Genus"), k, F.lit("   kind"), k, F.lit(" ; Other"), k, F.lit(" type")), F.concat(F.lit("unknown bacterium "), k), F.lit("-"),
+        F.concat(F.lit("Genus"), k, F.lit(" sp"), F.lpad(k, 9, "0")), F.lit(""), F.concat(F.lit(";Genus"), k, F.lit(" kind")), F.concat(F.lit("Genus"), k, F.lit(" kind strain "), k),
+    ]
+    host = F.element_at(F.array(*forms), (F.col("o_custkey") % 9 + 1).cast("int"))
     return table(spark, sf_dir, "orders").select("o_orderkey", sc.species_name(host).alias("species"))
 
 
