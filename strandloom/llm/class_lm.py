@@ -23,6 +23,8 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +130,7 @@ def core_neighbours(texts: DataFrame, core: list[bytes]) -> DataFrame:
         for _, part in texts_of(batches, 0):
             ids = [0]
             for t in part:
-                ids += [find(w, n - 1) for w in split(t)]
+                ids += map(find, split(t), repeat(n - 1))
                 ids.append(0)
             ids = np.array(ids, "i8")
             waiting.append(np.unique(ids[:-1] * n + ids[1:], return_counts=True))
@@ -271,7 +273,8 @@ def other_words(texts: DataFrame, core: list[bytes], of: np.ndarray, pairs: np.n
     after, before = logs.copy(), logs.T.copy()  # of the word after class l; of class r after the word
     after[classes], before[classes] = 0, 0  # a word outside the core tells nothing
     size = np.log(np.maximum(pairs.sum(axis=0), 1))[1:classes]
-    after, before = after[:, 1:classes].astype("f4"), before[:, 1:classes].astype("f4")
+    # A row for each class before with each class after: at most 256 * 256 of 254 numbers.
+    contexts = (after[:, None, 1:classes] + before[None, :, 1:classes]).reshape(-1, classes - 1).astype("f4")
 
     def run(batches):
         find, names, words, lefts, rights = shared.value.get, {}, [], [], []
@@ -288,7 +291,7 @@ def other_words(texts: DataFrame, core: list[bytes], of: np.ndarray, pairs: np.n
         for _, part in texts_of(batches, 0):
             for t in part:
                 found = split(t)
-                ids = np.array([0, *[find(w, rest) for w in found], 0])
+                ids = np.array([0, *map(find, found, repeat(rest)), 0])
                 at = np.flatnonzero(ids == rest)
                 if len(at):
                     words += [names.setdefault(found[i - 1], len(names)) for i in at.tolist()]
@@ -304,19 +307,23 @@ def other_words(texts: DataFrame, core: list[bytes], of: np.ndarray, pairs: np.n
         """Rows come by word; the sum of the last word may go on in the next batch."""
         last, n, total = None, 0, np.zeros(classes - 1)
         for batch in by_bytes(batches, 1, 2 * PLACES):
+            names = batch.column(0).to_pylist()
+            if not names:
+                continue
             places, sizes = unpacked(batch.column(1), "u1")
             sizes //= 2
-            ends = sizes.cumsum()
-            each = np.add.reduceat(after[places[0::2]] + before[places[1::2]], ends - sizes, axis=0, dtype="f8")
-            out, counts, sums = [], [], []
-            for word, m, s in zip(batch.column(0).to_pylist(), sizes.tolist(), each, strict=True):
-                if word != last:
-                    if last is not None:
-                        out.append(last), counts.append(n), sums.append(total)
-                    last, n, total = word, 0, 0
-                n, total = n + m, total + s
-            if out:
-                yield named(out, counts, sums)
+            firsts = np.flatnonzero([True, *map(ne, names[1:], names)])
+            starts = (sizes.cumsum() - sizes)[firsts]
+            sums = np.add.reduceat(contexts[places[0::2].astype("i8") * (classes + 1) + places[1::2]], starts, axis=0, dtype="f8")
+            counts, words = np.add.reduceat(sizes, firsts), [names[i] for i in firsts.tolist()]
+            if last == words[0]:
+                sums[0] += total
+                counts[0] += n
+            elif last is not None:
+                yield named([last], [n], [total])
+            last, n, total = words[-1], counts[-1], sums[-1].copy()
+            if len(words) > 1:
+                yield named(words[:-1], counts[:-1], sums[:-1])
         if last is not None:
             yield named([last], [n], [total])
 
