@@ -1,5 +1,7 @@
 """Operators of sequences, pairs, negatives, resolution, quality and reshaping that the catalog's SQL does not reach."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,6 +262,31 @@ def test_features(spark):
     assert found == {"b": 0.6667, "c": 0.0, "d": 0.0, "e": 1.0}
 
 
+def test_kmers(spark):
+    texts = [("x", "aé😀a\0é😀a"), ("x", "ab"), ("x", None), ("y", "abcabc"), (None, "abcd"), ("y", "")]
+    data = spark.createDataFrame(texts, "g string, s string").coalesce(1)
+    for k in (1, 3, 8):
+        every = [(g, s[i : i + k]) for g, s in texts if s for i in range(len(s) - k + 1)]
+        of = {g: sum(1 for h, _ in every if h == g) for g, _ in every}
+        expected = sorted(((g, x, every.count((g, x)), every.count((g, x)) / of[g]) for g, x in set(every)), key=str)
+        assert rows(features.kmer_totals(data, k, "s", "g")) == expected, k
+        assert rows(features.kmer_counts(data.filter("g is not null"), k, "g", "s")) == sorted((r[:3] for r in expected if r[0]), key=str), k
+    # More characters and places than 63 bits have numbers for.
+    letters = "".join(map(chr, range(0x4E00, 0x4E00 + 2_000)))
+    found = rows(features.kmer_totals(spark.createDataFrame([(1, letters * 2)], "g long, s string"), 12, "s", "g"), "kmer", "n")
+    assert len(found) == 2_000 and (letters[:12], 2) in found and (letters[-5:] + letters[:7], 1) in found
+
+
+def test_kmers_of_a_long_text(spark):
+    """The time grows with the text, not with its square."""
+    text = "".join("ACGT"[i * i % 7 % 4] for i in range(400_000))
+    data = spark.createDataFrame([("x", text)], "g string, s string")
+    began = time.monotonic()
+    assert sum(r[1] for r in rows(features.kmer_totals(data, 4, "s", "g"), "kmer", "n")) == 399_997
+    assert sum(r[1] for r in rows(features.kmer_counts(data, 4, "g", "s"), "kmer", "n")) == 399_997
+    assert time.monotonic() - began < 40
+
+
 def test_phage_host_genomes(spark):
     fact = spark.createDataFrame([("P1", "Escherichia coli K12"), ("P2", "-"), ("P3", None), ("P4", "Vibrio x")], "Phage_ID string, Host string").withColumns({"Length": F.lit(1), "GC_content": F.lit(1.0), "Source_DB": F.lit("D")})
     hosts = spark.createDataFrame([("H1", "Escherichia coli"), ("H2", "Escherichia coli"), ("H3", "Esch"), ("H4", "Bacillus")], "Host_ID string, Species_Name string").withColumns({"Strain_Name": F.lit("s"), "Assembly_Accession": F.lit("a"), "Genome_Length": F.lit(1), "GC_Content": F.lit(1.0)})
