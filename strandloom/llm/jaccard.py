@@ -28,7 +28,7 @@ def document_classes(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for batch in by_bytes(batches, 1):
-            tokens, offsets, classes = sets(batch.column(1).to_pylist())
+            tokens, offsets, classes = sets(batch.column(1).cast(pa.binary()).to_pylist())
             columns = [batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(classes, pa.int64(), mask=classes == 0), sampled_tokens(tokens, offsets, classes)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "class", "sample"])
 

@@ -41,7 +41,7 @@ def line_classes(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for batch in by_bytes(batches, 2):
-            words, counts, text, line = line_words(batch.column(2).to_pylist(), 1)
+            words, counts, text, line = line_words(batch.column(2).cast(pa.binary()).to_pylist(), 1)
             tokens, offsets, classes = distinct_sets(*shingle_hashes(words, counts, k))
             at = pa.array(text, pa.int64())
             columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(line, pa.int32()), pa.array(classes, pa.int64()), pa.array(np.diff(offsets), pa.int32()), sampled_tokens(tokens, offsets, classes)]

@@ -49,13 +49,11 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _TOP = np.uint64(58)
 
 
-# One odd multiplier's powers and their inverses (modulo 2^64), and a random number per byte; A-Z count as a-z.
+# One odd multiplier's powers and their inverses (modulo 2^64).
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64)
-_BYTES[65:91] = _BYTES[97:123]
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes to 1 where they are ASCII white space.
+_SPACE = bytes(int(i in (9, 10, 11, 12, 13, 32)) for i in range(256))
 #: Bytes hashed at a time, so that the arrays stay in the processor's cache; bytes of text in a batch.
 PIECE, BATCH_BYTES = 1 << 16, 1 << 20
 
@@ -71,18 +69,22 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     A word's hash is a polynomial of its bytes, taken for all words at once
     from one running sum. Texts are worked on in pieces that end at white space.
     """
-    whole = np.frombuffer(data, dtype=np.uint8)
+    whole = np.frombuffer(data.lower(), dtype=np.uint8)
+    spaces = np.frombuffer(data.translate(_SPACE), dtype=bool)
     hashes, starts, at = [], [], 0
     while at < len(whole):
         end = min(at + PIECE, len(whole))
-        while end < len(whole) and not _SPACE[whole[end]]:
+        while end < len(whole) and not spaces[end]:
             end += 1
         part = whole[at:end]
         power, inverse = _powers(max(2 * PIECE, 1 << (len(part) - 1).bit_length()))
-        space = np.concatenate([[True], _SPACE[part], [True]])
+        space = np.ones(len(part) + 2, dtype=bool)
+        space[1:-1] = spaces[at:end]
         edge = np.flatnonzero(space[1:] != space[:-1])
         a, b = edge[0::2], edge[1::2]
-        total = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[part] * power[: len(part)])])
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.multiply(part, power[: len(part)], out=total[1:])
+        np.cumsum(total, out=total)
         hashes.append(_mix((total[b] - total[a]) * inverse[a] + (b - a).astype(np.uint64)))
         starts.append(a + at)
         at = end
@@ -91,27 +93,30 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(starts)
 
 
-def document_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def _encoded(texts: list[str | bytes | None]) -> list[bytes]:
+    return [x.encode() if isinstance(x, str) else x or b"" for x in texts]
+
+
+def document_words(texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, number of words of each text)."""
-    raw = [(x or "").encode() for x in texts]
+    raw = _encoded(texts)
     hashes, starts = hash_words(b"\n".join(raw))
-    ends = np.cumsum([len(x) + 1 for x in raw])
-    return hashes, np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(raw))
+    return hashes, np.diff(np.searchsorted(starts, np.cumsum([len(x) + 1 for x in raw])), prepend=0)
 
 
-def line_words(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def line_words(texts: list[str | bytes | None], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(word hashes, words of each line, text of each line, line number) of the lines with at least ``least`` words."""
-    raw = [(x or "").encode() for x in texts]
+    raw = _encoded(texts)
     data = b"\n".join(raw)
     hashes, starts = hash_words(data)
     breaks = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 10)
-    line = np.searchsorted(breaks, starts)
-    count = np.bincount(line, minlength=len(breaks) + 1)
+    count = np.diff(np.searchsorted(starts, breaks), prepend=0, append=len(starts))
     kept = np.flatnonzero(count >= least)
     begins = np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])[:-1]])
     first_line = np.searchsorted(breaks, begins)
     text = np.searchsorted(first_line, kept, side="right") - 1
-    return hashes[(count >= least)[line]], count[kept], text, kept - first_line[text]
+    own = hashes if least <= 1 else hashes[np.repeat(count >= least, count)]
+    return own, count[kept], text, kept - first_line[text]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -143,16 +148,34 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
     return _mix(out), offsets
 
 
+def _sort_each(tokens: np.ndarray, offsets: np.ndarray) -> None:
+    """Sorts each run in place; runs of up to 256 tokens stand in the rows of a few tables, filled up with the largest number."""
+    sizes, least = np.diff(offsets), 1
+    for width in (16, 32, 48, 64, 96, 128, 192, 256):
+        at = np.flatnonzero((sizes > least) & (sizes <= width))
+        if len(at):
+            inside = np.arange(width) < sizes[at, None]
+            table = np.full(inside.shape, np.iinfo(np.uint64).max)
+            places = (offsets[at, None] + np.arange(width))[inside]
+            table[inside] = tokens[places]
+            table.sort(axis=1)
+            tokens[places] = table[inside]
+        least = width
+    for i in np.flatnonzero(sizes > least).tolist():
+        tokens[offsets[i] : offsets[i + 1]].sort()
+
+
 def distinct_sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(tokens, offsets, classes): each set's distinct tokens in order, as 58-bit numbers, and the name of each set (0: empty)."""
     tokens = hashes >> np.uint64(6)
-    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        tokens[a:b].sort()
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    _sort_each(tokens, offsets)
     keep = np.ones(len(tokens), dtype=bool)
-    keep[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
-    tokens, sizes = tokens[keep], np.bincount(owner[keep], minlength=len(offsets) - 1)
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    keep[1:] = tokens[1:] != tokens[:-1]
+    keep[offsets[:-1][np.diff(offsets) > 0]] = True
+    if not keep.all():
+        offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
+        tokens = tokens[keep]
+    sizes = np.diff(offsets)
     raw, cuts = tokens.tobytes(), (offsets * 8).tolist()
     classes = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) | 1 if b > a else 0 for a, b in zip(cuts[:-1], cuts[1:], strict=True)), dtype=np.uint64, count=len(sizes))
     return tokens, offsets, classes.view(np.int64)
@@ -382,7 +405,7 @@ def possible_classes(rows: DataFrame, texts: DataFrame, sets_of: Callable, num:
     def sample(batches):
         seen: set = set()
         for batch in by_bytes(batches, 0):
-            tokens, offsets, classes = sets_of(batch.column(0).to_pylist())
+            tokens, offsets, classes = sets_of(batch.column(0).cast(pa.binary()).to_pylist())
             n = np.diff(offsets)
             # Sets so small that only an equal one is similar to them are left out.
             new = first_seen(classes, seen) & ((n * den // num > n) | (n - prefix_length(n, num, den) + 1 < n))
@@ -521,7 +544,7 @@ def class_sets(texts: DataFrame, sets_of: Callable, classes: DataFrame) -> DataF
     def run(batches):
         seen: set = set()
         for batch in by_bytes(batches, 0):
-            tokens, offsets, found = sets_of(batch.column(0).to_pylist())
+            tokens, offsets, found = sets_of(batch.column(0).cast(pa.binary()).to_pylist())
             at = np.flatnonzero(passes(bits.value, found))
             at = at[first_seen(found[at], seen)]
             rows = [tokens[offsets[i] : offsets[i + 1]].tobytes() for i in at.tolist()]

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from strandloom.llm import jaccard, linedup, setjoin
@@ -110,3 +111,22 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert jaccard.similar_documents(docs).collect() == []
     assert linedup.drop_repeated_lines(docs, counts=True).collect() == []
+
+
+def test_distinct_sets_of_all_sizes():
+    """Runs of every length, sorted in tables or alone, with repeats; texts as strings or bytes."""
+    rng = np.random.default_rng(3)
+    sizes = np.array([0, 1, 2, 15, 16, 17, 0, 0, 48, 49, 255, 256, 257, 1_000, 1, 0])
+    offsets = np.append(0, sizes.cumsum())
+    hashes = rng.integers(0, 1 << 63, int(offsets[-1]), dtype=np.uint64) // np.uint64(1 << 56) << np.uint64(56) | np.uint64(7)
+    hashes[offsets[3]] = np.iinfo(np.uint64).max
+    expected = [np.unique(hashes[a:b] >> np.uint64(6)) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    tokens, ends, classes = setjoin.distinct_sets(hashes, offsets)
+    assert [x.tolist() for x in np.split(tokens, ends[1:-1])] == [x.tolist() for x in expected]
+    assert [c == 0 for c in classes] == [n == 0 for n in sizes] and len(set(classes[sizes > 1].tolist())) == (sizes > 1).sum()
+    texts = ["A b\n\nc D\té", None, "", "\n", "a B"]
+    for one, other in ((setjoin.line_words(texts, 1), setjoin.line_words([x and x.encode() for x in texts], 1)), (setjoin.document_words(texts), setjoin.document_words([x and x.encode() for x in texts]))):
+        assert all(np.array_equal(x, y) for x, y in zip(one, other, strict=True))
+    words, counts, text, line = setjoin.line_words(texts, 1)
+    assert counts.tolist() == [2, 3, 2] and text.tolist() == [0, 0, 4] and line.tolist() == [0, 2, 0] and words[:2].tolist() == words[5:].tolist()
+    assert setjoin.document_words(texts)[1].tolist() == [5, 0, 0, 0, 2]
