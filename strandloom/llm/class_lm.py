@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, pin, stored
+from .common import discard, pin, small_batches, stored
 from .setjoin import by_bytes, slices
 
 CLASSES, ROUNDS = 64, 10
@@ -476,6 +476,7 @@ def score_texts(docs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, c
     """
     if not 2 < classes < 255:
         raise ValueError("there are 3 to 254 classes")
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), (held_out(F.col(id_col)) if held is None else held).alias("held_out"), F.col(text_col).alias("text"))
     model = learn_classes(rows.filter("NOT held_out").select("text"), classes, rounds, core)
     coded, counts, of = encoded(rows, model.words, dictionary)

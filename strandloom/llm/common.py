@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, pin
 
-__all__ = ["WORD", "aside", "discard", "ensure_checkpoint_dir", "pin", "running_totals", "small", "stored"]
+__all__ = ["WORD", "aside", "discard", "ensure_checkpoint_dir", "pin", "running_totals", "small", "small_batches", "stored"]
 
 #: A table is broadcast only after it was counted and found to have no more rows, and in its texts, bytes and arrays no more items, than this.
 BROADCAST_ROWS, BROADCAST_ITEMS = 100_000, 4 << 20
@@ -29,6 +29,22 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if n <= rows and size <= BROADCAST_ITEMS else df
 
 
+#: Rows in a batch for a Python worker at most.
+BATCH_ROWS = 1_024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on rows in a batch for a Python worker to BATCH_ROWS.
+
+    Spark builds batches outside the heap, in buffers that it doubles, and a
+    worker gets them whole: 10,000 texts are tens of megabytes several times
+    over for each task, and long-lived executors keep much of it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def running_totals(df: DataFrame, keys: list[str], order: str, values: dict[str, str], width: int) -> DataFrame:
     """Inclusive running sums of ``values`` (new name -> column) along the integer column ``order``.
 

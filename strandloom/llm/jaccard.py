@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import aside, pin, small
+from .common import aside, pin, small, small_batches
 from .setjoin import BLOCK, blocked_links, by_bytes, candidates, components, distinct_sets, document_words, sampled_tokens, shingle_hashes
 
 
@@ -44,6 +44,7 @@ def similar_documents(docs: DataFrame, k: int = 3, num: int = 9, den: int = 10,
     component unless all its ids are null. An empty table gives no rows.
     Texts are scanned three times and never shuffled.
     """
+    small_batches(docs.sparkSession)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = pin(document_classes(named, k))
     counted = rows.filter("class is not null").select("class", F.col("n_shingles").alias("n"), "sample")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import aside, pin, small
+from .common import aside, pin, small, small_batches
 from .setjoin import slices
 
 #: The bounded sample: documents of each language, characters of each of them, and documents in all. With many languages each has fewer documents.
@@ -253,6 +253,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     are ``und`` with score 0. Only the text is looked at; columns of ``docs``
     with these two names are replaced. A pure map over the scan.
     """
+    small_batches(docs.sparkSession)
     kept = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = kept.columns

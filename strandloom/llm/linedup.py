@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import aside, pin, small
+from .common import aside, pin, small, small_batches
 from .setjoin import blocked_links, by_bytes, candidates, components, distinct_sets, filter_places, filter_words, line_words, sampled_tokens, shingle_hashes, slices
 
 #: Lines that one task joins with each other at a time; their sets are small.
@@ -52,6 +52,7 @@ def line_classes(docs: DataFrame, k: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc, key, line) of each line that repeats an earlier one. ``doc`` is the id (null: the largest long), ``key`` the text's hash."""
+    small_batches(docs.sparkSession)
     named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     rows = pin(line_classes(named, k))
     edges, sets = candidates(rows, named.select("text"), sets_of(k), num, den)

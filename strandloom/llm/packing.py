@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin
+from .common import pin, small_batches
 from .tokens import default_vocabulary, encode
 
 #: Pieces that one task packs together.
@@ -39,6 +39,7 @@ def cut_points(length: int, limit: int) -> list[tuple[int, int]]:
 
 def token_pieces(docs: DataFrame, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document; null text is empty, so just the end id."""
+    small_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
     schema = f"{id_col} long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 

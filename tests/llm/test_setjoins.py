@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from strandloom.llm import jaccard, linedup, setjoin
+from strandloom.llm import jaccard, linedup, setjoin, tokens
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -130,3 +130,20 @@ def test_distinct_sets_of_all_sizes():
     words, counts, text, line = setjoin.line_words(texts, 1)
     assert counts.tolist() == [2, 3, 2] and text.tolist() == [0, 0, 4] and line.tolist() == [0, 2, 0] and words[:2].tolist() == words[5:].tolist()
     assert setjoin.document_words(texts)[1].tolist() == [5, 0, 0, 0, 2]
+
+
+def test_workers_stay_small(spark):
+    """Workers get texts in small batches, and no tokenizer that no text needs."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "10000")
+    docs = spark.createDataFrame([(i, f"a b c d e f {i}") for i in range(3_000)], "doc_id long, text string").coalesce(1)
+    linedup.drop_repeated_lines(docs)
+    assert spark.conf.get(key) == "1024"
+    spark.conf.set(key, "100")
+    linedup.drop_repeated_lines(docs)
+    assert spark.conf.get(key) == "100"
+    spark.conf.unset(key)
+    tokens._whole.cache_clear()
+    tokens.encode("plain words", tokens.default_vocabulary())
+    assert tokens._whole.cache_info().currsize == 0
+    assert tokens.encode("a<|endoftext|>b", tokens.default_vocabulary()) == tokens._whole(tokens.default_vocabulary()).encode("a<|endoftext|>b", add_special_tokens=False).ids
