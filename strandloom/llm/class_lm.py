@@ -72,9 +72,13 @@ def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def unpacked(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(values of all rows, number of values in each)."""
-    rows = column.to_pylist()
-    values = np.frombuffer(b"".join(rows), kind)
-    return values, np.array([len(r) for r in rows], "i8") // values.itemsize
+    column = column.cast(pa.binary())
+    _, ends, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, kind), np.zeros(len(column), "i8")
+    ends = np.frombuffer(ends, "<i4")[column.offset : column.offset + len(column) + 1].astype("i8")
+    values = np.frombuffer(data, "u1")[ends[0] : ends[-1]].view(kind)
+    return values, np.diff(ends) // values.itemsize
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -273,8 +277,8 @@ def other_words(texts: DataFrame, core: list[bytes], of: np.ndarray, pairs: np.n
     after, before = logs.copy(), logs.T.copy()  # of the word after class l; of class r after the word
     after[classes], before[classes] = 0, 0  # a word outside the core tells nothing
     size = np.log(np.maximum(pairs.sum(axis=0), 1))[1:classes]
-    # A row for each class before with each class after: at most 256 * 256 of 254 numbers.
-    contexts = (after[:, None, 1:classes] + before[None, :, 1:classes]).reshape(-1, classes - 1).astype("f4")
+    weights = np.concatenate([after[:, 1:classes], before[:, 1:classes]])
+    wide = len(weights)
 
     def run(batches):
         find, names, words, lefts, rights = shared.value.get, {}, [], [], []
@@ -304,32 +308,30 @@ def other_words(texts: DataFrame, core: list[bytes], of: np.ndarray, pairs: np.n
             yield gathered()
 
     def choose(batches):
-        """Rows come by word; the sum of the last word may go on in the next batch."""
-        last, n, total = None, 0, np.zeros(classes - 1)
+        """Rows come by word; the places of the last word may go on in the next batch. A word is as many numbers as there are classes before and after it."""
+        last, total = None, np.zeros(wide, "i8")
         for batch in by_bytes(batches, 1, 2 * PLACES):
             names = batch.column(0).to_pylist()
             if not names:
                 continue
             places, sizes = unpacked(batch.column(1), "u1")
-            sizes //= 2
-            firsts = np.flatnonzero([True, *map(ne, names[1:], names)])
-            starts = (sizes.cumsum() - sizes)[firsts]
-            sums = np.add.reduceat(contexts[places[0::2].astype("i8") * (classes + 1) + places[1::2]], starts, axis=0, dtype="f8")
-            counts, words = np.add.reduceat(sizes, firsts), [names[i] for i in firsts.tolist()]
+            new = np.array([True, *map(ne, names[1:], names)])
+            words = [names[i] for i in np.flatnonzero(new).tolist()]
+            at = np.repeat((new.cumsum() - 1) * wide, sizes // 2)
+            sums = np.bincount(np.concatenate([at + places[0::2], at + places[1::2] + wide // 2]), minlength=len(words) * wide).reshape(-1, wide)
             if last == words[0]:
                 sums[0] += total
-                counts[0] += n
             elif last is not None:
-                yield named([last], [n], [total])
-            last, n, total = words[-1], counts[-1], sums[-1].copy()
+                yield named([last], total[None])
+            last, total = words[-1], sums[-1].copy()
             if len(words) > 1:
-                yield named(words[:-1], counts[:-1], sums[:-1])
+                yield named(words[:-1], sums[:-1])
         if last is not None:
-            yield named([last], [n], [total])
+            yield named([last], total[None])
 
-    def named(words, counts, sums):
-        counts = np.array(counts, "i8")
-        chosen = (np.array(sums) - counts[:, None] * size).argmax(axis=1) + 1
+    def named(words, sums):
+        counts = sums[:, : wide // 2].sum(axis=1)
+        chosen = (sums @ weights - counts[:, None] * size).argmax(axis=1) + 1
         return pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "n": pa.array(counts), "class": pa.array(chosen.astype("i4"))})
 
     rows = texts.mapInArrow(run, "word binary, places binary")
@@ -388,17 +390,19 @@ def encoded(docs: DataFrame, words: DataFrame, dictionary: int = DICTIONARY) ->
     def run(batches):
         find = shared.value.get
         for batch, part in texts_of(batches, 2):
-            ids, sizes, rest = [], [], []
+            found, sizes, rest = [], [], []
             for t in part:
-                found = split(t)
-                numbers = list(map(find, found))
+                own = split(t)
+                found += own
+                sizes.append(len(own))
+            ids, ends = np.array(list(map(find, found, repeat(-1))), "<i4"), np.append(0, np.cumsum(sizes))
+            at = np.flatnonzero(ids < 0)
+            cuts = np.searchsorted(at, ends).tolist()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 names = {}
-                if None in numbers:
-                    numbers = [-1 - names.setdefault(w, len(names)) if i is None else i for i, w in zip(numbers, found, strict=True)]
-                ids += numbers
-                sizes.append(len(numbers))
+                ids[at[a:b]] = [-1 - names.setdefault(found[i], len(names)) for i in at[a:b].tolist()]
                 rest.append(list(names))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), packed(np.array(ids, "<i4"), np.append(0, np.cumsum(sizes))), pa.array(rest, pa.list_(pa.binary()))], names=["doc_id", "held_out", "_row", "ids", "rest"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), packed(ids, ends.astype("i8")), pa.array(rest, pa.list_(pa.binary()))], names=["doc_id", "held_out", "_row", "ids", "rest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "held_out", "text", F.monotonically_increasing_id().alias("_row"))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strandloom.llm import class_lm, prefix_trie, queries, vector_codes
@@ -326,3 +327,30 @@ def test_bounds_prune_without_changing_codes():
         assert (lower <= np.sqrt(d)).all() and (upper >= np.sqrt(d.min(axis=1))).all()
         computed += n
     assert computed < 0.2 * 6 * x.shape[0] * 64
+
+
+def test_words_of_several_batches():
+    """The places of a word are summed over rows and batches; packed values are read where they lie."""
+    got = []
+
+    class Frame:
+        sparkSession = sparkContext = property(lambda self: self)
+        broadcast = repartition = sortWithinPartitions = lambda self, *_: self
+        mapInArrow = lambda self, f, _: got.append(f) or self
+
+    of, pairs = np.array([0, 1, 2, 3]), np.array([[9.0, 1, 5, 2], [1, 7, 3, 1], [6, 2, 8, 1], [1, 1, 1, 1]])
+    class_lm.other_words(Frame(), [b"x", b"y"], of, pairs)
+    rows = [(b"a", [(0, 1)]), (b"a", [(1, 1), (3, 2)]), (b"b", [(3, 3)]), (b"c", [(2, 2)] * 5), (b"c", [(2, 0)]), (b"d", [(1, 0)])]
+    logs, size = class_lm.log_transitions(pairs), np.log(pairs.sum(axis=0))
+    expected = {}
+    for word in dict(rows):
+        places = [p for w, of_row in rows for p in of_row if w == word]
+        score = {c: sum((logs[left, c] if left < 3 else 0) + (logs[c, right] if right < 3 else 0) - size[c] for left, right in places) for c in (1, 2)}
+        expected[word] = (len(places), max(score, key=score.get))
+    whole = pa.RecordBatch.from_pydict({"word": [w for w, _ in rows], "places": [np.array(p, "u1").tobytes() for _, p in rows]}, pa.schema({"word": pa.binary(), "places": pa.binary()}))
+    for cut in ([whole], [whole.slice(i, 1) for i in range(len(rows))], [whole.slice(0, 0), whole.slice(0, 4), whole.slice(4)]):
+        found = [r for b in got[1](cut) for r in b.to_pylist()]
+        assert {r["word"]: (r["n"], r["class"]) for r in found} == expected and len(found) == len(expected)
+    values, sizes = class_lm.unpacked(pa.array([b"zz", b"\1\0\0\0", b"", b"\2\0\0\0\3\0\0\0"], pa.binary()).slice(1), "<i4")
+    assert values.tolist() == [1, 2, 3] and sizes.tolist() == [1, 0, 2]
+    assert [len(x) for x in class_lm.unpacked(pa.array([], pa.binary()), "<i4")] == [0, 0]
